@@ -24,9 +24,14 @@ HASH_MULTIPLIER = 2654435761
 # --- TIL-1, TIL-8 ------------------------------------------------------------------------------------------------------
 
 
-def fan_out(df: DataFrame, minzoom: int, maxzoom: int) -> DataFrame:
+def _zoom_list(every: Column, fixed: Column | None) -> Column:
+    """Rows that come with a zoom of their own (shapes already cut into tiles) keep just that one."""
+    return every if fixed is None else F.when(fixed.isNotNull(), F.array(fixed)).otherwise(every)
+
+
+def fan_out(df: DataFrame, minzoom: int, maxzoom: int, fixed: Column | None = None) -> DataFrame:
     """TIL-1: one copy of each row per zoom."""
-    return df.withColumn("zoom", F.explode(F.sequence(F.lit(minzoom), F.lit(maxzoom))))
+    return df.withColumn("zoom", F.explode(_zoom_list(F.sequence(F.lit(minzoom), F.lit(maxzoom)), fixed)))
 
 
 def thinning_hash(fid: Column) -> Column:
@@ -39,18 +44,25 @@ def thinning_hash(fid: Column) -> Column:
 
 
 def thin_fan_out(
-    df: DataFrame, minzoom: int, maxzoom: int, drop_rate: float = 2.5, base_zoom: int | None = None, key: Column | None = None
+    df: DataFrame,
+    minzoom: int,
+    maxzoom: int,
+    drop_rate: float = 2.5,
+    base_zoom: int | None = None,
+    key: Column | None = None,
+    fixed: Column | None = None,
 ) -> DataFrame:
     """TIL-1 and TIL-8 in one step: a row starts at the first zoom that keeps it, so no dropped copy is ever made."""
     base = maxzoom if base_zoom is None else base_zoom
     h = thinning_hash(F.col("fid") if key is None else key)
-    first = F.lit(None).cast("int")
+    first = F.lit(maxzoom + 1)
     # Fixed value: 2^32, the range of the hash.
     for zoom in range(maxzoom, minzoom - 1, -1):
         kept = F.lit(True) if zoom >= base else h < F.lit(2.0**32 / drop_rate ** (base - zoom))
         first = F.when(kept, F.lit(zoom)).otherwise(first)
-    start = df.withColumn("_first", first).filter(F.col("_first").isNotNull())
-    return start.withColumn("zoom", F.explode(F.sequence("_first", F.lit(maxzoom)))).drop("_first")
+    start = df.withColumn("_first", first)
+    start = start.filter((F.col("_first") <= maxzoom) if fixed is None else (F.col("_first") <= maxzoom) | fixed.isNotNull())
+    return start.withColumn("zoom", F.explode(_zoom_list(F.sequence("_first", F.lit(maxzoom)), fixed))).drop("_first")
 
 
 # --- TIL-2, TIL-4, TIL-7 -----------------------------------------------------------------------------------------------
@@ -62,20 +74,20 @@ def assign_tiles(df: DataFrame) -> DataFrame:
     return df.withColumns({"tile_x": tile_of(F.col("wx"), z), "tile_y": tile_of(F.col("wy"), z)})
 
 
-def buffered_tiles(df: DataFrame, buffer: int = 5) -> DataFrame:
-    """TIL-4: every tile whose box, grown by buffer/256 of its side, holds the point."""
-    if buffer == 0:
-        return assign_tiles(df)
+def buffered_tiles(df: DataFrame, buffer: int = 5, fixed: tuple[Column, Column] | None = None) -> DataFrame:
+    """TIL-4: every tile whose box, grown by buffer/256 of its side, holds the point. Rows with a `fixed` tile keep it."""
     z = F.col("zoom")
     grow = shift_left(F.lit(buffer).cast("long"), F.lit(24) - z)
     last = shift_left(F.lit(1).cast("long"), z) - 1
 
-    def reach(w: str) -> Column:
+    def reach(w: str, given: Column | None) -> Column:
         low = F.greatest(F.lit(0).cast("long"), shift_right(F.col(w) - grow, F.lit(WORLD_BITS) - z)).cast("int")
         high = F.least(last, shift_right(F.col(w) + grow, F.lit(WORLD_BITS) - z)).cast("int")
-        return F.when(low == high, F.array(low)).otherwise(F.sequence(low, high))
+        tiles = F.when(low == high, F.array(low)).otherwise(F.sequence(low, high))
+        return tiles if given is None else F.when(given.isNotNull(), F.array(given)).otherwise(tiles)
 
-    return df.withColumn("tile_x", F.explode(reach("wx"))).withColumn("tile_y", F.explode(reach("wy")))
+    x, y = fixed or (None, None)
+    return df.withColumn("tile_x", F.explode(reach("wx", x))).withColumn("tile_y", F.explode(reach("wy", y)))
 
 
 def quantize_points(df: DataFrame) -> DataFrame:
@@ -144,12 +156,14 @@ def _largest(counts: DataFrame) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
-def _with_previous(df: DataFrame, value: Column, out: str, hot_rows: int, largest: int) -> DataFrame:
+def _with_previous(
+    df: DataFrame, value: Column, out: str, hot_rows: int, largest: int, keys: list[str] = TILE
+) -> DataFrame:
     """`previous_by_digits`, or a plain window where every tile is known to be small enough for one task."""
     if largest <= hot_rows:
-        w = Window.partitionBy(*TILE).orderBy("morton", "fid").rowsBetween(Window.unboundedPreceding, -1)
+        w = Window.partitionBy(*keys).orderBy("morton", "fid").rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-    return previous_by_digits(df, TILE, [("morton", 60), ("fid", 63)], value, out)
+    return previous_by_digits(df, keys, [("morton", 60), ("fid", 63)], value, out)
 
 
 def _top_per_tile(df: DataFrame, limit: int, hot_rows: int, largest: int) -> DataFrame:
@@ -193,30 +207,31 @@ def coalesce_densest(
     limit: int = MAX_TILE_FEATURES,
     accumulate: dict[str, str] | None = None,
     hot_rows: int = HOT_TILE_ROWS,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """TIL-10: what TIL-9 drops joins the nearest earlier survivor.
+    """TIL-10: what TIL-9 drops joins the nearest earlier survivor (of the same `by` columns).
 
-    Output: the survivor's columns, `point_count`, accumulated attributes, and `parts`, the distinct grid positions of
-    the members (at most one per grid cell, which bounds the group). Needs `px`, `py`.
+    Output: the survivor's columns, `point_count`, accumulated attributes, and the members' distinct `parts` as one geometry;
+    for points that is at most one per grid cell, which bounds the group. Needs `parts`.
     """
     marked, largest = _by_density(df, limit, hot_rows)
     own = F.when(F.col("kept"), F.col("fid"))
-    joined = _with_previous(marked, own, "_s", hot_rows, largest).withColumn("_s", F.coalesce(own, "_s"))
-    group = [*TILE, "_s"]
+    joined = _with_previous(marked, own, "_s", hot_rows, largest, [*TILE, *by]).withColumn("_s", F.coalesce(own, "_s"))
+    group = [*TILE, *by, "_s"]
     attrs = accumulate or {}
-    rest = [c for c in df.columns if c not in TILE and c not in attrs and c not in ("px", "py")]
-    # Two steps, both combined before their shuffle: per grid position, then per survivor.
-    survivor = F.first(F.when(F.col("kept"), F.struct(*rest)), ignorenulls=True).alias("_row")
-    partial = joined.groupBy(*group, "px", "py").agg(
-        survivor, F.count("*").alias("point_count"), *_first_stage(attrs)
-    )
+    rest = [c for c in df.columns if c not in group and c not in attrs and c not in ("px", "py", "parts")]
+    # Two steps, both combined before their shuffle: per distinct geometry, then per survivor. A member without an earlier
+    # survivor of its kind falls to the lowest of its like.
+    lead = F.min_by(F.struct(*rest), F.struct(~F.col("kept"), "morton", "fid")).alias("_row")
+    rank = F.min(F.struct((~F.col("kept")).alias("k"), "morton", "fid")).alias("_rank")
+    partial = joined.groupBy(*group, "parts").agg(lead, rank, F.count("*").alias("point_count"), *_first_stage(attrs))
     merged = partial.groupBy(*group).agg(
-        F.first("_row", ignorenulls=True).alias("_row"),
+        F.min_by("_row", "_rank").alias("_row"),
         F.sum("point_count").alias("point_count"),
-        F.sort_array(F.collect_list(F.array("px", "py"))).alias("parts"),
+        F.flatten(F.sort_array(F.collect_list("parts"))).alias("parts"),
         *_second_stage(attrs),
     )
-    return merged.select(*TILE, "_row.*", "point_count", "parts", *attrs)
+    return merged.select(*TILE, *by, "_row.*", "point_count", "parts", *attrs)
 
 
 def _check(attrs: dict[str, str]) -> None:
@@ -272,7 +287,11 @@ def accumulate_columns(attrs: dict[str, str]) -> list[Column]:
 
 
 def cluster_points(
-    df: DataFrame, distance: int, accumulate: dict[str, str] | None = None, by: tuple[str, ...] = ()
+    df: DataFrame,
+    distance: int,
+    accumulate: dict[str, str] | None = None,
+    by: tuple[str, ...] = (),
+    extra: tuple[Column, ...] = (),
 ) -> DataFrame:
     """TIL-14: one point per (zoom, cell of distance/256 tile) at the mean of its members, with `point_count`.
 
@@ -298,6 +317,7 @@ def cluster_points(
         F.count("*").alias("point_count"),
         *([F.min("fid").alias("fid")] if "fid" in df.columns else []),
         *accumulate_columns(attrs),
+        *extra,
     )
 
     def mean(axis: str) -> Column:
