@@ -88,23 +88,26 @@ def quantize(w: Column, tile: Column, zoom: Column) -> Column:
     return F.when(bits >= 0, shift_right(local, bits)).otherwise(shift_left(local, -bits)).cast("int")
 
 
-def _spread(c: Column) -> Column:
-    """Move bit i of a 30-bit integer to bit 2i."""
-    # Shift and mask of the five bit-interleave steps.
-    for shift, mask in (
-        (16, 0x0000FFFF0000FFFF),
-        (8, 0x00FF00FF00FF00FF),
-        (4, 0x0F0F0F0F0F0F0F0F),
-        (2, 0x3333333333333333),
-        (1, 0x5555555555555555),
-    ):
-        c = F.shiftleft(c, shift).bitwiseOR(c).bitwiseAND(F.lit(mask))
-    return c
-
-
-def morton(wx: Column, wy: Column) -> Column:
-    """60-bit curve key (x in the even bits); a tile of any zoom is one contiguous key range."""
-    return _spread(F.shiftright(wx, 2)).bitwiseOR(F.shiftleft(_spread(F.shiftright(wy, 2)), 1))
+# Shift and mask of the five bit-interleave steps.
+INTERLEAVE = (
+    (16, 0x0000FFFF0000FFFF),
+    (8, 0x00FF00FF00FF00FF),
+    (4, 0x0F0F0F0F0F0F0F0F),
+    (2, 0x3333333333333333),
+    (1, 0x5555555555555555),
+)
+
+
+def with_morton(df: DataFrame, wx: str = "wx", wy: str = "wy", out: str = "morton") -> DataFrame:
+    """60-bit curve key (x in the even bits); a tile of any zoom is one contiguous key range.
+
+    One projection per step: a step uses its input twice, so a single expression would double with each of the five.
+    """
+    df = df.withColumns({"_ma": F.shiftright(wx, 2), "_mb": F.shiftright(wy, 2)})
+    for shift, mask in INTERLEAVE:
+        step = {c: F.shiftleft(c, shift).bitwiseOR(F.col(c)).bitwiseAND(F.lit(mask)) for c in ("_ma", "_mb")}
+        df = df.withColumns(step)
+    return df.withColumn(out, F.col("_ma").bitwiseOR(F.shiftleft("_mb", 1))).drop("_ma", "_mb")
 
 
 def to_lonlat(

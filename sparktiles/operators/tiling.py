@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.projection import EXTENT_BITS, WORLD_BITS, morton, quantize, shift_left, shift_right, tile_of
+from ..functions.projection import WORLD_BITS, quantize, shift_left, shift_right, tile_of, with_morton
 from ..options import ACCUMULATORS, MAX_BUILD_ZOOM, MAX_TILE_FEATURES, OptionError
 
 TILE = ["zoom", "tile_x", "tile_y"]
@@ -188,7 +188,7 @@ def _top_per_tile(df: DataFrame, limit: int, hot_rows: int, largest: int) -> Dat
 def _by_density(df: DataFrame, limit: int, hot_rows: int) -> tuple[DataFrame, int]:
     """Tile points with `kept`: the `limit` of each tile that lie farthest behind their predecessor on the curve."""
     largest = _largest(tile_counts(df))
-    keyed = df.withColumn("morton", morton(F.col("wx"), F.col("wy")))
+    keyed = with_morton(df)
     if largest <= limit:
         return keyed.withColumn("kept", F.lit(True)), largest
     gaps = _with_previous(keyed, F.col("morton"), "_prev", hot_rows, largest)
@@ -359,7 +359,7 @@ def guess_maxzoom(points: DataFrame, hot_rows: int = HOT_TILE_ROWS) -> DataFrame
     per power of two: exact, and a few dozen rows rather than a sorted column.
     """
     p = assign_tiles(points.withColumn("zoom", F.lit(GUESS_TILE_ZOOM)))
-    keyed = p.withColumn("morton", morton(F.col("wx"), F.col("wy"))).select(*TILE, "fid", "wx", "wy", "morton")
+    keyed = with_morton(p).select(*TILE, "fid", "wx", "wy", "morton")
     here = F.struct("wx", "wy")
     seq = _with_previous(keyed, here, "_prev", hot_rows, _largest(tile_counts(p)))
     spacing = F.greatest(F.abs(F.col("wx") - F.col("_prev.wx")), F.abs(F.col("wy") - F.col("_prev.wy")))
