@@ -187,7 +187,7 @@ def q_drop_densest(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_drop_densest_hot(spark: SparkSession, sf: str) -> DataFrame:
     """The form for tiles too large for one task, forced on small ones."""
-    return tiling.drop_densest(_z2_z6(_events(spark, sf)), 20, hot_rows=64).select(*TILE, "fid")
+    return tiling.drop_densest(_z2_z6(_events(spark, sf)), 20, hot_rows=500).select(*TILE, "fid")
 
 
 def _coalesced(points: DataFrame, hot_rows: int) -> DataFrame:
@@ -201,7 +201,7 @@ def q_coalesce_densest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_coalesce_densest_hot(spark: SparkSession, sf: str) -> DataFrame:
-    return _coalesced(_events(spark, sf), 64)
+    return _coalesced(_events(spark, sf), 500)
 
 
 def q_cluster_points(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,7 +223,7 @@ def q_guess_maxzoom(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_guess_maxzoom_hot(spark: SparkSession, sf: str) -> DataFrame:
-    return tiling.guess_maxzoom(project_world(_orders(spark, sf)).select("fid", "wx", "wy"), hot_rows=16)
+    return tiling.guess_maxzoom(project_world(_orders(spark, sf)).select("fid", "wx", "wy"), hot_rows=50)
 
 
 def q_extend_zooms(spark: SparkSession, sf: str) -> DataFrame:

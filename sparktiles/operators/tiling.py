@@ -2,8 +2,8 @@
 
 A *point table* has `fid`, `wx`, `wy` and any attributes. A *tile point table* adds `zoom`, `tile_x`, `tile_y` and, after
 `quantize_points`, `px`, `py`. Steps before the tile shuffle are projections and generators only. A low-zoom tile can hold
-most rows of a table, so no step collects a tile: windows run over groups whose size is either counted first or bounded by
-the width of a key digit.
+most rows of a table, so no step collects a tile: windows run over tiles only after counting them, and over even slices of the
+curve order where a tile is too large.
 """
 
 from __future__ import annotations
@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from ..functions.projection import WORLD_BITS, quantize, shift_left, shift_right, tile_of, with_morton
 from ..options import ACCUMULATORS, MAX_BUILD_ZOOM, MAX_TILE_FEATURES, OptionError
+from .tables import materialise
 
 TILE = ["zoom", "tile_x", "tile_y"]
-# A window over one tile sorts at most this many rows in one task; larger tiles take the digit-wise form.
+# A window over one tile sorts at most this many rows in one task; larger ones are cut into slices.
 HOT_TILE_ROWS = 1_000_000
 # Fixed value: multiplier of the thinning hash.
 HASH_MULTIPLIER = 2654435761
@@ -111,59 +112,44 @@ def tile_pyramid(points: DataFrame, minzoom: int, maxzoom: int) -> DataFrame:
 # --- Ordered lookups inside a tile -------------------------------------------------------------------------------------
 
 
-def _digits(order: list[tuple[str, int]], bits: int) -> list[Column]:
-    out = []
-    for name, width in order:
-        for shift in range((width - 1) // bits * bits, -1, -bits):
-            out.append(shift_right(F.col(name), shift).bitwiseAND(F.lit((1 << bits) - 1)))
-    return out
-
-
-def previous_by_digits(
-    df: DataFrame, keys: list[str], order: list[tuple[str, int]], value: Column, out: str, bits: int = 20
-) -> DataFrame:
-    """Last non-null `value` among strictly earlier rows of the same key, for groups too large to sort in one task.
-
-    The order columns (name, bit width; non-negative, unique together within a key) are cut into digits of `bits` bits. A row
-    first looks among rows that share all but its last digit; failing that, at the last value of the nearest earlier
-    sibling one digit up, and so on. Each window group has at most 2^bits rows, however skewed the data is.
-    """
-    digits = _digits(order, bits)
-    names = [f"_d{i}" for i in range(len(digits))]
-    work = df.withColumns(dict(zip(names, digits))).withColumn("_v", value)
-
-    def look_back(rows: DataFrame, depth: int, found: str) -> DataFrame:
-        w = Window.partitionBy(*keys, *names[:depth]).orderBy(names[depth])
-        return rows.withColumn(found, F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-
-    def roll_up(rows: DataFrame, depth: int) -> DataFrame:
-        latest = F.max(F.when(F.col("_v").isNotNull(), F.struct(names[depth], "_v")))
-        return rows.groupBy(*keys, *names[:depth]).agg(latest.alias("_m")).withColumn("_v", F.col("_m._v")).drop("_m")
-
-    result, level = look_back(work, len(names) - 1, "_p"), work
-    for depth in range(len(names) - 2, -1, -1):
-        level = roll_up(level, depth + 1)
-        found = look_back(level, depth, "_q").drop("_v").filter(F.col("_q").isNotNull())
-        result = result.join(found, [*keys, *names[: depth + 1]], "left").withColumn("_p", F.coalesce("_p", "_q")).drop("_q")
-    return result.withColumn(out, F.col("_p")).drop("_p", "_v", *names)
-
-
 def tile_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(*TILE).agg(F.count("*").alias("n"))
 
 
-def _largest(counts: DataFrame) -> int:
-    return counts.agg(F.max("n")).first()[0] or 0
+def _fullest(counts: DataFrame) -> tuple[int, int]:
+    """Rows of the fullest tile, and of all tiles."""
+    row = counts.agg(F.max("n"), F.sum("n")).first()
+    return row[0] or 0, row[1] or 0
 
 
-def _with_previous(
-    df: DataFrame, value: Column, out: str, hot_rows: int, largest: int, keys: list[str] = TILE
-) -> DataFrame:
-    """`previous_by_digits`, or a plain window where every tile is known to be small enough for one task."""
+def _ordered(df: DataFrame, hot_rows: int, largest: int, total: int) -> DataFrame:
+    """Rows with their place in line: `_b` numbers slices of (tile, curve key, id) order that one task can sort.
+
+    Where every tile is small enough, a tile is a slice. Otherwise the slices are ranges of about `hot_rows` rows, however
+    the rows are spread over tiles and positions, and are written down so that they cannot change later.
+    """
+    keyed = with_morton(df)
     if largest <= hot_rows:
-        w = Window.partitionBy(*keys).orderBy("morton", "fid").rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-    return previous_by_digits(df, keys, [("morton", 60), ("fid", 63)], value, out)
+        return keyed.withColumn("_b", F.lit(0))
+    slices = -(-total // hot_rows)
+    ranged = keyed.repartitionByRange(slices, *TILE, "morton", "fid")
+    return materialise(ranged.withColumn("_b", F.spark_partition_id()))
+
+
+def _last_before(rows: DataFrame, value: Column, out: str, sliced: bool, keys: list[str]) -> DataFrame:
+    """The last non-null `value` among earlier rows of the same `keys`, in (curve key, id) order."""
+    before = (Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*keys, "_b").orderBy("morton", "fid").rowsBetween(*before)
+    rows = rows.withColumn("_v", value)
+    own = rows.withColumn(out, F.last("_v", ignorenulls=True).over(w)).drop("_v")
+    if not sliced:
+        return own
+    # What each slice hands to the next: one row per slice and key.
+    latest = F.max(F.when(F.col("_v").isNotNull(), F.struct("morton", "fid", "_v"))).alias("_m")
+    ends = rows.groupBy(*keys, "_b").agg(latest)
+    line = Window.partitionBy(*keys).orderBy("_b").rowsBetween(*before)
+    handed = ends.select(*keys, "_b", F.last("_m._v", ignorenulls=True).over(line).alias("_q")).filter(F.col("_q").isNotNull())
+    return own.join(handed, [*keys, "_b"], "left").withColumn(out, F.coalesce(out, "_q")).drop("_q")
 
 
 def _top_per_tile(df: DataFrame, limit: int, hot_rows: int, largest: int) -> DataFrame:
@@ -185,21 +171,22 @@ def _top_per_tile(df: DataFrame, limit: int, hot_rows: int, largest: int) -> Dat
 # --- TIL-9, TIL-10 -----------------------------------------------------------------------------------------------------
 
 
-def _by_density(df: DataFrame, limit: int, hot_rows: int) -> tuple[DataFrame, int]:
+def _by_density(df: DataFrame, limit: int, hot_rows: int) -> tuple[DataFrame, bool]:
     """Tile points with `kept`: the `limit` of each tile that lie farthest behind their predecessor on the curve."""
-    largest = _largest(tile_counts(df))
-    keyed = with_morton(df)
+    largest, total = _fullest(tile_counts(df))
+    hot = largest > hot_rows
+    rows = _ordered(df, hot_rows, largest, total)
     if largest <= limit:
-        return keyed.withColumn("kept", F.lit(True)), largest
-    gaps = _with_previous(keyed, F.col("morton"), "_prev", hot_rows, largest)
+        return rows.withColumn("kept", F.lit(True)), hot
+    gaps = _last_before(rows, F.col("morton"), "_prev", hot, TILE)
     gaps = gaps.withColumn("gap", F.col("morton") - F.col("_prev")).drop("_prev")
-    return _top_per_tile(gaps, limit, hot_rows, largest).drop("gap"), largest
+    return _top_per_tile(gaps, limit, hot_rows, largest).drop("gap"), hot
 
 
 def drop_densest(df: DataFrame, limit: int = MAX_TILE_FEATURES, hot_rows: int = HOT_TILE_ROWS) -> DataFrame:
     """TIL-9. `fid` must be unique within a tile and not NULL."""
     marked, _ = _by_density(df, limit, hot_rows)
-    return marked.filter("kept").drop("kept", "morton")
+    return marked.filter("kept").drop("kept", "morton", "_b")
 
 
 def coalesce_densest(
@@ -214,9 +201,9 @@ def coalesce_densest(
     Output: the survivor's columns, `point_count`, accumulated attributes, and the members' distinct `parts` as one geometry;
     for points that is at most one per grid cell, which bounds the group. Needs `parts`.
     """
-    marked, largest = _by_density(df, limit, hot_rows)
+    marked, hot = _by_density(df, limit, hot_rows)
     own = F.when(F.col("kept"), F.col("fid"))
-    joined = _with_previous(marked, own, "_s", hot_rows, largest, [*TILE, *by]).withColumn("_s", F.coalesce(own, "_s"))
+    joined = _last_before(marked, own, "_s", hot, [*TILE, *by]).withColumn("_s", F.coalesce(own, "_s"))
     group = [*TILE, *by, "_s"]
     attrs = accumulate or {}
     rest = [c for c in df.columns if c not in group and c not in attrs and c not in ("px", "py", "parts")]
@@ -336,7 +323,7 @@ def extend_zooms(points: DataFrame, maxzoom: int, limit: int, buffer: int = 5, c
     zoom = maxzoom
     while zoom < ceiling:
         tiles = buffered_tiles(points.withColumn("zoom", F.lit(zoom)), buffer)
-        if _largest(tile_counts(tiles)) <= limit:
+        if _fullest(tile_counts(tiles))[0] <= limit:
             break
         zoom += 1
     return zoom
@@ -359,9 +346,9 @@ def guess_maxzoom(points: DataFrame, hot_rows: int = HOT_TILE_ROWS) -> DataFrame
     per power of two: exact, and a few dozen rows rather than a sorted column.
     """
     p = assign_tiles(points.withColumn("zoom", F.lit(GUESS_TILE_ZOOM)))
-    keyed = with_morton(p).select(*TILE, "fid", "wx", "wy", "morton")
-    here = F.struct("wx", "wy")
-    seq = _with_previous(keyed, here, "_prev", hot_rows, _largest(tile_counts(p)))
+    largest, total = _fullest(tile_counts(p))
+    rows = _ordered(p.select(*TILE, "fid", "wx", "wy"), hot_rows, largest, total)
+    seq = _last_before(rows, F.struct("wx", "wy"), "_prev", largest > hot_rows, TILE)
     spacing = F.greatest(F.abs(F.col("wx") - F.col("_prev.wx")), F.abs(F.col("wy") - F.col("_prev.wy")))
     gaps = seq.filter(F.col("_prev").isNotNull()).select(spacing.alias("s"))
     # bin k holds [2^(k-1), 2^k); bin 0 holds 0

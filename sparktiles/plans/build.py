@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from dataclasses import dataclass, replace
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +15,7 @@ from ..operators.encode import PIECE_ROWS, encode_tiles, points_as_parts
 from ..operators.features import LONLAT, features
 from ..operators.geojson import write_geojsonl
 from ..operators.shapes import tile_shapes, vertices
+from ..operators.tables import materialise
 from ..options import MAX_TILE_BYTES, MAX_TILE_FEATURES, Options, derive_layer_name, parse_options
 from ..sources.tilesets import container_format, register, write_container, write_tiles
 
@@ -37,21 +36,6 @@ class TileBuild:
     maxzoom: int
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write a table to the shared checkpoint folder of the cluster and go on from it.
-
-    It fixes generated row numbers for retried tasks, and later passes read only the columns they need.
-    """
-    spark: SparkSession = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="sparktiles-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder}/sparktiles-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 # --- Steps -------------------------------------------------------------------------------------------------------------
 
 
@@ -137,7 +121,7 @@ def thinned_by_density(tiled: DataFrame, opts: Options, limit: int) -> DataFrame
     if opts.coalesce_densest_as_needed:
         wide, attrs, replaced = _accumulated(keyed, opts)
         joined = tiling.coalesce_densest(wide, limit, attrs, by=("layer", "gtype"))
-        counted = with_point_count(joined, F.col("point_count"), replaced).drop("point_count", "morton", "kept", *attrs)
+        counted = with_point_count(joined, F.col("point_count"), replaced).drop("point_count", *attrs)
     else:
         counted = tiling.drop_densest(keyed, limit)
     return counted.withColumn("fid", F.col("_id")).drop("_id")
