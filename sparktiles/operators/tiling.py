@@ -186,7 +186,7 @@ def _by_density(df: DataFrame, limit: int, hot_rows: int) -> tuple[DataFrame, bo
 def drop_densest(df: DataFrame, limit: int = MAX_TILE_FEATURES, hot_rows: int = HOT_TILE_ROWS) -> DataFrame:
     """TIL-9. `fid` must be unique within a tile and not NULL."""
     marked, _ = _by_density(df, limit, hot_rows)
-    return marked.filter("kept").drop("kept", "morton", "_b")
+    return marked.filter("kept").select(*df.columns)
 
 
 def coalesce_densest(

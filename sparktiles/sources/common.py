@@ -170,6 +170,8 @@ class TilesetReader(DataSourceReader):
         raise NotImplementedError
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
+        if partition is None:
+            return  # Spark reads once even where pruning left no partition
         if self.features:
             yield from decode_rows(self.stored(partition), self.attributes, self.layer, self.strict)
             return
