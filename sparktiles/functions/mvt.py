@@ -258,16 +258,22 @@ class FeatureBatch:
         self.fid: list[int | None] = []
         self.gtype: list[int] = []
         self.geometry: list[bytes] = []
-        self.cells: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # feature, slot, value number
         self.values: list[object] = []
+        # Per feature, also those that turn out to have no geometry: their tags are checked all the same.
+        self.tags: list[bytes] = []
+        self.live: list[bool] = []
+        # Per layer: its number of features, of keys and of values; and the slot of every key.
+        self.sizes: list[tuple[int, int, int]] = []
+        self.keys: list[int] = []
 
     def __len__(self) -> int:
         return len(self.fid)
 
-    def add_layer(self, buf: bytes, pos: int, end: int, name: str, tile: tuple[int, int, int]) -> None:
+    def add_layer(self, buf: bytes, pos: int, end: int, tile: tuple[int, int, int]) -> None:
         """Features are resolved after the whole layer is read: its tables may follow them."""
-        keys, first_value, extent = [], len(self.values), EXTENT
-        found: list[tuple[int | None, bytes, int, bytes]] = []
+        name, extent, before = "", EXTENT, len(self.fid)
+        features, keys, values = len(self.tags), len(self.keys), len(self.values)
+        slot = self.slot
         for field, _, a, b in fields(buf, pos, end):
             if field == 2:
                 fid, tags, kind, geom = None, b"", 0, b""
@@ -275,55 +281,57 @@ class FeatureBatch:
                     if f == 1:
                         fid = c
                     elif f == 2:
-                        tags += buf[c:d]
+                        tags = tags + buf[c:d] if tags else buf[c:d]
                     elif f == 3:
                         kind = c
                     elif f == 4:
                         geom = buf[c:d]
-                found.append((fid, tags, kind, geom))
+                self.tags.append(tags)
+                # DEC-4: no geometry or an unknown type drops the row
+                ok = bool(geom) and kind in (POINT, LINE, POLYGON)
+                self.live.append(ok)
+                if ok:
+                    self.fid.append(fid)
+                    self.gtype.append(kind)
+                    self.geometry.append(geom)
             elif field == 3:
-                keys.append(self.slot.get(buf[a:b].decode("utf-8", "replace").lower(), -1))
+                self.keys.append(slot.get(buf[a:b].decode("utf-8", "replace").lower(), -1))
             elif field == 4:
                 self.values.append(read_value(buf, a, b))
+            elif field == 1:
+                name = buf[a:b].decode("utf-8", "replace")
             elif field == 5:
                 extent = a
-        # DEC-4: no geometry or an unknown type drops the row, after its tags were checked
-        live = np.array([bool(g) and k in (POINT, LINE, POLYGON) for _, _, k, g in found], bool)
-        number = len(self.fid) + np.cumsum(live) - 1
-        self._add_tags([t for _, t, _, _ in found], live, number, np.array(keys, np.int64), first_value)
-        for (fid, _, kind, geom), ok in zip(found, live):
-            if ok:
-                self.fid.append(fid)
-                self.gtype.append(kind)
-                self.geometry.append(geom)
-        n = int(live.sum())
+        self.sizes.append((len(self.tags) - features, len(self.keys) - keys, len(self.values) - values))
+        n = len(self.fid) - before
         self.layer += [name] * n
         self.tile += [tile] * n
         self.extent += [extent] * n
 
-    def _add_tags(self, tags: list[bytes], live: np.ndarray, number: np.ndarray, keys: np.ndarray, first: int) -> None:
-        r = Ragged.of(tags)
+    def columns(self) -> tuple[list[np.ndarray], pa.Array]:
+        """Per attribute slot, the value number per feature (-1: absent), and the geometries as WKB."""
+        width = max(self.slot.values(), default=-1) + 1
+        grid = np.full((len(self), width), -1, np.int64)
+        r = Ragged.of(self.tags)
         ints, ends = read_varints(r.data)
         bounds = np.searchsorted(ends, r.offsets, side="right")
         if len(ints) and not np.array_equal(np.concatenate([[0], ends])[bounds], r.offsets):
             raise ValueError("Malformed vector tile: truncated field")
         pairs = np.diff(bounds) // 2  # an odd trailing tag is ignored
-        at = spans(bounds[:-1], pairs * 2)
-        flat = ints[at].astype(np.int64).reshape(-1, 2)
-        owner = np.repeat(np.arange(len(tags)), pairs)
-        if len(flat) and (flat.min() < 0 or flat[:, 0].max() >= len(keys) or flat[:, 1].max() >= len(self.values) - first):
+        flat = ints[spans(bounds[:-1], pairs * 2)].astype(np.int64).reshape(-1, 2)
+        sizes = np.array(self.sizes, np.int64).reshape(-1, 3)
+        starts = np.cumsum(sizes, axis=0) - sizes
+        owner = np.repeat(np.arange(len(self.tags)), pairs)
+        layer = np.repeat(np.arange(len(sizes)), sizes[:, 0])[owner]
+        if len(flat) and ((flat < 0) | (flat >= sizes[layer, 1:])).any():
             raise ValueError("Malformed vector tile: attribute index out of range")
-        slots = keys[flat[:, 0]] if len(flat) else np.zeros(0, np.int64)
-        use = (slots >= 0) & live[owner] if len(flat) else np.zeros(0, bool)
-        self.cells.append((number[owner[use]], slots[use], flat[use, 1] + first))
-
-    def columns(self) -> tuple[list[np.ndarray], pa.Array]:
-        """Per attribute slot, the value number per feature (-1: absent), and the geometries as WKB."""
-        width = max(self.slot.values(), default=-1) + 1
-        grid = np.full((len(self), width), -1, np.int64)
-        for feature, slot, value in reversed(self.cells):
+        if len(flat) and width:
+            slots = np.array(self.keys, np.int64)[flat[:, 0] + starts[layer, 1]]
+            live = np.array(self.live, bool)
+            use = np.flatnonzero((slots >= 0) & live[owner])[::-1]
+            row = np.cumsum(live) - 1
             # written back to front, so that the first of several matches is what stays
-            grid[feature[::-1], slot[::-1]] = value[::-1]
+            grid[row[owner[use]], slots[use]] = (flat[:, 1] + starts[layer, 2])[use]
         return list(grid.T), self._wkb()
 
     def _wkb(self) -> pa.Array:

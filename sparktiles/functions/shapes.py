@@ -141,14 +141,27 @@ def split(s: Shapes, zoom: int, tx: np.ndarray, ty: np.ndarray, buffer: int) ->
     grow = buffer * side / 256
     made, source, cx, cy = [], [], [], []
     base = 0
+    low = [s.ring_min(axis) for axis in (0, 1)]
+    high = [s.ring_max(axis) for axis in (0, 1)]
+    point = s.kind == POINT
     for i in (0, 1):
         for j in (0, 1):
             x, y = 2 * tx + i, 2 * ty + j
-            part = clip(s, x * side - grow, y * side - grow, (x + 1) * side + grow, (y + 1) * side + grow)
+            box = x * side - grow, y * side - grow, (x + 1) * side + grow, (y + 1) * side + grow
+            x0, y0, x1, y1 = (c[s.piece] for c in box)
+            out = (high[0] < x0) | (low[0] > x1) | (high[1] < y0) | (low[1] > y1)
+            whole = (low[0] >= x0) & (high[0] <= x1) & (low[1] >= y0) & (high[1] <= y1)
+            whole &= ~(point & ((high[0] == x1) | (high[1] == y1)))
+            part = s.rings(np.flatnonzero(whole))
+            cut = np.flatnonzero(~out & ~whole)
+            if len(cut):
+                part = concat([part, clip(s.rings(cut), *box)])
+                part = part.rings(np.lexsort((part.hole, part.poly, part.piece)))
             if not len(part):
                 continue
             used, renumbered = np.unique(part.piece, return_inverse=True)
-            made.append(part.rings(np.arange(len(part)), renumbered + base))
+            part.piece = renumbered + base
+            made.append(part)
             source.append(used)
             cx.append(x[used])
             cy.append(y[used])

@@ -88,11 +88,12 @@ def decode_rows(
         if any(i is not None and i > 0x7FFFFFFFFFFFFFFF for i in batch.fid):
             raise ValueError("feature id does not fit a LONG")
         slots, geom = batch.columns()
-        zoom, x, y = (pa.array(c, pa.int32()) for c in zip(*batch.tile))
+        zoom, x, y = (pa.array(c, pa.int32()) for c in np.array(batch.tile, np.int64).reshape(-1, 3).T)
         cols = [geom, pa.array(batch.layer, pa.string()), zoom, x, y, pa.array(batch.fid, pa.int64())]
         for number, (_, kind) in zip(slots, attributes):
-            used = {int(n): cast_value(batch.values[n], kind, strict) for n in np.unique(number) if n >= 0}
-            cols.append(pa.array([used.get(n) for n in number.tolist()], ARROW[kind]))
+            distinct, at = np.unique(number, return_inverse=True)
+            cast = [None if n < 0 else cast_value(batch.values[n], kind, strict) for n in distinct.tolist()]
+            cols.append(pa.array(cast, ARROW[kind]).take(pa.array(at)))
         out = pa.record_batch(cols, schema=schema)
         return out.filter(out.column("geom").is_valid()) if out.column("geom").null_count else out
 
@@ -100,15 +101,14 @@ def decode_rows(
     for zoom, x, y, data in tiles:
         buf = mvt.gunzip_tile(bytes(data))
         for a, b in mvt.tile_layers(buf):
-            name = mvt.layer_name(buf, a, b)
             # SRC-9: decided on the name, before any feature is decoded; empty text is no filter
-            if layer and name.lower() != layer.lower():
+            if layer and mvt.layer_name(buf, a, b).lower() != layer.lower():
                 continue
-            batch.add_layer(buf, a, b, name, (zoom, x, y))
-        if len(batch) >= BATCH_FEATURES:
+            batch.add_layer(buf, a, b, (zoom, x, y))
+        if len(batch.tags) >= BATCH_FEATURES:
             yield flush(batch)
             batch = mvt.FeatureBatch(names)
-    if len(batch):
+    if batch.tags:
         yield flush(batch)
 
 

@@ -6,22 +6,26 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import mvt
 from ..functions.jsontext import render
 from ..functions.ragged import Ragged
-from .tiling import TILE, tile_counts
+from .tiling import TILE, fullest, tile_counts
 
 # A tile with more rows than this is encoded in pieces, by several tasks.
 PIECE_ROWS = 100_000
+# Rows an encoding task is given.
+TASK_ROWS = 500_000
 # The list of tiles to split is broadcast up to this many rows, and joined with a shuffle beyond.
 BROADCAST_TILES = 100_000
 
 TILE_SCHEMA = "zoom int, tile_x int, tile_y int, tile_data binary"
 PIECE_SCHEMA = (
-    "zoom int, tile_x int, tile_y int, layer string, piece long, pieces long, features binary, attributes array<binary>"
+    "zoom int, tile_x int, tile_y int, layer string, piece long, pieces long, features binary, attributes array<binary>, "
+    "tile_data binary"
 )
 TILE_ARROW = pa.schema(
     [("zoom", pa.int32()), ("tile_x", pa.int32()), ("tile_y", pa.int32()), ("tile_data", pa.binary())]
@@ -36,6 +40,7 @@ PIECE_ARROW = pa.schema(
         ("pieces", pa.int64()),
         ("features", pa.binary()),
         ("attributes", pa.list_(pa.binary())),
+        ("tile_data", pa.binary()),
     ]
 )
 Batches = Iterator[pa.RecordBatch]
@@ -96,8 +101,8 @@ def _property_columns(b: pa.RecordBatch, names: list[str]) -> list[pa.Array]:
     return out
 
 
-def _layers(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, Ragged, Ragged, np.ndarray, np.ndarray]:
-    """First row of each (tile, layer), its features, all value fields, their bounds per layer, and the pieces column."""
+def _layers(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, Ragged, Ragged, np.ndarray]:
+    """First row of each (tile, piece, layer), its features, all value fields, and their bounds per layer."""
     starts = _starts(b, [*TILE, "layer", "piece"])
     bounds = np.append(starts, b.num_rows)
     group = np.repeat(np.arange(len(starts)), np.diff(bounds))
@@ -106,33 +111,50 @@ def _layers(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, Ragged, Ra
     tags, values, counts = mvt.attribute_tables(group, len(starts), _property_columns(b, names), pieces, piece)
     features = mvt.feature_bytes(b.column("fid"), tags, gtype, mvt.geometry_bytes(gtype, b.column("parts")))
     value_bounds = np.append(0, np.cumsum(counts))
-    return starts, features.merge(bounds), values.field(mvt.LAYER_VALUE), value_bounds, pieces
+    return starts, features.merge(bounds), values.field(mvt.LAYER_VALUE), value_bounds
+
+
+def _whole_tiles(b: pa.RecordBatch, names: list[str], level: int) -> list[pa.Array]:
+    """zoom, tile_x, tile_y, tile_data of a batch that holds whole tiles."""
+    starts, features, values, value_bounds = _layers(b, names)
+    layer = Ragged.from_arrow(b.column("layer").take(pa.array(starts)))
+    layers = mvt.layer_bytes(layer, features, names, values.merge(value_bounds))
+    heads = _starts(b, TILE)
+    tiles = layers.merge(np.append(np.searchsorted(starts, heads), len(starts)))
+    data = pa.array([mvt.gzip_tile(t, level) for t in tiles.tolist()], pa.binary())
+    return [*(b.column(k).take(pa.array(heads)) for k in TILE), data]
 
 
 def _encode(names: list[str], level: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         for b in whole_groups(batches, TILE):
-            starts, features, values, value_bounds, _ = _layers(b, names)
-            layer = Ragged.from_arrow(b.column("layer").take(pa.array(starts)))
-            layers = mvt.layer_bytes(layer, features, names, values.merge(value_bounds))
-            heads = _starts(b, TILE)
-            tiles = layers.merge(np.append(np.searchsorted(starts, heads), len(starts)))
-            cols = [b.column(k).take(pa.array(heads)) for k in TILE]
-            data = pa.array([mvt.gzip_tile(t, level) for t in tiles.tolist()], pa.binary())
-            yield pa.record_batch([*cols, data], schema=TILE_ARROW)
+            yield pa.record_batch(_whole_tiles(b, names, level), schema=TILE_ARROW)
 
     return run
 
 
-def _encode_pieces(names: list[str]) -> Callable[[Batches], Batches]:
+def _filled(cols: dict[str, pa.Array]) -> pa.RecordBatch:
+    n = len(next(iter(cols.values())))
+    arrays = [cols[f.name].cast(f.type) if f.name in cols else pa.nulls(n, f.type) for f in PIECE_ARROW]
+    return pa.record_batch(arrays, schema=PIECE_ARROW)
+
+
+def _encode_pieces(names: list[str], level: int) -> Callable[[Batches], Batches]:
+    """Tiles in one piece are finished here; of the others, each piece's features and value table."""
+
     def run(batches: Batches) -> Batches:
         for b in whole_groups(batches, [*TILE, "piece"]):
-            starts, features, values, value_bounds, pieces = _layers(b, names)
-            at = pa.array(starts)
-            cols = [b.column(k).take(at) for k in [*TILE, "layer", "piece", "pieces"]]
-            lists = pa.ListArray.from_arrays(pa.array(value_bounds, pa.int32()), values.to_arrow())
-            arrays = [*cols, features.to_arrow(), lists]
-            yield pa.record_batch([a.cast(f.type) for a, f in zip(arrays, PIECE_ARROW)], schema=PIECE_ARROW)
+            alone = b.column("pieces").to_numpy() == 1
+            if alone.any():
+                yield _filled(dict(zip([*TILE, "tile_data"], _whole_tiles(b.filter(pa.array(alone)), names, level))))
+            if alone.all():
+                continue
+            cut = b.filter(pa.array(~alone))
+            starts, features, values, value_bounds = _layers(cut, names)
+            cols = {k: cut.column(k).take(pa.array(starts)) for k in [*TILE, "layer", "piece", "pieces"]}
+            cols["features"] = features.to_arrow()
+            cols["attributes"] = pa.ListArray.from_arrays(pa.array(value_bounds, pa.int32()), values.to_arrow())
+            yield _filled(cols)
 
     return run
 
@@ -156,9 +178,16 @@ def _join_pieces(names: list[str], level: int) -> Callable[[Batches], Batches]:
 
     def run(batches: Batches) -> Batches:
         for b in whole_groups(batches, TILE):
-            bounds = np.append(_starts(b, TILE), b.num_rows).tolist()
+            done = b.column("tile_data").is_valid()
+            finished = b.filter(done)
+            if finished.num_rows:
+                yield pa.record_batch([finished.column(f.name) for f in TILE_ARROW], schema=TILE_ARROW)
+            cut = b.filter(pc.invert(done))
+            if not cut.num_rows:
+                continue
+            bounds = np.append(_starts(cut, TILE), cut.num_rows).tolist()
             for start, end in zip(bounds, bounds[1:]):
-                rows = b.slice(start, end - start).to_pylist()
+                rows = cut.slice(start, end - start).to_pylist()
                 key = [pa.array([rows[0][k]], pa.int32()) for k in TILE]
                 yield pa.record_batch([*key, pa.array([tile(rows)], pa.binary())], schema=TILE_ARROW)
 
@@ -168,35 +197,35 @@ def _join_pieces(names: list[str], level: int) -> Callable[[Batches], Batches]:
 def encode_tiles(
     df: DataFrame,
     largest: int | None = None,
+    total: int | None = None,
     piece_rows: int = PIECE_ROWS,
     level: int = 6,
     key: str = "fid",
 ) -> DataFrame:
     """Tile table from `zoom, tile_x, tile_y, layer, fid, gtype, parts, props`.
 
-    `parts` is array<array<int>> of tile-local x0,y0,x1,y1,...; `props` a struct. One shuffle by tile. `largest` is the row
-    count of the fullest tile (counted here if not given): when it is over `piece_rows`, such tiles are cut by a hash of
-    `key` into pieces that separate tasks encode, and a second shuffle brings the encoded pieces together.
+    `parts` is array<array<int>> of tile-local x0,y0,x1,y1,...; `props` a struct. One shuffle by tile, into tasks of about
+    `TASK_ROWS` rows. `largest` and `total` are the row counts of the fullest tile and of all (counted here if not given):
+    when the fullest is over `piece_rows`, such tiles are cut by a hash of `key` into pieces that separate tasks encode, and
+    a second shuffle, of encoded bytes only, brings the pieces together.
     """
     names = [n for n in df.schema["props"].dataType.names if n != "_"]
     order = [*TILE, "layer", "fid"]
-    counts = None
-    if largest is None:
-        counts = tile_counts(df)
-        largest = counts.agg(F.max("n")).first()[0] or 0
+    if largest is None or total is None:
+        largest, total = fullest(tile_counts(df))
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
     if largest <= piece_rows:
         whole = df.withColumns({"piece": F.lit(0).cast("long"), "pieces": F.lit(1).cast("long")})
-        return whole.repartition(*TILE).sortWithinPartitions(*order).mapInArrow(_encode(names, level), TILE_SCHEMA)
-    counts = tile_counts(df) if counts is None else counts
-    split = counts.filter(F.col("n") > piece_rows).select(*TILE, F.ceil(F.col("n") / piece_rows).alias("pieces"))
+        return whole.repartition(tasks, *TILE).sortWithinPartitions(*order).mapInArrow(_encode(names, level), TILE_SCHEMA)
+    split = tile_counts(df).filter(F.col("n") > piece_rows).select(*TILE, F.ceil(F.col("n") / piece_rows).alias("pieces"))
     small = split.limit(BROADCAST_TILES + 1).count() <= BROADCAST_TILES
     cut = df.join(F.broadcast(split) if small else split, TILE, "left")
     cut = cut.withColumn("pieces", F.coalesce("pieces", F.lit(1).cast("long")))
     cut = cut.withColumn("piece", F.pmod(F.xxhash64(key), F.col("pieces")))
     pieces = (
-        cut.repartition(*TILE, "piece")
+        cut.repartition(tasks, *TILE, "piece")
         .sortWithinPartitions(*TILE, "piece", "layer", "fid")
-        .mapInArrow(_encode_pieces(names), PIECE_SCHEMA)
+        .mapInArrow(_encode_pieces(names, level), PIECE_SCHEMA)
     )
     joined = pieces.repartition(*TILE).sortWithinPartitions(*TILE, "layer", "piece")
     return joined.mapInArrow(_join_pieces(names, level), TILE_SCHEMA)

@@ -43,15 +43,18 @@ def _trees(b: pa.RecordBatch) -> Iterator[tuple[int, wkb.Geometry]]:
             yield row, tree
 
 
-def _load(b: pa.RecordBatch) -> tuple[sh.Shapes, np.ndarray, np.ndarray]:
-    """All shapes of a batch in world units, their source rows, and which are single points."""
+def _load(b: pa.RecordBatch, skip: np.ndarray) -> tuple[sh.Shapes, np.ndarray, np.ndarray]:
+    """Shapes of a batch in world units, their source rows, and which are single points; `skip` rows are left out."""
     rows, single, verts, sizes, piece, kind, poly, hole = [], [], [], [], [], [], [], []
-    for row, tree in _trees(b):
+    keep = np.ones(b.num_rows, bool)
+    keep[skip] = False
+    numbers = np.flatnonzero(keep)
+    for row, tree in _trees(b.filter(pa.array(keep)) if len(skip) else b):
         for gtype, parts in wkb.simple_parts(tree):
-            rows.append(row)
+            rows.append(numbers[row])
             single.append(gtype == sh.POINT and len(parts) == 1)
             for v, i, h in parts:
-                if gtype == sh.POLYGON and len(v) > 1 and (v[0] == v[-1]).all():
+                if gtype == sh.POLYGON and len(v) > 1 and v[0, 0] == v[-1, 0] and v[0, 1] == v[-1, 1]:
                     v = v[:-1]
                 verts.append(v)
                 sizes.append(len(v))
@@ -141,17 +144,25 @@ class _Cutter:
                 out.append(pa.nulls(n, f.type))
         return pa.record_batch(out, schema=self.arrow)
 
+    def _points(self, b: pa.RecordBatch, rows: np.ndarray, xy: np.ndarray) -> pa.RecordBatch:
+        wx = xy[:, 0].astype(np.int64) & (WORLD - 1)
+        wy = np.clip(xy[:, 1].astype(np.int64), 0, WORLD - 1)
+        return self._batch(b, rows, {"gtype": np.full(len(rows), sh.POINT), "wx": wx, "wy": wy})
+
     def start(self, batches: Batches) -> Batches:
         for b in batches:
-            s, rows, single = _load(b)
+            none = np.zeros(0, np.int64)
+            plain, lonlat = wkb.plain_points(b.column("geom")) if "geom" in b.schema.names else (none, np.zeros((0, 2)))
+            filled = ~np.isnan(lonlat).all(axis=1)
+            if filled.any():
+                yield self._points(b, plain[filled], project(lonlat[filled]))
+            s, rows, single = _load(b, plain)
             if not len(s):
                 continue
             points = single[s.piece]
             if points.any():
                 p = s.rings(np.flatnonzero(points))
-                wx = p.xy[:, 0].astype(np.int64) & (WORLD - 1)
-                wy = np.clip(p.xy[:, 1].astype(np.int64), 0, WORLD - 1)
-                yield self._batch(b, rows[p.piece], {"gtype": np.full(len(p), sh.POINT), "wx": wx, "wy": wy})
+                yield self._points(b, rows[p.piece], p.xy)
             if points.all():
                 continue
             rest = np.flatnonzero(~points)

@@ -116,7 +116,7 @@ def tile_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(*TILE).agg(F.count("*").alias("n"))
 
 
-def _fullest(counts: DataFrame) -> tuple[int, int]:
+def fullest(counts: DataFrame) -> tuple[int, int]:
     """Rows of the fullest tile, and of all tiles."""
     row = counts.agg(F.max("n"), F.sum("n")).first()
     return row[0] or 0, row[1] or 0
@@ -173,7 +173,7 @@ def _top_per_tile(df: DataFrame, limit: int, hot_rows: int, largest: int) -> Dat
 
 def _by_density(df: DataFrame, limit: int, hot_rows: int) -> tuple[DataFrame, bool]:
     """Tile points with `kept`: the `limit` of each tile that lie farthest behind their predecessor on the curve."""
-    largest, total = _fullest(tile_counts(df))
+    largest, total = fullest(tile_counts(df))
     hot = largest > hot_rows
     rows = _ordered(df, hot_rows, largest, total)
     if largest <= limit:
@@ -323,7 +323,7 @@ def extend_zooms(points: DataFrame, maxzoom: int, limit: int, buffer: int = 5, c
     zoom = maxzoom
     while zoom < ceiling:
         tiles = buffered_tiles(points.withColumn("zoom", F.lit(zoom)), buffer)
-        if _fullest(tile_counts(tiles))[0] <= limit:
+        if fullest(tile_counts(tiles))[0] <= limit:
             break
         zoom += 1
     return zoom
@@ -346,7 +346,7 @@ def guess_maxzoom(points: DataFrame, hot_rows: int = HOT_TILE_ROWS) -> DataFrame
     per power of two: exact, and a few dozen rows rather than a sorted column.
     """
     p = assign_tiles(points.withColumn("zoom", F.lit(GUESS_TILE_ZOOM)))
-    largest, total = _fullest(tile_counts(p))
+    largest, total = fullest(tile_counts(p))
     rows = _ordered(p.select(*TILE, "fid", "wx", "wy"), hot_rows, largest, total)
     seq = _last_before(rows, F.struct("wx", "wy"), "_prev", largest > hot_rows, TILE)
     spacing = F.greatest(F.abs(F.col("wx") - F.col("_prev.wx")), F.abs(F.col("wy") - F.col("_prev.wy")))

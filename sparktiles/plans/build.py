@@ -147,6 +147,12 @@ def vector_layers(feats: DataFrame, minzoom: int, maxzoom: int, extra: dict[str,
     return out
 
 
+def dealt_out(feats: DataFrame) -> DataFrame:
+    """Cutting shapes is work for many tasks: a table in fewer partitions than there are cores is dealt out first."""
+    cores = feats.sparkSession.sparkContext.defaultParallelism
+    return feats.repartition(cores, "rid") if feats.rdd.getNumPartitions() < cores else feats
+
+
 # --- The build ---------------------------------------------------------------------------------------------------------
 
 
@@ -159,6 +165,8 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
     dense = opts.drop_densest_as_needed or opts.coalesce_densest_as_needed
     if dense:
         feats = materialise(feats)
+    elif binding.kind != LONLAT:
+        feats = dealt_out(feats)
     limit = opts.tile_feature_limit
     maxzoom = opts.maxzoom
     if maxzoom is None:
@@ -175,7 +183,7 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
 
     rows = tiled(feats)
     counts = tiling.tile_counts(rows)
-    largest = counts.agg(F.max("n")).first()[0] or 0
+    largest, total = tiling.fullest(counts)
     if largest == 0 and not opts.allow_empty:
         raise TileBuildError("no features: the input has no row with a geometry to tile")
     if not opts.no_feature_limit and largest > MAX_TILE_FEATURES:
@@ -184,7 +192,7 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
         raise TileBuildError(f"could not make tile {shown}: more than {MAX_TILE_FEATURES} features")
     if largest > PIECE_ROWS and binding.kind == LONLAT and not dense:
         rows = tiled(materialise(feats))  # row numbers choose the piece, so they must not change under a retry
-    tiles = encode_tiles(rows, largest, key="rid")
+    tiles = encode_tiles(rows, largest, total, key="rid")
     if not opts.no_tile_size_limit:
         tiles = capped(tiles, MAX_TILE_BYTES)
     counted = opts.cluster_distance is not None or opts.coalesce_densest_as_needed

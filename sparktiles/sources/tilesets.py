@@ -95,7 +95,8 @@ def by_block(tiles: DataFrame) -> DataFrame:
     pass, which would encode every tile twice.
     """
     blocks = [F.shiftright(c, BLOCK_BITS) for c in ("tile_x", "tile_y")]
-    return with_tile_id(tiles.repartition("zoom", *blocks)).sortWithinPartitions("tile_id").drop("tile_id")
+    tasks = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return with_tile_id(tiles.repartition(tasks, "zoom", *blocks)).sortWithinPartitions("tile_id").drop("tile_id")
 
 
 def write_container(
