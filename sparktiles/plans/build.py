@@ -148,7 +148,7 @@ def vector_layers(feats: DataFrame, minzoom: int, maxzoom: int, extra: dict[str,
 
 
 def dealt_out(feats: DataFrame) -> DataFrame:
-    """Cutting shapes is work for many tasks: a table in fewer partitions than there are cores is dealt out first."""
+    """Fan-out multiplies the rows, so a table in fewer partitions than there are cores is dealt out before it, not after."""
     cores = feats.sparkSession.sparkContext.defaultParallelism
     return feats.repartition(cores, "rid") if feats.rdd.getNumPartitions() < cores else feats
 
@@ -165,7 +165,7 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
     dense = opts.drop_densest_as_needed or opts.coalesce_densest_as_needed
     if dense:
         feats = materialise(feats)
-    elif binding.kind != LONLAT:
+    else:
         feats = dealt_out(feats)
     limit = opts.tile_feature_limit
     maxzoom = opts.maxzoom

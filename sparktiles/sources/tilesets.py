@@ -18,8 +18,8 @@ from .common import MANIFEST, filesystem
 from .mbtiles import MBTilesSource
 from .pmtiles import PMTilesSource
 
-# Side of the square tile blocks a container export is dealt out by: 2^6 x 2^6 tiles.
-BLOCK_BITS = 6
+# Side of the square tile blocks a container export is dealt out by: 2^5 x 2^5 tiles.
+BLOCK_BITS = 5
 # Largest tileset, in stored tile bytes, that may be written as one file by one task.
 SINGLE_FILE_BYTES = 2 << 30
 
