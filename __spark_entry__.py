@@ -841,6 +841,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_custkey AS fid, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, fid) - 1 AS INTEGER) AS pos,
               ux AS x, uy AS y FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS stops FROM world) AS world
             WHERE stops > 1""",
+        "line_tiles": f"""{_with(_ORDERS, _WORLD, _spread(0, 6))},
+            cells AS (
+              SELECT zoom, o_custkey, count(DISTINCT CAST(ux >> (20 - zoom) AS HUGEINT) * 1000000000 + (uy >> (20 - zoom))) AS n
+              FROM spread GROUP BY zoom, o_custkey)
+            SELECT zoom, count(*) AS features FROM cells WHERE n > 1 GROUP BY zoom""",
         "hole_roundtrip": "SELECT s_suppkey AS fid, CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END AS rings FROM supplier",
         "geometry_profile": _profile_sql(),
         "dedupe_features": f"""{_rows_sql(8, 8)},

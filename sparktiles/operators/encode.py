@@ -101,6 +101,20 @@ def _property_columns(b: pa.RecordBatch, names: list[str]) -> list[pa.Array]:
     return out
 
 
+def _geometries(b: pa.RecordBatch, gtype: np.ndarray) -> Ragged:
+    """Command streams: as they come in `commands` where that is filled, else from `parts`."""
+    if "commands" not in b.schema.names:
+        return mvt.geometry_bytes(gtype, b.column("parts"))
+    ready = b.column("commands").is_valid().to_numpy(zero_copy_only=False)
+    given = Ragged.from_arrow(b.column("commands"))
+    if ready.all():
+        return given
+    made = mvt.geometry_bytes(gtype[~ready], b.column("parts").filter(pa.array(~ready)))
+    place = np.arange(len(gtype))
+    place[~ready] = len(gtype) + np.arange(len(made))
+    return mvt.vconcat([given, made]).take(place)
+
+
 def _layers(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, Ragged, Ragged, np.ndarray]:
     """First row of each (tile, piece, layer), its features, all value fields, and their bounds per layer."""
     starts = _starts(b, [*TILE, "layer", "piece"])
@@ -109,7 +123,7 @@ def _layers(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, Ragged, Ra
     gtype = b.column("gtype").to_numpy().astype(np.int64)
     pieces, piece = (b.column(k).to_numpy().astype(np.int64) for k in ("pieces", "piece"))
     tags, values, counts = mvt.attribute_tables(group, len(starts), _property_columns(b, names), pieces, piece)
-    features = mvt.feature_bytes(b.column("fid"), tags, gtype, mvt.geometry_bytes(gtype, b.column("parts")))
+    features = mvt.feature_bytes(b.column("fid"), tags, gtype, _geometries(b, gtype))
     value_bounds = np.append(0, np.cumsum(counts))
     return starts, features.merge(bounds), values.field(mvt.LAYER_VALUE), value_bounds
 
@@ -204,7 +218,8 @@ def encode_tiles(
 ) -> DataFrame:
     """Tile table from `zoom, tile_x, tile_y, layer, fid, gtype, parts, props`.
 
-    `parts` is array<array<int>> of tile-local x0,y0,x1,y1,...; `props` a struct. One shuffle by tile, into tasks of about
+    `parts` is array<array<int>> of tile-local x0,y0,x1,y1,...; a `commands` column, where filled, is the geometry already in tile
+    form and goes before it. `props` is a struct. One shuffle by tile, into tasks of about
     `TASK_ROWS` rows. `largest` and `total` are the row counts of the fullest tile and of all (counted here if not given):
     when the fullest is over `piece_rows`, such tiles are cut by a hash of `key` into pieces that separate tasks encode, and
     a second shuffle, of encoded bytes only, brings the pieces together.

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import mvt, wkb
 from ..functions import shapes as sh
-from ..functions import wkb
 from ..functions.projection import BAD_LAT, BAD_LON, LAT_LIMIT, LON_LIMIT, WORLD
 from ..functions.ragged import offsets_of, spans
 
@@ -129,6 +129,7 @@ class _Cutter:
 
     def __init__(self, carry: list[str], arrow: pa.Schema, minzoom: int, maxzoom: int, stop: int, buffer: int, tol: float):
         self.carry, self.arrow = carry, arrow
+        self.encoded = "commands" in arrow.names
         self.minzoom, self.maxzoom, self.stop = minzoom, maxzoom, stop
         self.buffer, self.tol = buffer, tol
 
@@ -211,7 +212,9 @@ class _Cutter:
                     at = np.clip(at, 0, WORLD - 1).astype(np.int64)
                     n = np.full(len(used), zoom)
                     cols = {"zoom": n, "tile_x": x[used], "tile_y": y[used], "gtype": kind, "wx": at[:, 0], "wy": at[:, 1]}
-                    yield self._batch(b, r[used], {**cols, "parts": _nested(q, pa.int32())})
+                    parts = _nested(q, pa.int32())
+                    made = {"commands": mvt.geometry_bytes(kind, parts).to_arrow()} if self.encoded else {"parts": parts}
+                    yield self._batch(b, r[used], {**cols, **made})
             if zoom == self.maxzoom:
                 continue
             if zoom == self.stop:
@@ -234,13 +237,20 @@ class _Cutter:
 
 
 def tile_shapes(
-    df: DataFrame, minzoom: int, maxzoom: int, buffer: int = 5, simplification: float = 1.0, split_zoom: int = SPLIT_ZOOM
+    df: DataFrame,
+    minzoom: int,
+    maxzoom: int,
+    buffer: int = 5,
+    simplification: float = 1.0,
+    split_zoom: int = SPLIT_ZOOM,
+    encoded: bool = False,
 ) -> DataFrame:
     """Rows with a `geom` (WKB) or `geojson` column to tile features.
 
     Lines, polygons and multi-points come out once per zoom and tile, with `zoom`, `tile_x`, `tile_y`, `gtype` and `parts`. Single
     points come out once, with `zoom` NULL and `wx`, `wy`: fanning them out is a projection the caller does in Catalyst.
-    Below `split_zoom` pieces are dealt out again, so one country-sized polygon does not keep one task busy.
+    Below `split_zoom` pieces are dealt out again, so one country-sized polygon does not keep one task busy. With `encoded`, geometries
+    come as `commands`, the binary tile form, which is cheaper to move than nested arrays.
     """
     carry = [c for c in df.columns if c not in ("geom", "geojson")]
     fixed = T.StructType(
@@ -249,7 +259,7 @@ def tile_shapes(
             T.StructField("tile_x", T.IntegerType()),
             T.StructField("tile_y", T.IntegerType()),
             T.StructField("gtype", T.IntegerType()),
-            T.StructField("parts", T.ArrayType(T.ArrayType(T.IntegerType()))),
+            T.StructField("commands", T.BinaryType()) if encoded else T.StructField("parts", T.ArrayType(T.ArrayType(T.IntegerType()))),
             T.StructField("wx", T.LongType()),
             T.StructField("wy", T.LongType()),
         ]

@@ -72,18 +72,24 @@ def tiled_points(points: DataFrame, opts: Options, maxzoom: int) -> DataFrame:
 
 def tiled_shapes(feats: DataFrame, opts: Options, maxzoom: int) -> DataFrame:
     """Shapes cut into tiles by the geometry stage; its single points fanned out like any others, in the same pass."""
-    cut = tile_shapes(feats, opts.minzoom, maxzoom, opts.buffer, opts.simplification)
+    encoded = not opts.coalesce_densest_as_needed  # joined shapes are put together from their parts
+    form = "commands" if encoded else "parts"
+    cut = tile_shapes(feats, opts.minzoom, maxzoom, opts.buffer, opts.simplification, encoded=encoded)
     if opts.cluster_distance is not None:
         cut = materialise(cut)
         points = cut.filter(F.col("zoom").isNull()).select("layer", "fid", "rid", "props", "wx", "wy")
         shapes = with_point_count(cut.filter(F.col("zoom").isNotNull()), F.lit(1).cast("long"))
-        return shapes.unionByName(tiled_points(points, opts, maxzoom))
-    kept = {f"_{c}": F.col(c) for c in ("zoom", "tile_x", "tile_y", "parts")}
-    own = cut.withColumns(kept).drop("zoom", "tile_x", "tile_y", "parts")
+        return shapes.unionByName(tiled_points(points, opts, maxzoom), allowMissingColumns=True)
+    kept = {f"_{c}": F.col(c) for c in ("zoom", "tile_x", "tile_y", form)}
+    own = cut.withColumns(kept).drop("zoom", "tile_x", "tile_y", form)
     spread = _zooms(own, opts, maxzoom, F.col("_zoom"))
     tiled = tiling.quantize_points(tiling.buffered_tiles(spread, opts.buffer, (F.col("_tile_x"), F.col("_tile_y"))))
-    parts = F.coalesce("_parts", F.array(F.array("px", "py")))
-    return tiled.withColumn("parts", parts).drop("px", "py", *kept)
+    point = F.array(F.array("px", "py"))
+    if encoded:
+        tiled = tiled.withColumns({"commands": F.col("_commands"), "parts": F.when(F.col("_commands").isNull(), point)})
+    else:
+        tiled = tiled.withColumn("parts", F.coalesce("_parts", point))
+    return tiled.drop("px", "py", *kept)
 
 
 def _prop(name: str) -> str:
