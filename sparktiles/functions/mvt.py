@@ -75,6 +75,12 @@ def geometry_bytes(gtype: np.ndarray, parts: pa.ListArray) -> Ragged:
     return Ragged.varints(out).merge(base)
 
 
+def point_bytes(px: np.ndarray, py: np.ndarray) -> Ragged:
+    """Command streams of single points."""
+    ints = np.stack([np.full(len(px), (1 << 3) | MOVE_TO, np.uint64), zigzag(px), zigzag(py)], axis=1)
+    return Ragged.varints(ints.reshape(-1)).merge(np.arange(len(px) + 1) * 3)
+
+
 def value_bytes(values: pa.Array) -> Ragged:
     """Value messages of distinct, non-null property values."""
     t = values.type

@@ -102,17 +102,22 @@ def _property_columns(b: pa.RecordBatch, names: list[str]) -> list[pa.Array]:
 
 
 def _geometries(b: pa.RecordBatch, gtype: np.ndarray) -> Ragged:
-    """Command streams: as they come in `commands` where that is filled, else from `parts`."""
+    """Command streams: as they come in `commands` where that is filled, else from `parts`, else from the point `px`, `py`."""
+
+    def made(b: pa.RecordBatch, gtype: np.ndarray) -> Ragged:
+        if "parts" in b.schema.names:
+            return mvt.geometry_bytes(gtype, b.column("parts"))
+        return mvt.point_bytes(*(b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("px", "py")))
+
     if "commands" not in b.schema.names:
-        return mvt.geometry_bytes(gtype, b.column("parts"))
+        return made(b, gtype)
     ready = b.column("commands").is_valid().to_numpy(zero_copy_only=False)
     given = Ragged.from_arrow(b.column("commands"))
     if ready.all():
         return given
-    made = mvt.geometry_bytes(gtype[~ready], b.column("parts").filter(pa.array(~ready)))
     place = np.arange(len(gtype))
-    place[~ready] = len(gtype) + np.arange(len(made))
-    return mvt.vconcat([given, made]).take(place)
+    place[~ready] = len(gtype) + np.arange((~ready).sum())
+    return mvt.vconcat([given, made(b.filter(pa.array(~ready)), gtype[~ready])]).take(place)
 
 
 def _layers(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, Ragged, Ragged, np.ndarray]:
@@ -216,22 +221,25 @@ def encode_tiles(
     level: int = 6,
     key: str = "fid",
 ) -> DataFrame:
-    """Tile table from `zoom, tile_x, tile_y, layer, fid, gtype, parts, props`.
+    """Tile table from `zoom, tile_x, tile_y, layer, fid, gtype, props` and a geometry.
 
-    `parts` is array<array<int>> of tile-local x0,y0,x1,y1,...; a `commands` column, where filled, is the geometry already in tile
-    form and goes before it. `props` is a struct. One shuffle by tile, into tasks of about
-    `TASK_ROWS` rows. `largest` and `total` are the row counts of the fullest tile and of all (counted here if not given):
-    when the fullest is over `piece_rows`, such tiles are cut by a hash of `key` into pieces that separate tasks encode, and
-    a second shuffle, of encoded bytes only, brings the pieces together.
+    The geometry is `parts`, array<array<int>> of tile-local x0,y0,x1,y1,..., or `px`, `py` for single points; a `commands`
+    column, where filled, is the geometry already in tile form and goes before either. `props` is a struct. One shuffle by tile,
+    into tasks of about `TASK_ROWS` rows. `largest` and `total` are the row counts of the fullest tile and of all (counted
+    here if not given): when the fullest is over `piece_rows`, such tiles are cut by a hash of `key` into pieces that separate
+    tasks encode, and a second shuffle, of encoded bytes only, brings the pieces together.
     """
     names = [n for n in df.schema["props"].dataType.names if n != "_"]
+    columns = [*TILE, "layer", "fid", "gtype", "props", "commands", "parts"]
+    columns += ["px", "py"] if "parts" not in df.columns else []
+    df = df.select(*(c for c in columns if c in df.columns), *([F.col(key)] if key not in columns else []))
     order = [*TILE, "layer", "fid"]
     if largest is None or total is None:
         largest, total = fullest(tile_counts(df))
     tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
     if largest <= piece_rows:
         whole = df.withColumns({"piece": F.lit(0).cast("long"), "pieces": F.lit(1).cast("long")})
-        return whole.repartition(tasks, *TILE).sortWithinPartitions(*order).mapInArrow(_encode(names, level), TILE_SCHEMA)
+        return whole.drop(*({key} - {"fid"})).repartition(tasks, *TILE).sortWithinPartitions(*order).mapInArrow(_encode(names, level), TILE_SCHEMA)
     split = tile_counts(df).filter(F.col("n") > piece_rows).select(*TILE, F.ceil(F.col("n") / piece_rows).alias("pieces"))
     small = split.limit(BROADCAST_TILES + 1).count() <= BROADCAST_TILES
     cut = df.join(F.broadcast(split) if small else split, TILE, "left")
@@ -242,7 +250,7 @@ def encode_tiles(
         .sortWithinPartitions(*TILE, "piece", "layer", "fid")
         .mapInArrow(_encode_pieces(names, level), PIECE_SCHEMA)
     )
-    joined = pieces.repartition(*TILE).sortWithinPartitions(*TILE, "layer", "piece")
+    joined = pieces.repartition(tasks, *TILE).sortWithinPartitions(*TILE, "layer", "piece")
     return joined.mapInArrow(_join_pieces(names, level), TILE_SCHEMA)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.mvt import POINT
 from ..functions.projection import clamp_y, world_x, world_y, wrap_x
 from ..operators import tiling
 from ..operators.encode import PIECE_ROWS, encode_tiles, points_as_parts
@@ -67,7 +68,10 @@ def tiled_points(points: DataFrame, opts: Options, maxzoom: int) -> DataFrame:
     spread = _zooms(points, opts, maxzoom)
     if opts.cluster_distance is not None:
         spread = clustered(spread, opts)
-    return points_as_parts(tiling.quantize_points(tiling.buffered_tiles(spread, opts.buffer))).drop("px", "py")
+    tiled = tiling.quantize_points(tiling.buffered_tiles(spread, opts.buffer))
+    if opts.coalesce_densest_as_needed:
+        return points_as_parts(tiled).drop("px", "py")
+    return tiled.withColumn("gtype", F.lit(POINT))
 
 
 def tiled_shapes(feats: DataFrame, opts: Options, maxzoom: int) -> DataFrame:
@@ -84,12 +88,9 @@ def tiled_shapes(feats: DataFrame, opts: Options, maxzoom: int) -> DataFrame:
     own = cut.withColumns(kept).drop("zoom", "tile_x", "tile_y", form)
     spread = _zooms(own, opts, maxzoom, F.col("_zoom"))
     tiled = tiling.quantize_points(tiling.buffered_tiles(spread, opts.buffer, (F.col("_tile_x"), F.col("_tile_y"))))
-    point = F.array(F.array("px", "py"))
     if encoded:
-        tiled = tiled.withColumns({"commands": F.col("_commands"), "parts": F.when(F.col("_commands").isNull(), point)})
-    else:
-        tiled = tiled.withColumn("parts", F.coalesce("_parts", point))
-    return tiled.drop("px", "py", *kept)
+        return tiled.withColumn("commands", F.col("_commands")).drop(*kept)
+    return tiled.withColumn("parts", F.coalesce("_parts", F.array(F.array("px", "py")))).drop("px", "py", *kept)
 
 
 def _prop(name: str) -> str:
