@@ -280,7 +280,8 @@ def tile_shapes(
     coarse = df.mapInArrow(first.start, both)
     # By place and content, so that a retried task deals its pieces out the same way. A stated number of tasks, as the adaptive
     # planner would merge them by bytes, and it is the cutting that costs.
-    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     content = F.xxhash64("pending", "wx", "wy", *(c for c in ("fid", "rid") if c in carry))
     dealt = coarse.repartition(tasks, "zoom", "tile_x", "tile_y", content)
     return dealt.mapInArrow(second.resume, kept)

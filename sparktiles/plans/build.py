@@ -155,9 +155,13 @@ def vector_layers(feats: DataFrame, minzoom: int, maxzoom: int, extra: dict[str,
 
 
 def dealt_out(feats: DataFrame) -> DataFrame:
-    """Fan-out multiplies the rows, so a table in fewer partitions than there are cores is dealt out before it, not after."""
+    """Fan-out multiplies the rows, so a table read from fewer files than there are cores is dealt out before it, not after.
+
+    Files are counted, not partitions: asking an adaptive plan for its partitions would run it.
+    """
     cores = feats.sparkSession.sparkContext.defaultParallelism
-    return feats.repartition(cores, "rid") if feats.rdd.getNumPartitions() < cores else feats
+    tasks = max(cores, int(feats.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return feats.repartition(tasks, "rid") if 0 < len(feats.inputFiles()) < cores else feats
 
 
 # --- The build ---------------------------------------------------------------------------------------------------------
