@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import mvt, wkb
 from ..functions import shapes as sh
@@ -269,14 +270,12 @@ def tile_shapes(
         T.StructField("pending_rings", T.ArrayType(T.LongType())),
     ]
     kept = T.StructType([df.schema[c] for c in carry] + fixed.fields)
-    split = minzoom_split(minzoom, maxzoom, split_zoom)
-    if split is None:
+    if maxzoom <= split_zoom:
         cut = _Cutter(carry, _arrow(kept), minzoom, maxzoom, maxzoom, buffer, simplification)
         return df.mapInArrow(cut.start, kept)
     both = T.StructType(kept.fields + waiting)
-    first = _Cutter(carry, _arrow(both), minzoom, maxzoom, split, buffer, simplification)
-    second = _Cutter([*kept.names], _arrow(kept), minzoom, maxzoom, -1, buffer, simplification)
-    second.carry = carry
+    first = _Cutter(carry, _arrow(both), minzoom, maxzoom, split_zoom, buffer, simplification)
+    second = _Cutter(carry, _arrow(kept), minzoom, maxzoom, maxzoom, buffer, simplification)
     coarse = df.mapInArrow(first.start, both)
     # By place and content, so that a retried task deals its pieces out the same way. A stated number of tasks, as the adaptive
     # planner would merge them by bytes, and it is the cutting that costs.
@@ -287,14 +286,7 @@ def tile_shapes(
     return dealt.mapInArrow(second.resume, kept)
 
 
-def minzoom_split(minzoom: int, maxzoom: int, split_zoom: int) -> int | None:
-    """The zoom to deal out at, or None when the range ends before it."""
-    return split_zoom if maxzoom > split_zoom else None
-
-
 def _arrow(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     return to_arrow_schema(schema)
 
 

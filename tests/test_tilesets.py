@@ -81,6 +81,31 @@ def test_containers_agree(spark, paths):
         assert st.tileset_diff(sets[0], other).count() == 0
 
 
+def test_shards_by_glob_without_manifest(spark, paths):
+    whole = st.read_mbtiles(spark, paths["mbtiles", None])
+    globbed = spark.read.format("mbtiles").load(paths["mbtiles", None] + "/part-*.mbtiles")
+    assert st.tileset_diff(whole, globbed).count() == 0
+
+
+def test_keep_geojson_and_metadata(spark, places, tmp_path):
+    kept = f"{tmp_path}/features.geojsonl"
+    made = st.write_tileset(
+        places, f"{tmp_path}/k.mbtiles", shards=1, maxzoom=1, keep_geojson=kept, name="n", description="d", attribution="a"
+    )
+    assert sorted(r.value.split('"label":')[1][:7] for r in spark.read.text(kept).collect()) == ['"alpha"', '"beta",']
+    assert made.metadata["vector_layers"][0]["fields"] == {"label": "String", "score": "Number"}
+    with sqlite3.connect(f"{tmp_path}/k.mbtiles") as db:
+        meta = dict(db.execute("SELECT name, value FROM metadata"))
+    assert {k: meta[k] for k in ("name", "description", "attribution", "format", "maxzoom")} == {
+        "name": "n",
+        "description": "d",
+        "attribution": "a",
+        "format": "pbf",
+        "maxzoom": "1",
+    }
+    assert '"id":"k"' in meta["json"]
+
+
 def test_sql_view_and_magic(spark, paths):
     spark.sql(f"CREATE OR REPLACE TEMP VIEW rt USING mbtiles OPTIONS (path '{paths['mbtiles', None]}')")
     assert spark.sql("SELECT count(DISTINCT label) FROM rt").first()[0] == 2
