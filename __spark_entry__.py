@@ -28,6 +28,13 @@ from sparktiles.operators.encode import encode_tiles, points_as_parts  # noqa: E
 from sparktiles.operators.features import points_from  # noqa: E402
 from sparktiles.options import ACCUMULATORS  # noqa: E402
 
+try:
+    from sparktiles.llm import queries as llm
+except ModuleNotFoundError as gone:  # the operators for training data are a package that may be absent as a whole
+    if not (gone.name or "").startswith("sparktiles.llm") and gone.name != "corpus_pipeline":
+        raise
+    llm = None
+
 TILE = ["zoom", "tile_x", "tile_y"]
 
 # --- Spark side: point tables ------------------------------------------------------------------------------------------
@@ -493,7 +500,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return wrapped
 
-    return {name[2:]: shipped(run) for name, run in globals().items() if name.startswith("q_")}
+    return {name[2:]: shipped(run) for name, run in globals().items() if name.startswith("q_")} | (llm.queries() if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -745,6 +752,10 @@ def _cell(distance: int, zoom: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _tile_sql() | (llm.oracle_sql() if llm else {})
+
+
+def _tile_sql() -> dict[str, str]:
     cell8, cell32 = _cell(8, "zoom"), _cell(32, "2")
     buffered_events = _with(_EVENTS, _WORLD, _spread(0, 10), _BUFFERED)
     copies = f"{_with(_CUSTOMER, _WORLD, _spread(6, 6), _BUFFERED)}"
