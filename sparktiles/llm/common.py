@@ -122,7 +122,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def multipliers(n: int, seed: int) -> np.ndarray:
     """Odd 64-bit numbers from a seed."""
-    return mix(np.arange(1, n + 1, dtype=U64) + U64(seed) * U64(0x9E3779B97F4A7C15)) | U64(1)
+    return mix(np.arange(1, n + 1, dtype=U64) + U64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) | U64(1)
 
 
 def number_of(text: str) -> int:
