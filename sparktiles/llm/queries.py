@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .mixing import OP6_SQL, op6_source_mix
+from .quality import op5_quality_rules
 from .token_files import op10_token_files
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op10_token_files]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op5_quality_rules, op6_source_mix, op10_token_files]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,4 +18,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_source_mix": OP6_SQL}
