@@ -34,7 +34,7 @@ from .common import arrow_map, shared_folder, slices, stored, table, text_bytes
 MAGIC = b"PLN1"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 25
-CACHED_WORDS = 200_000
+CACHED_WORDS = 500_000
 MANIFEST = "part int, seq int, path string, n_docs long, n_ids long"
 _TAIL = b".,;:!?|*#$%&"
 
