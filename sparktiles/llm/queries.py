@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .fingerprints import op1_fingerprints
 from .mixing import OP6_SQL, op6_source_mix
 from .quality import op5_quality_rules
+from .toxicity import op3_toxicity
 from .token_files import op10_token_files
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_fingerprints, op5_quality_rules, op6_source_mix, op10_token_files]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_fingerprints, op3_toxicity, op5_quality_rules, op6_source_mix, op10_token_files]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
