@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import op1_fingerprints
+from .langid import op7_language_id
 from .mixing import OP6_SQL, op6_source_mix
 from .pieces import op4_sampled_pieces
 from .quality import op5_quality_rules
 from .toxicity import op3_toxicity
 from .token_files import op10_token_files
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_fingerprints, op3_toxicity, op4_sampled_pieces, op5_quality_rules, op6_source_mix, op10_token_files]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_fingerprints, op3_toxicity, op4_sampled_pieces, op5_quality_rules, op6_source_mix, op7_language_id, op10_token_files]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
