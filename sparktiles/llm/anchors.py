@@ -69,7 +69,7 @@ def bucketed(docs: DataFrame) -> DataFrame:
     name = f"llm_{uuid.uuid4().hex}"
     text = F.coalesce("text", F.lit("")).cast("binary")
     rows = docs.withColumns({"__okey": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "__sha": F.unhex(F.sha2(text, 256))})
-    rows.repartition(n, "__okey").write.bucketBy(n, "__okey").option("path", shared_folder(spark)).saveAsTable(name)
+    rows.repartition(n, "__okey").write.bucketBy(n, "__okey").option("compression", "zstd").option("path", shared_folder(spark)).saveAsTable(name)
     return spark.table(name)
 
 
@@ -90,7 +90,9 @@ IS_FIRST = "array_contains(__firsts, __sha)"
 
 # --- Which anchors repeat ----------------------------------------------------------------------------------------------
 
-_PACKED = "bucket int, keys binary, places binary, owners binary, docs binary, sure boolean"
+_PACKED = "bucket int, keys binary, places binary, wide boolean, counts binary, docs binary, sure boolean"
+#: Bytes of a key that travel. Fewer only let through more anchors that do not repeat.
+KEY_BYTES = 6
 
 
 class _Gatherer:
@@ -112,7 +114,7 @@ class _Gatherer:
         self.parts, self.n = [], 0
         _, one, of, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
         twice = counts[of] > 1
-        yield from self._packed(okeys[one], places[one], keys[one], (keys[one] % U64(self.buckets)).astype(np.int64), False, counts > 1)
+        yield from self._packed(okeys[one], places[one], keys[one], ((keys[one] >> U64(1)) % U64(self.buckets)).astype(np.int64), False, counts > 1)
         if twice.any():
             yield from self._packed(okeys[twice], places[twice], None, okeys[twice] % self.buckets, True, None)
 
@@ -122,14 +124,17 @@ class _Gatherer:
         first = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
         rows = []
         for low, high in zip(first, np.append(first[1:], len(buckets)), strict=True):
-            docs, owner = np.unique(okeys[low:high], return_inverse=True)
+            docs, counts = np.unique(okeys[low:high], return_counts=True)
             key = b""
             if keys is not None:
                 # The lowest bit says whether the key is settled; the other bits are the key.
-                key = ((keys[order[low:high]] & ~U64(1)) | settled[order[low:high]].astype(U64)).tobytes()
-            rows.append((int(buckets[low]), key, places[low:high].astype(np.uint32).tobytes(), owner.astype(np.uint32).tobytes(), docs.tobytes(), sure))
-        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.bool_())
-        names = ["bucket", "keys", "places", "owners", "docs", "sure"]
+                full = (keys[order[low:high]] & ~U64(1)) | settled[order[low:high]].astype(U64)
+                key = full.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+            wide = bool(places[low:high].max() >> 16)
+            place = places[low:high].astype(np.uint32 if wide else np.uint16)
+            rows.append((int(buckets[low]), key, place.tobytes(), wide, counts.astype(np.uint32).tobytes(), docs.tobytes(), sure))
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.bool_(), pa.binary(), pa.binary(), pa.bool_())
+        names = ["bucket", "keys", "places", "wide", "counts", "docs", "sure"]
         for low in range(0, len(rows), 256):
             columns = [pa.array(c, t) for c, t in zip(zip(*rows[low : low + 256], strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -139,7 +144,7 @@ def repeated_anchors(base: DataFrame, firsts: DataFrame, find: Callable[[np.ndar
     """__okey and __places: the anchors, counted in items from the start of the text, whose hash occurs at two places or more.
 
     `find` gives the anchors of a slice of texts and the item offsets of its rows. Some of these may not repeat after all (a key
-    is compared by 63 bits, a document of several texts by its id alone); none that repeats is left out.
+    is compared by 47 bits and its bucket, a document of several texts by its id alone); none that repeats is left out.
     """
     spark = base.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -157,13 +162,15 @@ def repeated_anchors(base: DataFrame, firsts: DataFrame, find: Callable[[np.ndar
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            for _, keys, places, owners, docs, sure in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                okeys = np.frombuffer(docs, np.int64)[np.frombuffer(owners, np.uint32)]
-                places = np.frombuffer(places, np.uint32)
+            for _, keys, places, wide, counts, docs, sure in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                okeys = np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32))
+                places = np.frombuffer(places, np.uint32 if wide else np.uint16)
                 if sure:
                     yield _places(okeys, places)
                 else:
-                    held.append((np.frombuffer(keys, U64), okeys, places))
+                    full = np.zeros((len(places), 8), np.uint8)
+                    full[:, :KEY_BYTES] = np.frombuffer(keys, np.uint8).reshape(-1, KEY_BYTES)
+                    held.append((full.view(U64)[:, 0], okeys, places.astype(np.uint32)))
         if held:
             keys, okeys, places = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
