@@ -10,13 +10,14 @@ from .fingerprints import op1_fingerprints
 from .graph_dedup import op9_graph_dedup
 from .langid import op7_language_id
 from .mixing import OP6_SQL, op6_source_mix
+from .neardup import op8_near_duplicates
 from .pieces import op4_sampled_pieces
 from .quality import op5_quality_rules
 from .suffix_dedup import op2_suffix_dedup
 from .toxicity import op3_toxicity
 from .token_files import op10_token_files
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_fingerprints, op2_suffix_dedup, op3_toxicity, op4_sampled_pieces, op5_quality_rules, op6_source_mix, op7_language_id, op9_graph_dedup, op10_token_files]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_fingerprints, op2_suffix_dedup, op3_toxicity, op4_sampled_pieces, op5_quality_rules, op6_source_mix, op7_language_id, op8_near_duplicates, op9_graph_dedup, op10_token_files]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
