@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import op1_fingerprints
@@ -21,7 +22,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_fingerprints, op2
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {run.__name__: run for run in QUERIES}
+    return {run.__name__: run for run in QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
