@@ -307,14 +307,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with repeated windows taken out of `text`, all columns kept. Texts that lose nothing stay as they are; of the
     others the kept words are joined by one space."""
 
+    names, schema = docs.columns, docs.schema
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [kept_words(w, s).decode() if s else None for w, s in _texts_and_spans(batch)]
             old = batch.column("text")
             new = pa.array([o if t is None else t for t, o in zip(texts, old.to_pylist(), strict=True)], old.type)
-            yield pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in names], names)
 
-    return _with_spans(docs).select(*docs.columns, "__sha", "__firsts", "__spans").mapInArrow(run, docs.schema)
+    return _with_spans(docs).select(*names, "__sha", "__firsts", "__spans").mapInArrow(run, schema)
 
 
 def op9_graph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
