@@ -92,9 +92,16 @@ class SuffixBucket:
     """Suffixes of one bucket: span bytes, the length in front of the anchor, identity and place of the first window."""
 
     def __init__(self, data: np.ndarray, lengths: np.ndarray, front: np.ndarray, okeys: np.ndarray, tags: np.ndarray, first: np.ndarray) -> None:
-        self.data, self.lengths, self.front = data, lengths, front
-        self.okeys, self.tags, self.first = okeys, tags, first
-        self.starts = np.cumsum(lengths) - lengths
+        # Rows that repeat a document bring the same suffixes again; one of each is enough.
+        order = np.lexsort((first + front, tags, okeys))
+        same = np.zeros(len(order), bool)
+        same[order[1:]] = True
+        for x in (first + front, tags, okeys):
+            same[order[1:]] &= x[order[1:]] == x[order[:-1]]
+        one, starts = np.flatnonzero(~same), np.cumsum(lengths) - lengths
+        self.data, self.lengths, self.front = data[ranges(starts[one], lengths[one])], lengths[one], front[one]
+        self.okeys, self.tags, self.first = okeys[one], tags[one], first[one]
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def repeats(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(suffix, from, to): bytes of the suffix's document covered by a repeated string."""
@@ -199,8 +206,13 @@ def _packed(found: Anchors, data: np.ndarray, at: np.ndarray, part: pa.RecordBat
     okeys, tags = part.column("__okey").to_numpy()[found.row], _tags(part.column("__sha"))[found.row]
     first, lengths, front = found.first, found.last - found.first + WINDOW, found.at - found.first
     same = span_hashes(data, first, lengths) + mix(front.astype(U64))
-    order = np.lexsort((first - at[found.row], tags, okeys, same))
-    later = np.concatenate([[False], same[order][1:] == same[order][:-1]])
+    place = first - at[found.row]
+    order = np.lexsort((place, tags, okeys, same))
+    head = np.concatenate([[True], same[order][1:] != same[order][:-1]])
+    earliest = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
+    # The same place once more, in a row that repeats the document, is no later one.
+    alike = (okeys[order] == okeys[earliest]) & (tags[order] == tags[earliest]) & (place[order] == place[earliest])
+    order, later = order[head | ~alike], ~head[head | ~alike]
     lead = data[found.at[:, None] + np.arange(K)].view(f"S{K}")[:, 0]
     bucket = np.searchsorted(splitters, lead, "right")
     rows = []
@@ -212,7 +224,7 @@ def _packed(found: Anchors, data: np.ndarray, at: np.ndarray, part: pa.RecordBat
         for low, high in zip(heads, np.append(heads[1:], len(which)), strict=True):
             i = which[low:high]
             text = b"" if done else data[ranges(first[i], lengths[i])].tobytes()
-            arrays = (lengths[i], front[i], okeys[i], tags[i], first[i] - at[found.row[i]])
+            arrays = (lengths[i], front[i], okeys[i], tags[i], place[i])
             rows.append((int(to[i[0]]), text, *(a.tobytes() for a in arrays), done))
     kinds = (pa.int32(), *[pa.binary()] * 6, pa.bool_())
     names = ["bucket", "data", "lengths", "front", "okeys", "tags", "first", "done"]
