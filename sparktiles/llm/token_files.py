@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -37,6 +38,9 @@ FILE_IDS = 1 << 25
 CACHED_WORDS = 500_000
 MANIFEST = "part int, seq int, path string, n_docs long, n_ids long"
 _TAIL = b".,;:!?|*#$%&"
+_PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+#: Where this stands in a text, ASCII letters are not lowered beforehand: marks that may join them, and special tokens.
+_MARK = re.compile(rb"[\xcc\xcd]|<\|")
 
 
 # --- Planes ------------------------------------------------------------------------------------------------------------
@@ -151,8 +155,8 @@ class WordEncoder:
     """Whole texts through a tokenizers file, each word encoded once while it is remembered.
 
     Where the tokenizer drops white space and never looks across it, a text's ids are those of its words, one after the
-    other; so are those of a word and the ASCII punctuation behind it, and case does not matter to an ASCII word that will be
-    lowered anyhow. `by_word=False` encodes the texts as they are, for tokenizers that are not like that.
+    other; so are those of a word and the ASCII punctuation behind it, and the case of ASCII letters does not matter where they
+    will be lowered anyhow. `by_word=False` encodes the texts as they are, for tokenizers that are not like that.
     """
 
     def __init__(self, path: str, by_word: bool = True) -> None:
@@ -161,16 +165,15 @@ class WordEncoder:
 
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {b"": b""}
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(counts, ids) with the end id behind each text."""
         end = struct.pack("<I", end_id)
         if self.by_word:
-            split = [t.split() for t in texts]
+            split = [(t if _MARK.search(t) else t.lower()).split() for t in texts]
             self._learn(split)
-            known = self.words
-            each = [b"".join([known[w] for w in ws]) + end for ws in split]
+            known = self.words.__getitem__
+            each = [b"".join(map(known, ws)) + end for ws in split]
         else:
             found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
             each = [np.array(x.ids, "<u4").tobytes() + end for x in found]
@@ -179,34 +182,38 @@ class WordEncoder:
     def _learn(self, split: list[list[bytes]]) -> None:
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        if len(self.parts) > CACHED_WORDS:
-            self.parts = {b"": b""}
-        new = set().union(*split).difference(self.words)
-        cut = {}
-        for w in new:
+        words = self.words
+        missing, cut = set(), []
+        for w in set().union(*split).difference(words):
+            if w[-1] in _PLAIN:
+                missing.add(w)
+                continue
             stem = w.rstrip(_TAIL)
-            if stem and not stem.decode()[-1].isalpha() and not stem[-1:].isdigit():
-                stem = w  # other signs before the punctuation belong to the same token as it
-            cut[w] = (stem.lower() if stem.isascii() else stem), w[len(stem) :]
-        missing = list({p for pair in cut.values() for p in pair}.difference(self.parts))
-        for low in range(0, len(missing), 20_000):
-            self._encode_parts(missing[low : low + 20_000])
-        parts = self.parts
-        for w, (stem, tail) in cut.items():
-            self.words[w] = parts[stem] + parts[tail]
+            # Other signs before the punctuation belong to the same token as it.
+            if stem != w and stem and (stem[-1] in _PLAIN or stem.decode()[-1].isalpha()):
+                tail = w[len(stem) :]
+                cut.append((w, stem, tail))
+                missing.add(stem)
+                missing.add(tail)
+            else:
+                missing.add(w)
+        new = list(missing.difference(words))
+        for low in range(0, len(new), 20_000):
+            self._encode_parts(new[low : low + 20_000])
+        for w, stem, tail in cut:
+            words[w] = words[stem] + words[tail]
 
     def _encode_parts(self, parts: list[bytes], each: int = 200) -> None:
         """Many parts a call, apart by spaces; a token's first character tells its part."""
-        texts = [p.decode() for p in parts]
-        groups = [texts[i : i + each] for i in range(0, len(texts), each)]
-        found = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
-        for i, (group, code) in enumerate(zip(groups, found, strict=True)):
-            starts = np.cumsum([0] + [len(t) + 1 for t in group])
-            first = np.array([a for a, _ in code.offsets], np.int64)
-            cuts = np.searchsorted(first, starts)
-            ids = np.array(code.ids, "<u4")
-            for j in range(len(group)):
-                self.parts[parts[i * each + j]] = ids[cuts[j] : cuts[j + 1]].tobytes()
+        for low in range(0, len(parts), each):
+            group = parts[low : low + each]
+            texts = [p.decode() for p in group]
+            code = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+            first = np.array(code.offsets, np.int64).reshape(-1, 2)[:, 0]
+            cuts = (4 * np.searchsorted(first, starts)).tolist()
+            raw = np.array(code.ids, "<u4").tobytes()
+            self.words.update(zip(group, [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])], strict=True))
 
 
 def drops_white_space(path: str) -> bool:
