@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -26,6 +25,7 @@ from sparktiles.functions.projection import (  # noqa: E402
 from sparktiles.operators import analytics, runs, shapes, tiling  # noqa: E402
 from sparktiles.operators.encode import encode_tiles, points_as_parts  # noqa: E402
 from sparktiles.operators.features import points_from  # noqa: E402
+from sparktiles.operators.tables import shared_folder  # noqa: E402
 from sparktiles.options import ACCUMULATORS  # noqa: E402
 
 try:
@@ -74,8 +74,7 @@ def _at(points: DataFrame, zoom: int) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sparktiles-")
-    return f"{base}/{uuid.uuid4().hex}/{name}"
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 # --- Spark side: geometries --------------------------------------------------------------------------------------------
@@ -373,7 +372,9 @@ def q_container_diff(spark: SparkSession, sf: str) -> DataFrame:
     points = _customer(spark, sf)
     a = st.read_tileset(spark, _container(spark, points, "mbtiles", maxzoom=5))
     b = st.read_tileset(spark, _container(spark, points, "pmtiles", maxzoom=5, shards=1))
-    return st.tileset_diff(a, b).agg(F.count("*").alias("differing"))
+    # One side lacks every tenth customer, so the answer is those copies and nothing else.
+    fewer = b.filter(F.col("feature_id") % 10 != 0)
+    return st.tileset_diff(a, fewer).groupBy("side", "feature_id", *TILE).agg(F.sum("n").alias("n"))
 
 
 def q_layer_selection(spark: SparkSession, sf: str) -> DataFrame:
@@ -484,8 +485,53 @@ def q_tile_size_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_stray_addresses(spark: SparkSession, sf: str) -> DataFrame:
     path = _container(spark, _customer(spark, sf), "pmtiles", maxzoom=6)
-    stray = analytics.stray_addresses(st.read_pmtiles(spark, path), st.read_pmtiles_tiles(spark, path))
-    return stray.agg(F.count("*").alias("stray"))
+    # Without the tiles of the western half, all features there are stray.
+    east = st.read_pmtiles_tiles(spark, path).filter("tile_x >= 32")
+    return analytics.stray_addresses(st.read_pmtiles(spark, path), east)
+
+
+def q_tile_nested_props(spark: SparkSession, sf: str) -> DataFrame:
+    """Structs with a date, arrays and maps come back as JSON text."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("fid") % 9).cast("int"))
+    rows = _events(spark, sf).select(
+        "fid",
+        "lon",
+        "lat",
+        F.struct(day.alias("day"), F.col("user_id").alias("n")).alias("what"),
+        F.array(F.col("fid") % 7, F.lit(None)).alias("list"),
+        F.create_map("event_type", F.lit(True)).alias("flags"),
+    )
+    tiles = st.build(rows, id_column="fid", minzoom=3, maxzoom=3).tiles
+    out = st.decode_tiles(tiles, [("what", "string"), ("list", "string"), ("flags", "string")])
+    return out.select("feature_id", *TILE, "what", "list", "flags")
+
+
+def q_tile_underscore_prop(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _events(spark, sf).select("fid", "lon", "lat", F.col("event_type").alias("_"), F.concat(F.lit("u"), "user_id").alias("a"))
+    tiles = st.build(rows, id_column="fid", minzoom=3, maxzoom=3).tiles
+    return st.decode_tiles(tiles, [("_", "string"), ("a", "string")]).select("feature_id", *TILE, "_", "a")
+
+
+def q_overwrite_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """One file, then shards over it, then fewer rows over those."""
+    points = _customer(spark, sf).select("fid", "lon", "lat")
+    path = _container(spark, points, "mbtiles", maxzoom=4, shards=1)
+    st.write_tileset(points, path, id_column="fid", maxzoom=4)
+    st.write_tileset(points.filter("fid % 2 = 0"), path, id_column="fid", maxzoom=4)
+    return st.read_mbtiles(spark, path).select("feature_id", "tile_x", "tile_y")
+
+
+def q_extend_zooms_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Squares of a few degrees: the first zoom at which no tile holds pieces of more than the limit."""
+    made = st.build(
+        _squares(spark, sf), id_column="fid", simplification=0.0, maxzoom=1, drop_densest_as_needed=True,
+        extend_zooms_if_still_dropping=True, tile_feature_limit=_square_limit(spark, sf),
+    )
+    return spark.range(1).select(F.lit(made.maxzoom).alias("maxzoom"))
+
+
+def _square_limit(spark: SparkSession, sf: str) -> int:
+    return max(2, _table(spark, sf, "supplier").count() // 10)
 
 
 def q_closed_rings(spark: SparkSession, sf: str) -> DataFrame:
@@ -727,6 +773,13 @@ def _extend_sql() -> str:
     SELECT zoom, largest, tiles FROM zooms WHERE largest <= 20 ORDER BY zoom LIMIT 1"""
 
 
+def _extend_shapes_sql() -> str:
+    return f"""
+    WITH counts AS (SELECT zoom, tile_x, tile_y, count(*) AS n FROM ({_shape_tiles()}) WHERE zoom >= 1 GROUP BY ALL),
+    zooms AS (SELECT zoom, max(n) AS largest FROM counts GROUP BY zoom)
+    SELECT min(zoom) AS maxzoom FROM zooms WHERE largest <= (SELECT greatest(2, count(*) // 10) FROM supplier)"""
+
+
 def _guess_sql() -> str:
     return f"""{_with(_ORDERS, _WORLD, _spread(4, 4), _ASSIGNED, _morton("tiled", "keyed"))},
     steps AS (
@@ -814,10 +867,10 @@ def _tile_sql() -> dict[str, str]:
         "collapse_runs": f"""{_payload_sql()},
             starts AS (
               SELECT *, CASE WHEN coalesce(lag(tile_id) OVER w = tile_id - 1 AND lag(payload) OVER w = payload, false)
-                THEN 0 ELSE 1 END AS fresh FROM curve WINDOW w AS (PARTITION BY tile_id >> 16 ORDER BY tile_id)),
-            numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY tile_id >> 16 ORDER BY tile_id) AS run FROM starts)
-            SELECT min(tile_id) AS tile_id, count(*) AS run_length, any_value(payload) AS payload
-            FROM numbered GROUP BY tile_id >> 16, run""",
+                THEN 0 ELSE 1 END AS fresh FROM curve WINDOW w AS (ORDER BY tile_id)),
+            numbered AS (SELECT *, sum(fresh) OVER (ORDER BY tile_id) AS run FROM starts)
+            SELECT min(tile_id) AS tile_id, CAST(count(*) AS BIGINT) AS run_length, any_value(payload) AS payload
+            FROM numbered GROUP BY run""",
         "expand_runs": f"{_payload_sql()} SELECT tile_id, payload FROM curve",
         "drop_empty": f"{_payload_sql()} SELECT tile_id, n FROM curve WHERE n > 1",
         "geojson_points": _geojson_points(),
@@ -838,7 +891,9 @@ def _tile_sql() -> dict[str, str]:
               value FROM tiled""",
         "mbtiles_tiles": f"SELECT * FROM ({addresses}) WHERE zoom >= 3 AND zoom < 6",
         "pmtiles_tiles": addresses,
-        "container_diff": "SELECT count(*) AS differing FROM customer WHERE c_custkey IS NULL",
+        "container_diff": f"""{_with(_CUSTOMER, _WORLD, _spread(5, 5), _BUFFERED)}
+            SELECT 'left' AS side, fid AS feature_id, zoom, tile_x, tile_y, count(*) AS n FROM tiled WHERE fid % 10 = 0
+            GROUP BY fid, zoom, tile_x, tile_y""",
         "layer_selection": f"""{_with(_ORDERS, _WORLD, _spread(4, 4), _BUFFERED)}
             SELECT o_orderstatus AS layer, zoom, tile_x, tile_y, count(*) AS n FROM tiled WHERE o_orderstatus = 'F'
             GROUP BY o_orderstatus, zoom, tile_x, tile_y""",
@@ -880,6 +935,15 @@ def _tile_sql() -> dict[str, str]:
               GROUP BY zoom, tile_x, tile_y)
             SELECT zoom, count(*) AS tiles, CAST(sum(size) AS BIGINT) AS bytes, CAST(max(size) AS INTEGER) AS largest,
               quantile_cont(size, 0.5) AS median FROM sized GROUP BY zoom""",
-        "stray_addresses": "SELECT count(*) AS stray FROM customer WHERE c_custkey IS NULL",
+        "stray_addresses": f"""{_with(_CUSTOMER, _WORLD, _spread(6, 6), _BUFFERED)}
+            SELECT DISTINCT zoom, tile_x, tile_y FROM tiled WHERE tile_x < 32""",
+        "tile_nested_props": f"""{_with(_EVENTS, _WORLD, _spread(3, 3), _BUFFERED)}
+            SELECT fid AS feature_id, zoom, tile_x, tile_y, '{{"day":"2024-01-0' || (fid % 9 + 1) || '","n":' || user_id || '}}' AS what,
+              '[' || (fid % 7) || ',null]' AS list, '{{"' || event_type || '":true}}' AS flags FROM tiled""",
+        "tile_underscore_prop": f"""{_with(_EVENTS, _WORLD, _spread(3, 3), _BUFFERED)}
+            SELECT fid AS feature_id, zoom, tile_x, tile_y, event_type AS _, 'u' || user_id AS a FROM tiled""",
+        "overwrite_forms": f"""{_with(_CUSTOMER, _WORLD, _spread(4, 4), _BUFFERED)}
+            SELECT fid AS feature_id, tile_x, tile_y FROM tiled WHERE fid % 2 = 0""",
+        "extend_zooms_shapes": _extend_shapes_sql(),
         "closed_rings": "SELECT 'features' AS layer, count(*) > 0 AS closed FROM supplier",
     }

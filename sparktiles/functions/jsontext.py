@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 from json.encoder import encode_basestring
 
 import pyarrow as pa
@@ -44,7 +45,9 @@ def text_of(value: object) -> str:
         return "{" + ",".join(f"{encode_basestring(k)}:{text_of(v)}" for k, v in value.items()) + "}"
     if isinstance(value, list):
         return "[" + ",".join(map(text_of, value)) + "]"
-    return format(value, "f")  # decimal
+    if isinstance(value, Decimal):
+        return format(value, "f")
+    raise TypeError(f"no JSON text for {type(value).__name__}")
 
 
 def _plain(value: object, t: pa.DataType) -> object:

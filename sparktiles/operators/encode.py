@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import mvt
 from ..functions.jsontext import render
 from ..functions.ragged import Ragged
+from .features import property_fields
 from .tiling import TILE, fullest, tile_counts
 
 # A tile with more rows than this is encoded in pieces, by several tasks.
@@ -75,9 +76,14 @@ def whole_groups(batches: Batches, keys: list[str]) -> Batches:
 
 
 def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One batch of a group's parts. A column of over 2 GiB does not fit one batch: that is an error with the tile's address."""
     if len(batches) == 1:
         return batches[0]
-    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+    try:
+        return pa.concat_batches(batches)
+    except pa.ArrowInvalid as e:
+        address = "/".join(str(batches[0].column(k)[0].as_py()) for k in TILE)
+        raise ValueError(f"tile {address}: its rows are too large to be encoded by one task") from e
 
 
 def _starts(b: pa.RecordBatch, keys: list[str]) -> np.ndarray:
@@ -93,8 +99,9 @@ def _starts(b: pa.RecordBatch, keys: list[str]) -> np.ndarray:
 
 
 def _property_columns(b: pa.RecordBatch, names: list[str]) -> list[pa.Array]:
-    out = []
-    for arr in b.column("props").flatten()[: len(names)]:
+    out, props = [], b.column("props")
+    children = dict(zip((f.name for f in props.type), props.flatten()))
+    for arr in (children[n] for n in names):
         if pa.types.is_nested(arr.type):
             arr = pa.array(render(arr), pa.string())
         out.append(arr)
@@ -229,7 +236,7 @@ def encode_tiles(
     here if not given): when the fullest is over `piece_rows`, such tiles are cut by a hash of `key` into pieces that separate
     tasks encode, and a second shuffle, of encoded bytes only, brings the pieces together.
     """
-    names = [n for n in df.schema["props"].dataType.names if n != "_"]
+    names = property_fields(df.schema["props"].dataType)
     columns = [*TILE, "layer", "fid", "gtype", "props", "commands", "parts"]
     columns += ["px", "py"] if "parts" not in df.columns else []
     df = df.select(*(c for c in columns if c in df.columns), *([F.col(key)] if key not in columns else []))

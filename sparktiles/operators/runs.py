@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A run never crosses a multiple of 2^16 ids, which bounds the rows one task has to order.
+# Rows are ordered in blocks of 2^16 ids, which bounds what one task has to sort; runs go on over the edges of blocks.
 RUN_BITS = 16
 
 
@@ -17,8 +17,8 @@ def drop_empty(tiles: DataFrame) -> DataFrame:
 def collapse_runs(tiles: DataFrame, payload: str = "tile_data", bits: int = RUN_BITS) -> DataFrame:
     """DEC-7 on write: consecutive `tile_id`s with equal payloads become one row with `run_length`.
 
-    Payloads are compared by a 256-bit digest; only that and the id pass through the window's sort, the payload with them
-    once per stored tile.
+    Payloads are compared by a 256-bit digest. Runs are found block by block; then those that touch an edge of their block, two per
+    block at most, are joined across edges in one small ordered pass.
     """
     block = F.shiftright("tile_id", bits)
     w = Window.partitionBy("_b").orderBy("tile_id")
@@ -26,9 +26,18 @@ def collapse_runs(tiles: DataFrame, payload: str = "tile_data", bits: int = RUN_
     follows = (F.lag("tile_id").over(w) == F.col("tile_id") - 1) & F.lag("_h").over(w).eqNullSafe(F.col("_h"))
     starts = hashed.withColumn("_start", F.when(~F.coalesce(follows, F.lit(False)), F.col("tile_id")))
     runs = starts.withColumn("_run", F.last("_start", ignorenulls=True).over(w))
-    return runs.groupBy("_b", F.col("_run").alias("_id")).agg(
-        F.count("*").alias("run_length"), F.first(payload).alias(payload)
-    ).select(F.col("_id").alias("tile_id"), "run_length", payload)
+    within = runs.groupBy("_b", F.col("_run").alias("tile_id")).agg(
+        F.count("*").alias("run_length"), F.first("_h").alias("_h"), F.first(payload).alias(payload)
+    )
+    end = F.col("tile_id") + F.col("run_length")
+    low = F.shiftleft("_b", bits)
+    at_edge = within.filter((F.col("tile_id") == low) | (end == low + (1 << bits))).select("tile_id", "_h", end.alias("_end"))
+    line = Window.orderBy("tile_id")
+    goes_on = (F.lag("_end").over(line) == F.col("tile_id")) & F.lag("_h").over(line).eqNullSafe(F.col("_h"))
+    heads = at_edge.withColumn("_head", F.when(~F.coalesce(goes_on, F.lit(False)), F.col("tile_id")))
+    joined = heads.withColumn("_head", F.last("_head", ignorenulls=True).over(line)).filter("_head <> tile_id").select("tile_id", "_head")
+    whole = within.join(joined, "tile_id", "left").withColumn("_head", F.coalesce("_head", "tile_id"))
+    return whole.groupBy(F.col("_head").alias("tile_id")).agg(F.sum("run_length").alias("run_length"), F.first(payload).alias(payload))
 
 
 def expand_runs(runs: DataFrame) -> DataFrame:

@@ -55,6 +55,10 @@ def _load(b: pa.RecordBatch, skip: np.ndarray) -> tuple[sh.Shapes, np.ndarray, n
             rows.append(numbers[row])
             single.append(gtype == sh.POINT and len(parts) == 1)
             for v, i, h in parts:
+                if gtype == sh.POINT:
+                    v = v[np.isfinite(v).all(axis=1)]
+                    if not len(v):
+                        continue
                 if gtype == sh.POLYGON and len(v) > 1 and v[0, 0] == v[-1, 0] and v[0, 1] == v[-1, 1]:
                     v = v[:-1]
                 verts.append(v)
@@ -84,6 +88,9 @@ def _wrapped(s: sh.Shapes) -> tuple[sh.Shapes, np.ndarray]:
             made.append(t.rings(rings, number + base))
             source.append(used)
             base += len(used)
+    if not made:  # nothing of the batch lies in the world
+        none = np.zeros(0, np.int64)
+        return s.rings(none, none), none
     return sh.concat(made), np.concatenate(source)
 
 
@@ -155,7 +162,7 @@ class _Cutter:
         for b in batches:
             none = np.zeros(0, np.int64)
             plain, lonlat = wkb.plain_points(b.column("geom")) if "geom" in b.schema.names else (none, np.zeros((0, 2)))
-            filled = ~np.isnan(lonlat).all(axis=1)
+            filled = np.isfinite(lonlat).all(axis=1)
             if filled.any():
                 yield self._points(b, plain[filled], project(lonlat[filled]))
             s, rows, single = _load(b, plain)
@@ -170,6 +177,8 @@ class _Cutter:
             rest = np.flatnonzero(~points)
             used, number = np.unique(s.piece[rest], return_inverse=True)
             s, source = _wrapped(s.rings(rest, number))
+            if not len(s):
+                continue
             rows = rows[used][source]
             zeros = np.zeros(len(rows), np.int64)
             side = np.full(len(rows), float(WORLD))

@@ -8,17 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir. Where none is set, one of our own, but only where driver and
+    executors are one machine: on a cluster a machine's own folder would hide each executor's files from the others."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="sparktiles-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write a table to the shared checkpoint folder and go on from it.
 
     It fixes generated row numbers and range boundaries for retried tasks, cuts the lineage, and later passes read only
-    the columns they need. The folder is the one the session names; one of our own only where none is set.
+    the columns they need.
     """
-    spark: SparkSession = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="sparktiles-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder}/sparktiles-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/sparktiles-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,50 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import os
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-# The accepted option spellings of a tileset write.
-WRITE_OPTIONS = (
-    "geometry_column",
-    "geometry",
-    "lon",
-    "longitude",
-    "lat",
-    "latitude",
-    "id_column",
-    "layer",
-    "name",
-    "description",
-    "attribution",
-    "minzoom",
-    "maxzoom",
-    "buffer",
-    "simplification",
-    "base_zoom",
-    "drop_rate",
-    "force",
-    "args",
-    "keep_geojson",
-    "coordinate_precision",
-    "drop_densest_as_needed",
-    "coalesce_densest_as_needed",
-    "extend_zooms_if_still_dropping",
-    "no_tile_size_limit",
-    "no_feature_limit",
-)
-# Spellings that steer an external process in the original; accepted and without effect here.
-IGNORED_OPTIONS = ("tippecanoe", "read_parallel", "verbose", "binary")
-# Options of this engine only.
-OWN_OPTIONS = (
-    "cluster_distance",
-    "accumulate",
-    "layer_column",
-    "tile_feature_limit",
-    "allow_empty",
-    "shards",
-)
+# Spellings that steer an external process in other tilers; accepted and without effect here.
+IGNORED_OPTIONS = ("read_parallel", "verbose", "binary")
 READ_OPTIONS = ("zoom", "layer", "columns", "mode", "rows", "path")
 
 # The per-tile caps and zoom bounds.
@@ -95,48 +59,47 @@ class Options:
         return self.drop_rate is not None or self.base_zoom is not None
 
 
-def _single(name: str, value: Any) -> Any:
-    if isinstance(value, (list, tuple)):
-        if len(value) != 1:
-            raise OptionError(f"option {name.upper()} expects exactly one argument")
-        value = value[0]
-    if value is None:
-        raise OptionError(f"option {name.upper()} cannot be NULL")
-    return value
+_TRUE, _FALSE = {"true", "t", "1", "yes", "y"}, {"false", "f", "0", "no", "n"}
 
 
-def _string(name: str, value: Any) -> str:
-    return str(_single(name, value))
+def _truth(text: str) -> bool:
+    if text.lower() not in _TRUE | _FALSE:
+        raise ValueError(text)
+    return text.lower() in _TRUE
 
 
-def _integer(name: str, value: Any) -> int:
-    value = _single(name, value)
-    try:
-        return round(float(value)) if isinstance(value, float) else int(str(value))
-    except ValueError:
-        raise OptionError(f"option {name.upper()}: could not convert {value!r} to an integer") from None
+def _whole(text: str) -> int:
+    number = float(text)
+    return int(text) if text.lstrip("+-").isdigit() else round(number)
 
 
-def _double(name: str, value: Any) -> float:
-    value = _single(name, value)
-    try:
-        return float(value)
-    except (TypeError, ValueError):
-        raise OptionError(f"option {name.upper()}: could not convert {value!r} to a number") from None
+@dataclass(frozen=True)
+class Kind:
+    """How an option's one value is read, and the bounds it has."""
 
+    read: Callable[[str], Any] = str
+    what: str = "text"
+    low: float = -math.inf
+    high: float = math.inf
 
-def _boolean(name: str, value: Any) -> bool:
-    if isinstance(value, (list, tuple)) and not value or value == "":
-        return True  # a bare option means true
-    value = _single(name, value)
-    if isinstance(value, bool):
+    def value(self, name: str, given: Any) -> Any:
+        if self.read is _truth and (given == "" or isinstance(given, (list, tuple)) and not given):
+            return True  # the option alone switches it on
+        values = list(given) if isinstance(given, (list, tuple)) else [given]
+        if len(values) != 1 or values[0] is None:
+            raise OptionError(f"{name.upper()} takes one value that is not NULL, not {given!r}")
+        try:
+            value = self.read(str(values[0]))
+        except ValueError:
+            raise OptionError(f"{name.upper()} takes {self.what}, not {values[0]!r}") from None
+        if self.read in (_whole, float) and not self.low <= value <= self.high:
+            bounds = f"at least {self.low}" if self.high == math.inf else f"at most {self.high}" if self.low == -math.inf else f"between {self.low} and {self.high}"
+            raise OptionError(f"{name.upper()} must be {bounds}, not {value}")
         return value
-    text = str(value).lower()
-    if text in ("true", "t", "1", "yes", "y"):
-        return True
-    if text in ("false", "f", "0", "no", "n"):
-        return False
-    raise OptionError(f"option {name.upper()}: could not convert {value!r} to a boolean")
+
+
+def _number(low: float = -math.inf, high: float = math.inf) -> Kind:
+    return Kind(_whole, "an integer", low, high)
 
 
 def _args(value: Any, out: Options) -> None:
@@ -146,7 +109,7 @@ def _args(value: Any, out: Options) -> None:
             raise OptionError("ARGS must not contain NULL")
         flag, _, text = str(arg).partition("=")
         if flag == "--cluster-distance":
-            out.cluster_distance = _integer("cluster_distance", text)
+            out.cluster_distance = KINDS["cluster_distance"].value("cluster_distance", text)
         elif flag == "--accumulate-attribute":
             attribute, _, how = text.rpartition(":")
             out.accumulate[attribute] = how
@@ -154,81 +117,59 @@ def _args(value: Any, out: Options) -> None:
             raise OptionError(f"ARGS: unsupported flag {arg!r}")
 
 
-_KINDS = {
-    "minzoom": _integer,
-    "buffer": _integer,
-    "base_zoom": _integer,
-    "coordinate_precision": _integer,
-    "cluster_distance": _integer,
-    "tile_feature_limit": _integer,
-    "shards": _integer,
-    "simplification": _double,
-    "drop_rate": _double,
-    "force": _boolean,
-    "drop_densest_as_needed": _boolean,
-    "coalesce_densest_as_needed": _boolean,
-    "extend_zooms_if_still_dropping": _boolean,
-    "no_tile_size_limit": _boolean,
-    "no_feature_limit": _boolean,
-    "allow_empty": _boolean,
+MAX_BUILD_ZOOM = 24
+ACCUMULATORS = ("sum", "min", "max", "mean", "count", "concat")
+_FLAG, _TEXT, _ZOOM = Kind(_truth, "true or false"), Kind(), _number(0, MAX_BUILD_ZOOM)
+# Every option of a tileset write. Tile-local coordinates of a buffer of up to 127/256 of a tile fit the clipping's integers.
+KINDS: dict[str, Kind] = {
+    **dict.fromkeys(("geometry_column", "lon", "lat", "id_column", "layer", "layer_column", "name", "description", "attribution", "keep_geojson"), _TEXT),
+    **dict.fromkeys(("minzoom", "maxzoom"), _ZOOM),
+    "base_zoom": _number(),
+    "buffer": _number(0, 127),
+    "simplification": Kind(float, "a number"),
+    "drop_rate": Kind(float, "a number", 1),
+    "coordinate_precision": _number(high=MAX_PRECISION),
+    "cluster_distance": _number(1, 256),
+    "tile_feature_limit": _number(1),
+    "shards": _number(1, 1),
+    **dict.fromkeys(("force", "drop_densest_as_needed", "coalesce_densest_as_needed", "extend_zooms_if_still_dropping"), _FLAG),
+    **dict.fromkeys(("no_tile_size_limit", "no_feature_limit", "allow_empty"), _FLAG),
 }
-_ALIASES = {"geometry": "geometry_column", "longitude": "lon", "latitude": "lat"}
+ALIASES = {"geometry": "geometry_column", "longitude": "lon", "latitude": "lat"}
 
 
 def parse_options(options: dict[str, Any], fmt: str = "mbtiles") -> Options:
     out = Options()
     given = {k.lower(): v for k, v in options.items()}
     for key, value in given.items():
-        if key in IGNORED_OPTIONS:
-            continue
-        if key not in WRITE_OPTIONS and key not in OWN_OPTIONS:
-            raise OptionError(f'Unrecognized option "{key.upper()}" for {fmt}')
-        name = _ALIASES.get(key, key)
-        if name != key and name in given:
-            continue  # the main spelling wins over its alias
+        name = ALIASES.get(key, key)
+        if key in IGNORED_OPTIONS or (name != key and name in given):
+            continue  # a main spelling wins over its alias
         if key == "args":
             _args(value, out)
         elif key == "accumulate":
             out.accumulate.update(value)
-        elif key == "maxzoom":
-            text = _string(key, value)
-            out.maxzoom = None if text.lower() in ("g", "auto") else _integer(key, value)
+        elif key == "maxzoom" and str(value).lower() in ("g", "auto"):
+            out.maxzoom = None
+        elif name in KINDS:
+            setattr(out, name, KINDS[name].value(key, value))
         else:
-            setattr(out, name, _KINDS.get(name, _string)(key, value))
+            raise OptionError(f'Unrecognized option "{key.upper()}" for {fmt}')
     if (out.lon is None) != (out.lat is None):
-        raise OptionError("options LON and LAT must be given together")
-    if out.coordinate_precision > MAX_PRECISION:
-        raise OptionError(
-            f"COORDINATE_PRECISION must be at most {MAX_PRECISION}; use a negative value for full round-trip precision"
-        )
-    if not 0 <= out.minzoom <= MAX_BUILD_ZOOM or not (out.maxzoom is None or 0 <= out.maxzoom <= MAX_BUILD_ZOOM):
-        raise OptionError(f"MINZOOM and MAXZOOM must be between 0 and {MAX_BUILD_ZOOM}")
+        raise OptionError("LON and LAT are given together or not at all")
     if out.maxzoom is not None and out.minzoom > out.maxzoom:
         raise OptionError("MINZOOM must not be above MAXZOOM")
-    if out.buffer < 0 or out.buffer > 127:
-        raise OptionError("BUFFER must be between 0 and 127")
-    if out.drop_rate is not None and out.drop_rate < 1:
-        raise OptionError("DROP_RATE must be at least 1")
-    if out.cluster_distance is not None and not 0 < out.cluster_distance <= 256:
-        raise OptionError("cluster distance must be between 1 and 256")
     for attribute, how in out.accumulate.items():
         if how not in ACCUMULATORS:
             raise OptionError(f"accumulation of {attribute!r} must be one of {', '.join(ACCUMULATORS)}, not {how!r}")
     return out
 
 
-MAX_BUILD_ZOOM = 24
-ACCUMULATORS = ("sum", "min", "max", "mean", "count", "concat")
-
-
 def parse_read_zoom(value: Any) -> int | None:
     """SRC-8: a reader's zoom, or None for the tileset's own maximum."""
     if value is None or value == "":
         return None
-    zoom = _integer("zoom", value)
-    if not 0 <= zoom <= MAX_READ_ZOOM:
-        raise OptionError(f"ZOOM must be between 0 and {MAX_READ_ZOOM}")
-    return zoom
+    return _number(0, MAX_READ_ZOOM).value("zoom", value)
 
 
 def derive_layer_name(path: str) -> str:

@@ -13,11 +13,11 @@ from ..functions.mvt import POINT
 from ..functions.projection import clamp_y, world_x, world_y, wrap_x
 from ..operators import tiling
 from ..operators.encode import PIECE_ROWS, encode_tiles, points_as_parts
-from ..operators.features import LONLAT, features
+from ..operators.features import LONLAT, features, property_fields
 from ..operators.geojson import write_geojsonl
 from ..operators.shapes import tile_shapes, vertices
 from ..operators.tables import materialise
-from ..options import MAX_TILE_BYTES, MAX_TILE_FEATURES, Options, derive_layer_name, parse_options
+from ..options import MAX_BUILD_ZOOM, MAX_TILE_BYTES, MAX_TILE_FEATURES, Options, derive_layer_name, parse_options
 from ..sources.tilesets import container_format, register, write_container, write_tiles
 
 # Tiles named in an error about tiles over a cap, and the most layers a tileset may list in its metadata.
@@ -41,8 +41,8 @@ class TileBuild:
 
 
 def point_features(feats: DataFrame) -> DataFrame:
-    """Longitude/latitude features on the world grid; rows without a position have nothing to tile (FEA-5)."""
-    located = feats.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    """Longitude/latitude features on the world grid; rows without a finite position have nothing to tile (FEA-5)."""
+    located = feats.filter("abs(lon) < double('infinity') AND abs(lat) < double('infinity') AND NOT isnan(lon) AND NOT isnan(lat)")
     placed = {"wx": wrap_x(world_x(F.col("lon"))), "wy": clamp_y(world_y(F.col("lat")))}
     return located.withColumns(placed).drop("lon", "lat")
 
@@ -98,7 +98,7 @@ def _prop(name: str) -> str:
 
 
 def _own_properties(df: DataFrame) -> list[str]:
-    return [n for n in df.schema["props"].dataType.names if n != "_"]
+    return property_fields(df.schema["props"].dataType)
 
 
 def with_point_count(df: DataFrame, count: Column, replaced: dict[str, Column] | None = None) -> DataFrame:
@@ -137,10 +137,10 @@ def thinned_by_density(tiled: DataFrame, opts: Options, limit: int) -> DataFrame
 def vector_layers(feats: DataFrame, minzoom: int, maxzoom: int, extra: dict[str, str]) -> list[dict]:
     """SNK-7: per layer the kinds of the properties that have a value anywhere."""
     kinds = {}
-    for f in feats.schema["props"].dataType.fields:
-        if f.name != "_":
-            number = isinstance(f.dataType, T.NumericType)
-            kinds[f.name] = "Number" if number else "Boolean" if isinstance(f.dataType, T.BooleanType) else "String"
+    props = feats.schema["props"].dataType
+    for f in (props[n] for n in property_fields(props)):
+        number = isinstance(f.dataType, T.NumericType)
+        kinds[f.name] = "Number" if number else "Boolean" if isinstance(f.dataType, T.BooleanType) else "String"
     counts = feats.groupBy("layer").agg(
         F.count("*").alias("n"), *(F.count(f"props.`{n}`").alias(f"c{i}") for i, n in enumerate(kinds))
     )
@@ -154,6 +154,21 @@ def vector_layers(feats: DataFrame, minzoom: int, maxzoom: int, extra: dict[str,
     return out
 
 
+def extended(feats: DataFrame, kind: str, opts: Options, maxzoom: int) -> int:
+    """TIL-11: the first zoom from `maxzoom` on whose tile rows need no thinning. Points are counted by their buffered tiles, shapes
+    by the tiles they are cut into. One count job per added zoom; an error when even the last zoom would be thinned."""
+    limit = opts.tile_feature_limit
+    points = point_features(feats).select(F.col("rid").alias("fid"), "wx", "wy") if kind == LONLAT else None
+    for zoom in range(maxzoom, MAX_BUILD_ZOOM + 1):
+        if points is not None:
+            rows = tiling.buffered_tiles(points.withColumn("zoom", F.lit(zoom)), opts.buffer)
+        else:
+            rows = tiled_shapes(feats, replace(opts, minzoom=zoom, drop_rate=None, base_zoom=None, cluster_distance=None), zoom)
+        if tiling.fullest(tiling.tile_counts(rows))[0] <= limit:
+            return zoom
+    raise TileBuildError(f"tiles have more than {limit} features even at zoom {MAX_BUILD_ZOOM}")
+
+
 def dealt_out(feats: DataFrame) -> DataFrame:
     """Fan-out multiplies the rows, so a table read from fewer files than there are cores is dealt out before it, not after.
 
@@ -183,7 +198,7 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
     if maxzoom is None:
         maxzoom = max(opts.minzoom, tiling.guess_maxzoom(representative_points(feats, binding.kind)).first()[0])
     if dense and opts.extend_zooms_if_still_dropping:
-        maxzoom = tiling.extend_zooms(representative_points(feats, binding.kind), maxzoom, limit, opts.buffer)
+        maxzoom = extended(feats, binding.kind, opts, maxzoom)
 
     def tiled(source: DataFrame) -> DataFrame:
         if binding.kind == LONLAT:

@@ -297,10 +297,14 @@ class TilesetWriter(DataSourceArrowWriter):
             raise FileExistsError(f'"{self.path}" already exists')
         if self.single and info.type == pafs.FileType.Directory:
             raise FileExistsError(f'"{self.path}" is a directory of shards')
+        # Where the old tileset is one file, shards wait in a folder beside it until the commit.
+        self.beside = not self.single and info.is_file
 
     def _place(self, root: str) -> str:
         parent, name = os.path.split(root)
-        return parent if self.single else root
+        if self.single:
+            return parent
+        return f"{parent}/.{name}.{self.token}" if self.beside else root
 
     def encode_shard(self, rows: list[tuple[int, int, int, bytes]]) -> bytes:
         raise NotImplementedError
@@ -362,7 +366,9 @@ class TilesetWriter(DataSourceArrowWriter):
         fs.create_dir(root, recursive=True)
         old = self._published(fs, root)
         for s in shards:
-            fs.move(f"{root}/{s.pop('hidden')}", f"{root}/{s['file']}")
+            fs.move(f"{place}/{s.pop('hidden')}", f"{root}/{s['file']}")
+        if self.beside and fs.get_file_info(place).type == pafs.FileType.Directory:
+            fs.delete_dir(place)
         manifest = {
             "format": self.suffix.lstrip("."),
             "metadata": self.metadata,

@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+import uuid
 import zipfile
 from typing import Any
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,19 +116,36 @@ def write_container(
         size = tiles.agg(F.sum(F.octet_length("tile_data"))).first()[0] or 0
         if size > SINGLE_FILE_BYTES:
             raise OptionError(f"{size} tile bytes are too many for one file; write shards instead")
-        dealt = tiles.coalesce(1)
+        dealt = tiles.repartition(1)  # the tiles are made by all tasks; only finished ones meet
     else:
         dealt = by_block(tiles)
     dealt.write.format(fmt).mode("overwrite" if force else "append").options(**options).save(path)
 
 
 def write_tiles(tiles: DataFrame, path: str, metadata: dict | None = None, force: bool = True) -> None:
-    """SNK-3: the tile table as Parquet, one folder per zoom, with the metadata beside it."""
+    """SNK-3: the tile table as Parquet, one folder per zoom, with the metadata beside it.
+
+    Every write has a folder of its own, which the manifest names; the manifest is switched when the data is complete, so a failed
+    overwrite leaves the old table as it was.
+    """
+    fs, root = filesystem(path)
+    if not force and fs.get_file_info(root).type != pafs.FileType.NotFound:
+        raise FileExistsError(f'"{path}" already exists')
+    folder = f"data-{uuid.uuid4().hex}"
     dealt = by_block(tiles.select("zoom", "tile_x", "tile_y", "tile_data"))
-    dealt.write.mode("overwrite" if force else "errorifexists").partitionBy("zoom").parquet(path)
+    dealt.write.partitionBy("zoom").parquet(f"{path.rstrip('/')}/{folder}")
+    old = [i for i in fs.get_file_info(pafs.FileSelector(root)) if i.base_name not in (folder, MANIFEST)]
+    with fs.open_output_stream(f"{root}/.{folder}") as f:
+        f.write(json.dumps({"format": "parquet", "metadata": metadata or {}, "folder": folder}).encode())
+    fs.move(f"{root}/.{folder}", f"{root}/{MANIFEST}")
+    for info in old:
+        (fs.delete_file if info.is_file else fs.delete_dir)(info.path)
+
+
+def _manifest(path: str) -> dict:
     fs, root = filesystem(path)
-    with fs.open_output_stream(f"{root}/{MANIFEST}") as f:
-        f.write(json.dumps({"format": "parquet", "metadata": metadata or {}}).encode())
+    with fs.open_input_stream(f"{root}/{MANIFEST}") as f:
+        return json.loads(f.read())
 
 
 def read_tiles(spark: SparkSession, path: str) -> DataFrame:
@@ -139,10 +158,9 @@ def read_tiles(spark: SparkSession, path: str) -> DataFrame:
             T.StructField("zoom", T.IntegerType()),
         ]
     )
-    return spark.read.schema(schema).parquet(path).select("zoom", "tile_x", "tile_y", "tile_data")
+    data = f"{path.rstrip('/')}/{_manifest(path)['folder']}"
+    return spark.read.schema(schema).parquet(data).select("zoom", "tile_x", "tile_y", "tile_data")
 
 
 def tiles_metadata(path: str) -> dict:
-    fs, root = filesystem(path)
-    with fs.open_input_stream(f"{root}/{MANIFEST}") as f:
-        return json.loads(f.read())["metadata"]
+    return _manifest(path)["metadata"]
