@@ -153,19 +153,43 @@ def _last_before(rows: DataFrame, value: Column, out: str, sliced: bool, keys: l
 
 
 def _top_per_tile(df: DataFrame, limit: int, hot_rows: int, largest: int) -> DataFrame:
-    """Mark rows ranked within `limit` by (gap desc nulls first, fid); large tiles are first ranked in slices."""
+    """Mark rows ranked within `limit` by (gap desc nulls first, fid).
+
+    Where a tile is too large for one task to sort, the cut-off is found by counting: 16 bits of the order key at a time, rows per
+    value are added up before the shuffle, until the rows that share the cut-off's leading bits are few enough to be ranked.
+    Everything else is kept or not by comparing its leading bits; no task ever holds a tile's best.
+    """
     order = [F.col("gap").desc_nulls_first(), F.col("fid")]
     w = Window.partitionBy(*TILE).orderBy(*order)
     if largest <= hot_rows:
         return df.withColumn("kept", F.row_number().over(w) <= limit)
-    slices = -(-largest // hot_rows)
-    ranked = df.withColumn("_s", F.pmod(F.xxhash64("fid"), F.lit(slices)))
-    sliced = Window.partitionBy(*TILE, "_s").orderBy(*order)
-    ranked = ranked.withColumn("_r", F.row_number().over(sliced))
-    # Rows out of the running stay in their slice; the best of all slices meet in slice -1.
-    ranked = ranked.withColumn("_s", F.when(F.col("_r") <= limit, F.lit(-1).cast("long")).otherwise(F.col("_s")))
-    kept = (F.col("_s") == -1) & (F.row_number().over(sliced) <= limit)
-    return ranked.withColumn("kept", kept).drop("_s", "_r")
+    rows = materialise(df.withColumn("_d", F.concat(_digits(F.coalesce(-F.col("gap"), F.lit(-(2**63)))), _digits(F.col("fid")))))
+    cut = tile_counts(rows).filter(F.col("n") > limit).select(*TILE, F.array().cast("array<int>").alias("_p"), F.lit(limit).cast("long").alias("_need"), "n")
+    done, line = None, Window.partitionBy(*TILE).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    for i in range(DIGITS):
+        inside = rows.select(*TILE, "_d").join(cut.drop("n"), TILE).filter(F.slice("_d", 1, i) == F.col("_p") if i else F.lit(True))
+        counts = inside.groupBy(*TILE, "_p", "_need", F.col("_d")[i].alias("_v")).agg(F.count("*").alias("n"))
+        upto = counts.withColumn("_to", F.sum("n").over(line)).filter((F.col("_to") >= F.col("_need")) & (F.col("_to") - F.col("n") < F.col("_need")))
+        found = materialise(upto.select(*TILE, F.concat("_p", F.array("_v")).alias("_p"), (F.col("_need") - F.col("_to") + F.col("n")).alias("_need"), "n"))
+        small = found if i == DIGITS - 1 else found.filter(F.col("n") <= hot_rows)
+        done = small if done is None else done.unionByName(small)
+        cut = found.filter(F.col("n") > hot_rows)
+        if i == DIGITS - 1 or cut.isEmpty():
+            break
+    marked = rows.join(done.drop("n"), TILE, "left").withColumn("_lead", F.slice("_d", 1, F.coalesce(F.size("_p"), F.lit(1))))
+    clear = marked.filter("_p IS NULL OR _lead <> _p").withColumn("kept", F.col("_p").isNull() | (F.col("_lead") < F.col("_p")))
+    close = marked.filter("_lead = _p").withColumn("kept", F.row_number().over(w) <= F.col("_need"))
+    return clear.unionByName(close).drop("_d", "_p", "_need", "_lead")
+
+
+# Digits of an order key: two 64-bit numbers, 16 bits each.
+DIGITS = 8
+
+
+def _digits(c: Column) -> Column:
+    """A signed 64-bit number as four 16-bit digits in ascending order."""
+    unsigned = c.cast("long").bitwiseXOR(F.lit(-(2**63)))
+    return F.array(*(F.shiftrightunsigned(unsigned, s).bitwiseAND(F.lit(0xFFFF)).cast("int") for s in (48, 32, 16, 0)))
 
 
 # --- TIL-9, TIL-10 -----------------------------------------------------------------------------------------------------

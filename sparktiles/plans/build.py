@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,6 +169,15 @@ def extended(feats: DataFrame, kind: str, opts: Options, maxzoom: int) -> int:
     raise TileBuildError(f"tiles have more than {limit} features even at zoom {MAX_BUILD_ZOOM}")
 
 
+def numbered_by_content(feats: DataFrame) -> DataFrame:
+    """`rid` hashed from what the row holds, so that ties of thinning fall the same way in every layout of the input. Equal rows are
+    told apart by a count; which is which makes no difference."""
+    geometry = [c for c in feats.columns if c not in ("layer", "fid", "props")]
+    hashed = feats.withColumn("_content", F.xxhash64("layer", "fid", F.to_json("props"), *geometry))
+    nth = F.row_number().over(Window.partitionBy("_content").orderBy("_content"))
+    return hashed.withColumn("rid", F.xxhash64("_content", nth)).drop("_content")
+
+
 def dealt_out(feats: DataFrame) -> DataFrame:
     """Fan-out multiplies the rows, so a table read from fewer files than there are cores is dealt out before it, not after.
 
@@ -187,12 +196,11 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
     opts = options or parse_options(given)
     register(df.sparkSession)
     feats, binding = features(df, opts, opts.layer or layer)
-    feats = feats.withColumn("rid", F.monotonically_increasing_id())
     dense = opts.drop_densest_as_needed or opts.coalesce_densest_as_needed
     if dense:
-        feats = materialise(feats)
+        feats = materialise(numbered_by_content(feats))
     else:
-        feats = dealt_out(feats)
+        feats = dealt_out(feats.withColumn("rid", F.monotonically_increasing_id()))
     limit = opts.tile_feature_limit
     maxzoom = opts.maxzoom
     if maxzoom is None:

@@ -223,3 +223,46 @@ def test_analytics_keep_rows_without_key(spark):
     df = spark.createDataFrame(rows, "layer string, zoom int, tile_x int, tile_y int, feature_id long")
     out = st.dedupe_features(df).collect()
     assert sorted((r.feature_id or -1, r.tile_x) for r in out) == [(-1, 1), (-1, 1), (7, 0)]
+
+
+def test_thinning_does_not_depend_on_the_layout(spark):
+    points = spark.range(6000).selectExpr("id AS fid", "cast(id * 7919 % 3000 as double) / 100 AS lon", "cast(id * 104729 % 1700 as double) / 100 AS lat")
+    twice = points.unionByName(points.filter("fid < 50"))
+
+    def kept(df):
+        made = st.build(df, id_column="fid", maxzoom=2, drop_densest_as_needed=True, tile_feature_limit=700)
+        return sorted(tuple(r) for r in st.decode_tiles(made.tiles, []).select("zoom", "tile_x", "tile_y", "feature_id").collect())
+
+    assert kept(twice.repartition(3)) == kept(twice.orderBy(F.desc("lat")).coalesce(1))
+
+
+def test_cut_off_by_counting(spark):
+    rows = spark.range(5000).selectExpr("1 AS zoom", "0 AS tile_x", "0 AS tile_y", "id AS fid", "CASE WHEN id % 100 <> 7 THEN id % 13 END AS gap")
+    rows = rows.unionByName(spark.range(30).selectExpr("1 AS zoom", "1 AS tile_x", "0 AS tile_y", "id AS fid", "id AS gap"))
+    for limit in (1, 60, 1000):
+        plain = tiling._top_per_tile(rows, limit, 10_000, 5000).filter("kept").select("tile_x", "fid")
+        counted = tiling._top_per_tile(rows, limit, 100, 5000).filter("kept").select("tile_x", "fid")
+        assert sorted(plain.collect()) == sorted(counted.collect())
+
+
+def test_groups_of_several_batches_keep_all_rows():
+    import pyarrow as pa
+
+    from sparktiles.operators.encode import whole_groups
+
+    parts = [pa.record_batch({"zoom": [1] * n, "tile_x": [0] * n, "tile_y": [0] * n, "i": list(range(a, a + n))}) for a, n in ((0, 3), (3, 2), (5, 4))]
+    assert [x for b in whole_groups(iter(parts), ["zoom", "tile_x", "tile_y"]) for x in b.column("i").to_pylist()] == list(range(9))
+
+
+def test_positions_that_are_not_finite_are_left_out(spark, wkb):
+    points = spark.createDataFrame([(1, float("nan"), 1.0), (2, 1.0, float("inf")), (3, 1.0, 2.0)], "fid int, lon double, lat double")
+    assert [r.feature_id for r in st.decode_tiles(st.build(points, id_column="fid", maxzoom=0).tiles, []).collect()] == [3]
+    nan = float("nan")
+    shapes = spark.createDataFrame([(1, wkb.line([(nan, nan), (nan, nan)])), (2, wkb.point(nan, 3.0))], "fid int, geom binary")
+    assert st.build(shapes, id_column="fid", maxzoom=0, allow_empty=True).tiles.count() == 0
+
+
+def test_runs_go_on_over_block_edges(spark):
+    rows = spark.range(20).selectExpr("id AS tile_id", "CASE WHEN id BETWEEN 3 AND 17 THEN 'a' ELSE cast(id as string) END AS tile_data")
+    whole = {(r.tile_id, r.run_length) for r in runs.collapse_runs(rows, bits=2).collect()}
+    assert whole == {(i, 1) for i in (0, 1, 2, 18, 19)} | {(3, 15)}
