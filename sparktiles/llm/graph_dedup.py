@@ -146,7 +146,8 @@ def pieces(flat: np.ndarray, sizes: np.ndarray, okeys: np.ndarray, tags: np.ndar
     ends = breaks[np.searchsorted(breaks, begins)]
     g, t = group[begins], group[ends]
     # Later places: the group's occurrences, which stand in order of document, behind those of the first document.
-    later = heads[g] + np.array([np.searchsorted(okey[order][heads[x] : stop[x]], least[x], "right") for x in g], np.int64)
+    in_first = np.add.reduceat((okey[order] == np.repeat(least, stop - heads)).astype(np.int64), heads)
+    later = (heads + in_first)[g]
     lengths = stop[g] - later
     which = order[ranges(later, lengths)]
     ends_of = np.concatenate([[0], np.cumsum(lengths)])
