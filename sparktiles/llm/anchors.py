@@ -181,7 +181,7 @@ def repeated_anchors(base: DataFrame, firsts: DataFrame, find: Callable[[np.ndar
                 some = slice(low, low + GATHERED)
                 yield _places(okeys[some][again[some]], places[some][again[some]])
 
-    packed = rows.mapInArrow(gather, _PACKED).repartition(buckets, "bucket")
+    packed = rows.mapInArrow(gather, _PACKED).repartitionById(buckets, "bucket")
     places = packed.mapInArrow(settle, "__okey long, place long")
     return stored(places.groupBy("__okey").agg(F.collect_set("place").alias("__places")))
 

@@ -201,7 +201,7 @@ def edge_tables(base: DataFrame, firsts: DataFrame) -> tuple[DataFrame, DataFram
             if made is not None:
                 yield made
 
-    both = stored(rows.mapInArrow(cut, _EDGES).repartition(n, "bucket").mapInArrow(build, _PIECES))
+    both = stored(rows.mapInArrow(cut, _EDGES).repartitionById(n, "bucket").mapInArrow(build, _PIECES))
     done = both.filter("head IS NULL").select(F.col("okey").alias("__okey"), "tag", "start", "n")
     return both.filter("head IS NOT NULL"), done
 

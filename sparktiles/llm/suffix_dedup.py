@@ -197,7 +197,7 @@ def repeated_spans(base: DataFrame, firsts: DataFrame) -> DataFrame:
             suffix, start, stop = bucket.repeats()
             yield _spans(bucket.okeys[suffix], bucket.tags[suffix], start, stop)
 
-    spans = rows.mapInArrow(cut, _PACKED).repartition(n, "bucket").mapInArrow(settle, _SPANS)
+    spans = rows.mapInArrow(cut, _PACKED).repartitionById(n, "bucket").mapInArrow(settle, _SPANS)
     return stored(spans.groupBy("__okey").agg(F.collect_list(F.struct("tag", "start", "stop")).alias("__spans")))
 
 
