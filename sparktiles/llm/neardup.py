@@ -168,6 +168,13 @@ def _bucketed(rows: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
+def _halved(found: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles by the upper half of their hash, ascending as they are; those few of a text that share it count as one."""
+    half = (found >> U64(32)).astype(np.uint32)
+    heads = np.flatnonzero(np.concatenate([[True], half[1:] != half[:-1]]))
+    return half[heads], np.add.reduceat(weights, heads).astype(np.float32)
+
+
 def vectors(docs: DataFrame, wanted: DataFrame, idf: np.ndarray) -> DataFrame:
     """id, shingles (32 bits each) and weights of the texts whose id is wanted, bucketed by id."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
@@ -178,10 +185,9 @@ def vectors(docs: DataFrame, wanted: DataFrame, idf: np.ndarray) -> DataFrame:
             for part, data, at in text_slices(batch):
                 words = Words(data, at)
                 found, weights, cuts = shingles(words, words.hashes(), shared.value)
-                # The upper halves of ascending hashes are ascending, too.
-                half = (found >> U64(32)).astype(np.uint32)
-                columns = [[x[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] for x in (half, weights)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(c, pa.binary()) for c in columns)], ["id", "shingles", "weights"])
+                rows = [_halved(found[a:b], weights[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                columns = [pa.array([x.tobytes() for x in c], pa.binary()) for c in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), *columns], ["id", "shingles", "weights"])
 
     rows = docs.select(_text_id().alias("id"), _order_key().alias("okey"), "text").repartition(n, "id")
     # One row per text: its first document's.

@@ -461,6 +461,12 @@ def test_shingle_weights():
     assert weighted(idf, "")[0].tolist() == weighted(idf, " \n")[0].tolist()
 
 
+def test_shingles_that_share_half_a_hash_are_one():
+    found = np.array([1 << 32, (1 << 32) + 5, 3 << 32], np.uint64)
+    half, weights = neardup._halved(found, np.array([1, 2, 4], np.float32))
+    assert half.tolist() == [1, 3] and weights.tolist() == [3, 4]
+
+
 def test_components_of_a_long_chain(spark):
     draw = random.Random(3)
     names = [struct.pack(">I", n) for n in draw.sample(range(1 << 30), 60)]
