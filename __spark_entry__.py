@@ -29,7 +29,7 @@ from sparktiles.operators.tables import shared_folder  # noqa: E402
 from sparktiles.options import ACCUMULATORS  # noqa: E402
 
 try:
-    from sparktiles.llm import queries as llm
+    import sparktiles.llm.queries as llm
 except ModuleNotFoundError as gone:  # the operators for training data are a package that may be absent as a whole
     if not (gone.name or "").startswith("sparktiles.llm") and gone.name != "corpus_pipeline":
         raise
