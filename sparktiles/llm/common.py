@@ -41,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and go on from it: no lineage behind it, and lost executors cost only a read."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
