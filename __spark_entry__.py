@@ -398,7 +398,7 @@ def q_build_clustered(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_build_densest(spark: SparkSession, sf: str) -> DataFrame:
     made = st.build(_events(spark, sf), maxzoom=5, drop_densest_as_needed=True, tile_feature_limit=50, id_column="fid")
-    return st.decode_tiles(made.tiles, []).groupBy(*TILE).agg(F.count("*").alias("n"))
+    return st.decode_tiles(made.tiles, []).select(*TILE, "feature_id")
 
 
 # --- Queries: shapes ---------------------------------------------------------------------------------------------------
@@ -900,8 +900,8 @@ def _tile_sql() -> dict[str, str]:
         "tile_table": f"""{_with(_CUSTOMER, _WORLD, _thin(0, 5, 2.0, 5), _BUFFERED)}
             SELECT zoom, tile_x, tile_y, fid AS feature_id FROM tiled""",
         "build_clustered": clusters,
-        "build_densest": f"""{_with(_EVENTS, _WORLD, _spread(0, 5), _BUFFERED)}
-            SELECT zoom, tile_x, tile_y, least(50, count(*)) AS n FROM tiled GROUP BY zoom, tile_x, tile_y""",
+        "build_densest": f"""{_with(_EVENTS, _WORLD, _spread(0, 5), _BUFFERED, _morton("tiled", "keyed"), _ranked(50))}
+            SELECT zoom, tile_x, tile_y, fid AS feature_id FROM marked WHERE kept""",
         "shape_tiles": _shape_tiles(),
         "vertices": f"""{_with(_ORDERS, _WORLD)}
             SELECT o_custkey AS fid, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, fid) - 1 AS INTEGER) AS pos,

@@ -169,13 +169,18 @@ def extended(feats: DataFrame, kind: str, opts: Options, maxzoom: int) -> int:
     raise TileBuildError(f"tiles have more than {limit} features even at zoom {MAX_BUILD_ZOOM}")
 
 
-def numbered_by_content(feats: DataFrame) -> DataFrame:
-    """`rid` hashed from what the row holds, so that ties of thinning fall the same way in every layout of the input. Equal rows are
-    told apart by a count; which is which makes no difference."""
+def numbered_by_content(feats: DataFrame, has_ids: bool) -> DataFrame:
+    """`rid` is the feature's id where it has one of its own, else a negative hash of what the row holds, so that ties of thinning
+    fall the same way in every layout of the input. Equal rows are told apart by a count; which is which makes no difference."""
     geometry = [c for c in feats.columns if c not in ("layer", "fid", "props")]
     hashed = feats.withColumn("_content", F.xxhash64("layer", "fid", F.to_json("props"), *geometry))
     nth = F.row_number().over(Window.partitionBy("_content").orderBy("_content"))
-    return hashed.withColumn("rid", F.xxhash64("_content", nth)).drop("_content")
+    hashed = hashed.withColumn("rid", F.xxhash64("_content", nth).bitwiseOR(F.lit(-(2**63)))).drop("_content")
+    if not has_ids:
+        return hashed
+    shared = feats.filter(F.col("fid").isNotNull()).groupBy("fid").agg(F.count("*").alias("_n")).filter("_n > 1")
+    own = F.when(F.col("fid").isNotNull() & F.col("_n").isNull(), F.col("fid")).otherwise(F.col("rid"))
+    return hashed.join(shared, "fid", "left").withColumn("rid", own).select(*feats.columns, "rid")
 
 
 def dealt_out(feats: DataFrame) -> DataFrame:
@@ -198,7 +203,7 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
     feats, binding = features(df, opts, opts.layer or layer)
     dense = opts.drop_densest_as_needed or opts.coalesce_densest_as_needed
     if dense:
-        feats = materialise(numbered_by_content(feats))
+        feats = materialise(numbered_by_content(feats, opts.id_column is not None))
     else:
         feats = dealt_out(feats.withColumn("rid", F.monotonically_increasing_id()))
     limit = opts.tile_feature_limit
