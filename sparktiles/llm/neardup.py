@@ -285,7 +285,7 @@ def links(docs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float
         ranked = stored(_shared(left).join(degree, "id").select("id", "band", "degree"))
         if ranked.isEmpty():
             return found.distinct()
-        most *= 8
+        most *= 2
 
 
 # --- Spark: classes ----------------------------------------------------------------------------------------------------
