@@ -6,11 +6,12 @@ table of the shingles' own frequencies would be as large as the corpus, and woul
 copies of it there are. A text of one to four words is one shingle; texts without words are all alike.
 
 HASHES samples are drawn per text such that two texts agree in one with the probability of their weighted Jaccard similarity.
-Bands of ROWS samples bucket the texts. In every bucket all are compared with a pivot, the text that shares most buckets; those
-that match are linked and leave the bucket, the others go on with the next pivots until nobody is left. So a bucket costs its
-size times the clusters in it, never all its pairs. Compared means: an estimate from the samples that a similar pair
-passes but for one in 100,000, then the exact weighted Jaccard similarity of the texts. Linked texts are classes, found by
-alternating stars. Equal texts are one text throughout.
+Bands of ROWS samples bucket the texts. In every bucket all are compared with a few pivots, the texts that share most buckets;
+then, in blocks, those outside the bucket's largest class with everyone of another class. Only texts that are of one class already
+are not compared, so no link between classes is lost, and a bucket costs its size times the texts outside its largest class.
+Compared means: an estimate from the samples that a similar pair passes but for one in 100,000, then the exact weighted Jaccard
+similarity of the texts; a text's best estimates are tried first. Linked texts are classes, found by alternating stars. Equal texts
+are one text throughout.
 
 At a similarity of 0.8 a pair shares no bucket once in 100,000. Null texts are empty. Class ids are the smallest doc_id of the
 class, null only if no document of it has an id.
@@ -35,6 +36,10 @@ HASHES = ROWS * BANDS
 #: Equal samples, of HASHES, from which a pair is compared exactly: 4.5 standard deviations under SIMILARITY.
 LEAST_EQUAL = 26
 DF_BITS = 16
+#: Pivots of a bucket in the first rounds; texts on a side of a block after them; pairs a text then gives first with another class.
+PIVOTS, BLOCK_TEXTS, FIRST_PAIRS = (1, 4, 16), 512, 2
+#: Links that are few enough to be joined to classes on the driver.
+FEW_LINKS = 50_000
 #: Shingles looked at together: bounds the memory of a long text.
 BLOCK = 4096
 
@@ -198,17 +203,20 @@ def vectors(docs: DataFrame, wanted: DataFrame, idf: np.ndarray) -> DataFrame:
 # --- Spark: from samples to links --------------------------------------------------------------------------------------
 
 
+def band_keys(drawn: np.ndarray) -> np.ndarray:
+    """(texts, bands): a hash of each ROWS samples and their place."""
+    salts, places = multipliers(ROWS, 51), mix(np.arange(BANDS, dtype=U64))
+    return mix((mix(drawn.reshape(-1, BANDS, ROWS).astype(U64)) * salts).sum(axis=2, dtype=U64) ^ places).view(np.int64)
+
+
 def bands(texts: DataFrame) -> DataFrame:
-    """id and band: a hash of each ROWS samples and their place."""
+    """id and band of every text, BANDS rows each."""
 
     def make():
-        salts, places = multipliers(ROWS, 51), mix(np.arange(BANDS, dtype=U64))
-
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            drawn = np.frombuffer(b"".join(batch.column("samples").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(U64)
-            keys = mix((mix(drawn) * salts).sum(axis=2, dtype=U64) ^ places)
+            keys = band_keys(np.frombuffer(b"".join(batch.column("samples").to_pylist()), np.uint32))
             which = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(which), pa.array(keys.ravel().view(np.int64))], ["id", "band"])
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(which), pa.array(keys.ravel())], ["id", "band"])
 
         return step
 
@@ -255,8 +263,80 @@ def _verified(pairs: DataFrame, vectors: DataFrame, similarity: float) -> DataFr
     return arrow_map(both.select("id", "pivot", *names), make, "id binary, pivot binary")
 
 
+def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """id, band, degree, root and the bucket's facts, of buckets whose texts are not all of one class yet: `main` is the class with
+    most texts of the bucket, `others` and `mains` count the texts outside and inside it."""
+    labelled = rows.select("id", "band", "degree").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    per_class = labelled.groupBy("band", "root").agg(F.count("*").alias("n"))
+    facts = per_class.groupBy("band").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"))
+    facts = facts.filter("all > most.n").select("band", F.col("most.root").alias("main"), F.col("most.n").alias("mains"), (F.col("all") - F.col("most.n")).alias("others"))
+    return stored(labelled.join(facts, "band").select("id", "band", "degree", "root", "main", "others", "mains"))
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows of open buckets with the block (i, kind, j) they are compared in: some texts outside the main class with some inside it, or
+    with some others outside. A block has about 2 * BLOCK_TEXTS texts; a bucket has so many blocks that every pair of different classes
+    meets."""
+    outer, inner = (F.ceil(F.col(c) / BLOCK_TEXTS).cast("int") for c in ("others", "mains"))
+    rows = rows.withColumns({"__outer": outer, "__inner": inner, "__hash": F.xxhash64("id", "band")})
+    inside = rows.filter("root = main").withColumns({"i": F.explode(F.sequence(F.lit(0), F.col("__outer") - 1)), "kind": F.lit(0), "j": F.expr("int(pmod(__hash, __inner))")})
+    outside = rows.filter("root <> main").withColumn("__own", F.expr("int(pmod(__hash, __outer))"))
+    with_main = outside.withColumns({"i": F.col("__own"), "kind": F.lit(0), "j": F.explode(F.sequence(F.lit(0), F.col("__inner") - 1))})
+    other = outside.filter("__outer > 1").withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__outer") - 1))).filter("__own <> __other")
+    with_other = other.withColumns({"i": F.least("__own", "__other"), "kind": F.lit(1), "j": F.greatest("__own", "__other")})
+    names = ("id", "band", "root", "main", "i", "kind", "j")
+    return inside.select(*names).unionByName(with_main.select(*names)).unionByName(with_other.select(*names))
+
+
+def _likely(ids: np.ndarray, drawn: np.ndarray, band: int, roots: np.ndarray, outside: np.ndarray, most: int) -> tuple[list, bool]:
+    """(a, b) of texts of different classes in a block that agree in LEAST_EQUAL samples, and whether some were left for later: a text
+    gives its `most` best pairs with each other class. Pairs belong to the first band they share."""
+    keys, out, cut = band_keys(drawn), [], False
+    for a in np.flatnonzero(outside):
+        b = np.flatnonzero((roots != roots[a]) & (~outside | (np.arange(len(ids)) > a)))
+        equal = (drawn[b] == drawn[a]).sum(axis=1)
+        b, equal = b[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
+        same = keys[b] == keys[a]
+        first = keys[a, same.argmax(axis=1)] == band
+        b, equal = b[first], equal[first]
+        order = np.lexsort((ids[b], -equal, roots[b]))
+        b = b[order]
+        starts = np.flatnonzero(np.concatenate([[True], roots[b][1:] != roots[b][:-1]])) if len(b) else np.zeros(0, int)
+        place = np.arange(len(b)) - np.repeat(starts, np.diff(np.append(starts, len(b))))
+        cut |= bool((place >= most).any())
+        out += [(a, x) for x in b[place < most]]
+    return out, cut
+
+
+def _cross_pairs(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+    """id and pivot of likely pairs between classes of open buckets; a row of nulls where some were left for later."""
+    both = _blocks(rows).join(texts.select("id", "samples"), "id")
+
+    def run(block: pa.Table) -> pa.Table:
+        ids, roots, main = (np.array(block.column(c).to_pylist(), "S16") for c in ("id", "root", "main"))
+        drawn = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint32).reshape(-1, HASHES)
+        found, cut = _likely(ids, drawn, block.column("band")[0].as_py(), roots, roots != main, most)
+        names = block.column("id").to_pylist()
+        left, right = [max(names[a], names[b]) for a, b in found], [min(names[a], names[b]) for a, b in found]
+        left, right = (x + [None] * cut for x in (left, right))
+        return pa.table({"id": pa.array(left, pa.binary()), "pivot": pa.array(right, pa.binary())})
+
+    return both.groupBy("band", "i", "kind", "j").applyInArrow(run, "id binary, pivot binary")
+
+
+def _joined(roots: DataFrame, matched: DataFrame) -> DataFrame:
+    """Classes (id and root) after some more links."""
+    ends = matched.join(roots, "id", "left").select("pivot", F.coalesce("root", "id").alias("a"))
+    ends = ends.join(roots.select(F.col("id").alias("pivot"), "root"), "pivot", "left").select(F.col("a").alias("id"), F.coalesce("root", "pivot").alias("pivot"))
+    more = stored(components(ends)).withColumnRenamed("root", "newer")
+    old = roots.join(more.withColumnRenamed("id", "root"), "root", "left").select("id", F.coalesce("newer", "root").alias("root"))
+    own = more.join(roots, "id", "left_anti").select("id", F.col("newer").alias("root"))
+    return stored(old.unionByName(own))
+
+
 def links(docs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
-    """id and pivot of similar texts: in every bucket, every text is linked to a pivot it matches or has been compared with all."""
+    """id and pivot of similar texts. Any two texts of a bucket have been compared or are of one class: a pivot leaves its bucket when
+    it has been compared with all texts of other classes there, others leave only with a bucket that is one class."""
     members = stored(_shared(bands(texts)))
     if members.isEmpty():
         return members.select("id", F.col("id").alias("pivot"))
@@ -265,27 +345,39 @@ def links(docs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float
     # Texts that share most buckets come first: of a group of edited copies that is the text they are copies of.
     degree = stored(members.groupBy("id").agg(F.sum("n").alias("degree")))
     ranked = stored(members.select("id", "band").join(degree, "id"))
-    tested, found, most = None, None, 1
-    while True:
-        order = Window.partitionBy("band").orderBy(F.desc("degree"), "id")
-        pivots = stored(ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most).select("band", F.col("id").alias("pivot"), F.col("rank").alias("pivot_rank")))
-        # A pivot is compared with the pivots before it only.
-        against = ranked.join(pivots, "band").join(pivots.select("band", F.col("pivot").alias("id"), F.col("pivot_rank").alias("own")), ["band", "id"], "left")
-        against = stored(against.filter("own IS NULL OR own > pivot_rank").select("band", "id", "pivot"))
-        pairs = against.select("id", "pivot").distinct()
+    tested = found = None
+    roots = texts.sparkSession.createDataFrame([], "id binary, root binary")
+
+    def settle(pairs: DataFrame, likely: bool) -> None:
+        nonlocal tested, found, roots
         if tested is not None:
             pairs = pairs.join(tested, ["id", "pivot"], "left_anti")
         pairs = stored(pairs)
-        matched = stored(_verified(_promising(pairs, texts), known, similarity))
+        matched = stored(_verified(pairs if likely else _promising(pairs, texts), known, similarity))
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = matched if found is None else found.unionByName(matched)
-        gone = against.join(found, ["id", "pivot"], "left_semi").select("band", "id")
-        gone = gone.unionByName(pivots.select("band", F.col("pivot").alias("id"))).distinct()
-        left = ranked.join(gone, ["band", "id"], "left_anti")
-        ranked = stored(_shared(left).join(degree, "id").select("id", "band", "degree"))
-        if ranked.isEmpty():
+        roots = _joined(roots, matched)
+
+    for most in PIVOTS:
+        rows = _open(ranked, roots)
+        if rows.isEmpty():
+            break
+        order = Window.partitionBy("band").orderBy(F.desc("degree"), "id")
+        pivots = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+        pivots = stored(pivots.select("band", F.col("id").alias("pivot"), F.col("root").alias("pivot_root")))
+        against = rows.select("band", "id", "root").join(pivots, "band").filter("root <> pivot_root")
+        settle(against.select(F.greatest("id", "pivot").alias("id"), F.least("id", "pivot").alias("pivot")).distinct(), False)
+        ranked = stored(rows.join(pivots.select("band", F.col("pivot").alias("id")), ["band", "id"], "left_anti").select("id", "band", "degree"))
+    most = FIRST_PAIRS
+    while True:
+        rows = _open(ranked, roots)
+        if rows.isEmpty():
+            return found.distinct()
+        pairs = stored(_cross_pairs(rows, texts, most).distinct())
+        settle(pairs.filter("id IS NOT NULL"), True)
+        if pairs.filter("id IS NULL").isEmpty():
             return found.distinct()
-        most *= 2
+        ranked, most = rows, most * 8
 
 
 # --- Spark: classes ----------------------------------------------------------------------------------------------------
@@ -304,9 +396,27 @@ def _stars(edges: DataFrame) -> DataFrame:
     return stored(small.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
 
+def _few_components(edges: list[tuple[bytes, bytes]]) -> list[tuple[bytearray, bytearray]]:
+    up: dict[bytes, bytes] = {}
+
+    def top(x: bytes) -> bytes:
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    for a, b in edges:
+        a, b = top(a), top(b)
+        up[max(a, b)] = min(a, b)
+    return [(bytearray(x), bytearray(top(x))) for x in list(up) if top(x) != x]
+
+
 def components(found: DataFrame) -> DataFrame:
     """id and root (the smallest id) of every linked text."""
     edges = stored(found.filter("id <> pivot").select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct())
+    few = edges.limit(FEW_LINKS + 1).collect()
+    if len(few) <= FEW_LINKS:
+        return edges.sparkSession.createDataFrame(_few_components([(bytes(r.a), bytes(r.b)) for r in few]), "id binary, root binary")
     mark = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     before = mark(edges)
     while before[0]:

@@ -437,6 +437,36 @@ def test_near_duplicates(docs, none):
     assert neardup.classes(none).count() == 0 and neardup.without_near_duplicates(none).count() == 0
 
 
+def spread_copies(seed: int = 5) -> list[str]:
+    """Edited copies whose similarity to each other lies about the threshold; the text they are copies of is not there."""
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(400)}" for _ in range(110)]
+    out = []
+    for _ in range(250):
+        copy = list(base)
+        for _ in range(draw.choice([1, 2, 2, 3])):
+            copy[draw.randrange(len(copy))] = f"edit{draw.randrange(10_000)}"
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("few_links", [neardup.FEW_LINKS, 0])
+def test_no_link_of_a_spread_group_is_lost(spark, monkeypatch, few_links):
+    monkeypatch.setattr(neardup, "FEW_LINKS", few_links)
+    monkeypatch.setattr(neardup, "BLOCK_TEXTS", 40)
+    texts = sorted(set(spread_copies()))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    idf = neardup.word_frequencies(docs)
+    sets, root = [weighted(idf, t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and neardup.weighted_jaccard(*sets[i], *sets[j]) >= 0.8:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    assert 1 < len(set(root)) < len(texts)
+    assert {r.doc_id: r.class_id for r in neardup.classes(docs).collect()} == dict(enumerate(root))
+
+
 def test_weighted_samples_agree_as_often_as_the_similarity():
     draw = np.random.default_rng(5)
     sampler = neardup.Sampler(samples=4096)
