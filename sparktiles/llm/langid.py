@@ -6,8 +6,9 @@ probabilities are learned by expectation maximisation: forward and backward sums
 all segmentations of the training words.
 
 Words are cut at white space and scored with a space in front; a word of over 64 bytes is scored in parts. The training sample
-is at most SAMPLE_ROWS documents (a hash of doc_id picks them), counted to words per language by Spark before the one fitting
-task. Learned languages are the sample's. A null text, or one without a letter, is `und` with score 0; so is every text when
+is at most SAMPLE_ROWS documents (a hash of doc_id picks them within each language, so that all languages have a share; one each
+where there are more languages than that), counted to words per language by Spark before the one fitting task. Every language of
+the training rows that has a word is learned. A null text, or one without a letter, is `und` with score 0; so is every text when
 nothing could be learned.
 """
 
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Words, arrow_map, fold, hash_sample, span_hashes, stored, table, text_slices
@@ -117,11 +118,25 @@ def learn(pieces: PieceTable, data: np.ndarray, starts: np.ndarray, lengths: np.
 # --- Spark -------------------------------------------------------------------------------------------------------------
 
 
+def language_sample(rows: DataFrame, most: int) -> DataFrame:
+    """Ids of the sample: of every language the most // languages (one at least) of the smallest hashes, and up to `most` ids in all
+    the smallest hashes of the rest."""
+    ids = rows.select("doc_id", "lang").distinct()
+    n = ids.agg(F.count_distinct("lang")).first()[0]
+    order = Window.partitionBy("lang").orderBy(F.md5(F.concat(F.lit("lang"), F.col("doc_id").cast("string")).cast("binary")), "doc_id")
+    own = ids.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= max(1, most // max(1, n)))
+    own = stored(own.select("doc_id").distinct())
+    rest = ids.select("doc_id").distinct().join(F.broadcast(own), "doc_id", "left_anti")
+    return own.unionByName(hash_sample(rest, "doc_id", max(0, most - own.count()), "lang"))
+
+
 def fit(docs: DataFrame, train: Column | None = None, most: int = SAMPLE_ROWS, model: str | None = None) -> LanguageModel:
     """Learn from the rows where `train` holds and text and lang are known."""
     model = model or default_model()
     known = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    ids = hash_sample((known if train is None else known.filter(train)).select("doc_id").distinct(), "doc_id", most, "lang")
+    # A document without words teaches nothing of its language.
+    worded = known.filter(F.col("text").rlike(r"[^ \t-\r]"))
+    ids = language_sample(worded if train is None else worded.filter(train), most)
     rows = known.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id").select("text", "lang")
 
     def make():

@@ -377,6 +377,16 @@ def test_language_id(docs, none):
     assert {r.lang_pred for r in langid.identify(docs, langid.fit(none)).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "alpha beta gamma", "xx") for i in range(400)] + [(1000 + i, "uno dos tres", "yy") for i in range(2)] + [(2000, "ichi ni san", "zz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = [r.doc_id for r in langid.language_sample(docs, 30).collect()]
+    assert len(sample) == len(set(sample)) == 30 and {1000, 1001, 2000} <= set(sample)
+    model = langid.fit(docs, most=30)
+    assert model.languages == ["xx", "yy", "zz"]
+    assert {(r.doc_id, r.lang_pred) for r in langid.identify(docs.filter("doc_id >= 1000"), model).collect()} == {(1000, "yy"), (1001, "yy"), (2000, "zz")}
+
+
 def test_forward_sums_all_segmentations():
     table = PieceTable(default_model())
     draw = np.random.default_rng(1)
