@@ -6,6 +6,7 @@ a single longer text is a slice of its own. A null text counts as an empty one u
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zlib
@@ -30,9 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path below the folder that the session names in spark.checkpoint.dir; one of our own only where none is set."""
+    """A new path below the folder that the session names in spark.checkpoint.dir; one of our own only where none is set and driver
+    and executors are one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="sparktiles-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder}/llm-{uuid.uuid4().hex}"
