@@ -24,12 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import arrow_map, binary_array, per_row, ranges, span_hashes, table, text_bytes, text_slices
+from .common import arrow_map, binary_array, per_row, ranges, slices, span_hashes, table, text_bytes, text_slices
 
 CACHED_WORDS = 200_000
 CACHED_BYTES = 64
 #: Longer words are read one at a time, place by place.
 LONG_WORD = 512
+SLICE_IDS = 1 << 19
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 
@@ -433,10 +434,13 @@ def encode(docs: DataFrame, tokenizer: str | MergeAutomaton, carried: tuple[str,
     return arrow_map(rows, make, f"{kept}, ids array<int>")
 
 
-def _id_rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _id_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of a batch of at most SLICE_IDS ids (or one row) with the ids and offsets of their rows."""
     column = batch.column("ids")
-    offsets = column.offsets.to_numpy().astype(np.int64)
-    return column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], offsets - offsets[0]
+    at = column.offsets.to_numpy().astype(np.int64)
+    ids = column.values.to_numpy(zero_copy_only=False)
+    for low, high in slices(at, SLICE_IDS):
+        yield batch.slice(low, high - low), ids[at[low] : at[high]], at[low : high + 1] - at[low]
 
 
 def decode(rows: DataFrame, tokenizer: str | MergeAutomaton, carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -448,9 +452,9 @@ def decode(rows: DataFrame, tokenizer: str | MergeAutomaton, carried: tuple[str,
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            data, offsets = shared.value.decode(*_id_rows(batch))
-            texts = valid_texts(data, offsets)
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(carried))] + [texts], [*carried, "text"])
+            for part, ids, offsets in _id_slices(batch):
+                texts = valid_texts(*shared.value.decode(ids, offsets))
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(carried))] + [texts], [*carried, "text"])
 
         return step
 
@@ -471,6 +475,11 @@ def valid_texts(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.string())
 
 
+def _sha256(rows: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    raw = memoryview(rows).cast("B") if rows.size else b""
+    return pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
+
+
 def digests(encoded: DataFrame, automaton: MergeAutomaton) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of little-endian u32) and decoded_sha256 of rows with ids."""
     shared = encoded.sparkSession.sparkContext.broadcast(automaton)
@@ -478,15 +487,10 @@ def digests(encoded: DataFrame, automaton: MergeAutomaton) -> DataFrame:
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            ids, offsets = _id_rows(batch)
-            raw, texts = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B"), valid_texts(*shared.value.decode(ids, offsets))
-            data, at = text_bytes(texts)
-            data = memoryview(np.ascontiguousarray(data))
-            of_ids = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            of_text = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), pa.array(of_ids), pa.array(of_text)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            )
+            for part, ids, offsets in _id_slices(batch):
+                data, at = text_bytes(valid_texts(*shared.value.decode(ids, offsets)))
+                columns = [part.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), _sha256(np.ascontiguousarray(ids, "<u4"), 4 * offsets), _sha256(data, at)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
         return step
 
