@@ -1,17 +1,14 @@
-"""Vector-tile bytes of a batch of features, and back. Columnar numpy helpers of the encode and decode jobs."""
+"""Vector-tile bytes of a batch of features. Columnar numpy helpers of the encode job; `tileread` has the way back."""
 
 from __future__ import annotations
 
-import math
-import struct
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .ragged import Ragged, hstack, offsets_of, read_varints, spans
+from .ragged import Ragged, hstack, offsets_of, vconcat
 
 EXTENT = 4096
 # Geometry types and commands of the tile format.
@@ -134,10 +131,6 @@ def attribute_tables(
     return tags, values, counts
 
 
-def vconcat(columns: list[Ragged]) -> Ragged:
-    return Ragged(np.concatenate([c.data for c in columns]), offsets_of(np.concatenate([c.lengths for c in columns])))
-
-
 def feature_bytes(fid: pa.Array, tags: Ragged, gtype: np.ndarray, geometry: Ragged) -> Ragged:
     n = len(gtype)
     has_id = fid.is_valid().to_numpy(zero_copy_only=False)
@@ -174,264 +167,4 @@ def gunzip_tile(data: bytes) -> bytes:
     try:
         return zlib.decompress(data, 31)
     except zlib.error as e:
-        raise ValueError(f"Failed to decompress vector tile: {e}") from None
-
-
-def fields(buf: bytes, pos: int, end: int) -> Iterator[tuple[int, int, int, int]]:
-    """(field, wire type, a, b) per field: a varint's value in `a`, else the payload range [a, b)."""
-    while pos < end:
-        tag, pos = varint(buf, pos, end)
-        wire = tag & 7
-        if wire == 0:
-            a, pos = varint(buf, pos, end)
-            yield tag >> 3, wire, a, pos
-            continue
-        if wire == 2:
-            size, pos = varint(buf, pos, end)
-        elif wire == 1:
-            size = 8
-        elif wire == 5:
-            size = 4
-        else:
-            raise ValueError(f"Malformed vector tile: unknown wire type {wire}")
-        if pos + size > end:
-            raise ValueError("Malformed vector tile: truncated field")
-        yield tag >> 3, wire, pos, pos + size
-        pos += size
-
-
-def varint(buf: bytes, pos: int, end: int) -> tuple[int, int]:
-    if pos < end and buf[pos] < 0x80:
-        return buf[pos], pos + 1
-    result = shift = 0
-    while True:
-        if pos >= end:
-            raise ValueError("Malformed vector tile: truncated field")
-        if shift > 63:
-            raise ValueError("Malformed vector tile: oversized varint")
-        byte = buf[pos]
-        pos += 1
-        result |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return result & 0xFFFFFFFFFFFFFFFF, pos
-        shift += 7
-
-
-def read_value(buf: bytes, pos: int, end: int) -> object:
-    for field, _, a, b in fields(buf, pos, end):
-        if field == 1:
-            return buf[a:b].decode("utf-8", "replace")
-        if field == 2:
-            return float(struct.unpack("<f", buf[a:b])[0])
-        if field == 3:
-            return struct.unpack("<d", buf[a:b])[0]
-        if field == 4:
-            return a - (1 << 64) if a >= 1 << 63 else a
-        if field == 5:
-            return a
-        if field == 6:
-            return (a >> 1) ^ -(a & 1)
-        if field == 7:
-            return a != 0
-    return None
-
-
-def tile_layers(buf: bytes) -> Iterator[tuple[int, int]]:
-    for field, wire, a, b in fields(buf, 0, len(buf)):
-        if field == 3 and wire == 2:
-            yield a, b
-
-
-def layer_name(buf: bytes, pos: int, end: int) -> str:
-    name = ""
-    for field, _, a, b in fields(buf, pos, end):
-        if field == 1:
-            name = buf[a:b].decode("utf-8", "replace")
-    return name
-
-
-class FeatureBatch:
-    """Features of many tiles, gathered as byte ranges and turned into columns in one go."""
-
-    def __init__(self, attributes: list[str]):
-        # DEC-5: attribute names match without regard to case, the first match wins
-        self.slot = {}
-        for i, name in enumerate(attributes):
-            self.slot.setdefault(name.lower(), i)
-        self.layer: list[str] = []
-        self.tile: list[tuple[int, int, int]] = []
-        self.extent: list[int] = []
-        self.fid: list[int | None] = []
-        self.gtype: list[int] = []
-        self.geometry: list[bytes] = []
-        self.values: list[object] = []
-        # Per feature, also those that turn out to have no geometry: their tags are checked all the same.
-        self.tags: list[bytes] = []
-        self.live: list[bool] = []
-        # Per layer: its number of features, of keys and of values; and the slot of every key.
-        self.sizes: list[tuple[int, int, int]] = []
-        self.keys: list[int] = []
-
-    def __len__(self) -> int:
-        return len(self.fid)
-
-    def add_layer(self, buf: bytes, pos: int, end: int, tile: tuple[int, int, int]) -> None:
-        """Features are resolved after the whole layer is read: its tables may follow them."""
-        name, extent, before = "", EXTENT, len(self.fid)
-        features, keys, values = len(self.tags), len(self.keys), len(self.values)
-        slot = self.slot
-        for field, _, a, b in fields(buf, pos, end):
-            if field == 2:
-                fid, tags, kind, geom = None, b"", 0, b""
-                for f, _, c, d in fields(buf, a, b):
-                    if f == 1:
-                        fid = c
-                    elif f == 2:
-                        tags = tags + buf[c:d] if tags else buf[c:d]
-                    elif f == 3:
-                        kind = c
-                    elif f == 4:
-                        geom = buf[c:d]
-                self.tags.append(tags)
-                # DEC-4: no geometry or an unknown type drops the row
-                ok = bool(geom) and kind in (POINT, LINE, POLYGON)
-                self.live.append(ok)
-                if ok:
-                    self.fid.append(fid)
-                    self.gtype.append(kind)
-                    self.geometry.append(geom)
-            elif field == 3:
-                self.keys.append(slot.get(buf[a:b].decode("utf-8", "replace").lower(), -1))
-            elif field == 4:
-                self.values.append(read_value(buf, a, b))
-            elif field == 1:
-                name = buf[a:b].decode("utf-8", "replace")
-            elif field == 5:
-                extent = a
-        self.sizes.append((len(self.tags) - features, len(self.keys) - keys, len(self.values) - values))
-        n = len(self.fid) - before
-        self.layer += [name] * n
-        self.tile += [tile] * n
-        self.extent += [extent] * n
-
-    def columns(self) -> tuple[list[np.ndarray], pa.Array]:
-        """Per attribute slot, the value number per feature (-1: absent), and the geometries as WKB."""
-        width = max(self.slot.values(), default=-1) + 1
-        grid = np.full((len(self), width), -1, np.int64)
-        r = Ragged.of(self.tags)
-        ints, ends = read_varints(r.data)
-        bounds = np.searchsorted(ends, r.offsets, side="right")
-        if len(ints) and not np.array_equal(np.concatenate([[0], ends])[bounds], r.offsets):
-            raise ValueError("Malformed vector tile: truncated field")
-        pairs = np.diff(bounds) // 2  # an odd trailing tag is ignored
-        flat = ints[spans(bounds[:-1], pairs * 2)].astype(np.int64).reshape(-1, 2)
-        sizes = np.array(self.sizes, np.int64).reshape(-1, 3)
-        starts = np.cumsum(sizes, axis=0) - sizes
-        owner = np.repeat(np.arange(len(self.tags)), pairs)
-        layer = np.repeat(np.arange(len(sizes)), sizes[:, 0])[owner]
-        if len(flat) and ((flat < 0) | (flat >= sizes[layer, 1:])).any():
-            raise ValueError("Malformed vector tile: attribute index out of range")
-        if len(flat) and width:
-            slots = np.array(self.keys, np.int64)[flat[:, 0] + starts[layer, 1]]
-            live = np.array(self.live, bool)
-            use = np.flatnonzero((slots >= 0) & live[owner])[::-1]
-            row = np.cumsum(live) - 1
-            # written back to front, so that the first of several matches is what stays
-            grid[row[owner[use]], slots[use]] = (flat[:, 1] + starts[layer, 2])[use]
-        return list(grid.T), self._wkb()
-
-    def _wkb(self) -> pa.Array:
-        r = Ragged.of(self.geometry)
-        ints, ends = read_varints(r.data)
-        bounds = np.searchsorted(ends, r.offsets, side="right")
-        zoom, tx, ty = np.array(self.tile, np.float64).reshape(-1, 3).T
-        scale, extent = np.exp2(zoom), np.array(self.extent, np.float64)
-        gtype = np.array(self.gtype)
-        size = np.diff(bounds)
-        single = (gtype == POINT) & (size == 3)
-        single[single] &= ints[bounds[:-1][single]] == ((1 << 3) | MOVE_TO)
-        out: list[bytes | None] = [None] * len(self)
-        if single.any():
-            rows = np.flatnonzero(single)
-            xy = unzigzag(ints[bounds[:-1][rows][:, None] + np.array([1, 2])])
-            lonlat = degrees(xy, tx[rows], ty[rows], scale[rows], extent[rows])
-            raw = np.zeros((len(rows), 21), np.uint8)
-            raw[:, 0], raw[:, 1] = 1, POINT
-            raw[:, 5:] = lonlat.astype("<f8").view(np.uint8).reshape(-1, 16)
-            for i, b in zip(rows.tolist(), Ragged.fixed(raw).tolist()):
-                out[i] = b
-        for i in np.flatnonzero(~single).tolist():
-            parts = read_parts(ints[bounds[i] : bounds[i + 1]])
-            out[i] = parts_to_wkb(
-                int(gtype[i]), parts, lambda xy, i=i: degrees(xy, tx[i], ty[i], scale[i], extent[i])
-            ) if parts else None
-        return pa.array(out, pa.binary())
-
-
-def degrees(xy: np.ndarray, tx, ty, scale, extent) -> np.ndarray:
-    lon = (tx + xy[:, 0] / extent) / scale * 360.0 - 180.0
-    n = math.pi * (1.0 - 2.0 * (ty + xy[:, 1] / extent) / scale)
-    return np.stack([lon, np.degrees(np.arctan(np.sinh(n)))], axis=1)
-
-
-def read_parts(ints: np.ndarray) -> list[np.ndarray]:
-    """DEC-2: tile-local vertices per part; the loop is over commands, the deltas are summed in one go."""
-    heads, starts, total = [], [], 0
-    pos, n = 0, len(ints)
-    take = []
-    while pos < n:
-        command, count = int(ints[pos]) & 7, int(ints[pos]) >> 3
-        pos += 1
-        if command == CLOSE_PATH:
-            heads.append(total)
-            continue
-        if command not in (MOVE_TO, LINE_TO):
-            raise ValueError(f"Malformed vector tile: unknown geometry command {command}")
-        if pos + 2 * count > n:
-            raise ValueError("Malformed vector tile: truncated field")
-        take.append((pos, 2 * count))
-        starts += range(total, total + count) if command == MOVE_TO else ()
-        total += count
-        pos += 2 * count
-    if not total:
-        return []
-    at = spans(np.array([p for p, _ in take]), np.array([c for _, c in take]))
-    xy = np.cumsum(unzigzag(ints[at]).reshape(-1, 2), axis=0)
-    cuts = sorted({c for c in (*starts, *heads) if 0 < c < total})
-    return np.split(xy, cuts)
-
-
-def ring_area(xy: np.ndarray) -> float:
-    x, y = xy[:, 0].astype(np.float64), xy[:, 1].astype(np.float64)
-    return float(np.dot(x, np.roll(y, -1)) - np.dot(np.roll(x, -1), y)) / 2
-
-
-def _head(code: int, count: int | None = None) -> bytes:
-    return struct.pack("<BI", 1, code) if count is None else struct.pack("<BII", 1, code, count)
-
-
-def _vertices(xy: np.ndarray) -> bytes:
-    return xy.astype("<f8").tobytes()
-
-
-def parts_to_wkb(gtype: int, parts: list[np.ndarray], to_degrees) -> bytes:
-    """DEC-3 and DEC-4. Winding is measured on tile-local integers, y down: positive is an exterior ring."""
-    if gtype == POINT:
-        points = [_head(1) + _vertices(p[i : i + 1]) for p in map(to_degrees, parts) for i in range(len(p))]
-        return points[0] if len(points) == 1 else _head(4, len(points)) + b"".join(points)
-    if gtype == LINE:
-        lines = [_head(2, len(p)) + _vertices(to_degrees(p)) for p in parts]
-        return lines[0] if len(lines) == 1 else _head(5, len(lines)) + b"".join(lines)
-    polygons: list[list[bytes]] = []
-    for ring in parts:
-        if len(ring) < 3:
-            continue
-        if ring_area(ring) > 0 or not polygons:
-            polygons.append([])
-        if (ring[0] != ring[-1]).any():
-            ring = np.concatenate([ring, ring[:1]])
-        polygons[-1].append(struct.pack("<I", len(ring)) + _vertices(to_degrees(ring)))
-    if not polygons:
-        return _head(3, 0)
-    shapes = [_head(3, len(rings)) + b"".join(rings) for rings in polygons]
-    return shapes[0] if len(shapes) == 1 else _head(6, len(shapes)) + b"".join(shapes)
+        raise ValueError(f"broken tile: its gzip data cannot be unpacked ({e})") from None

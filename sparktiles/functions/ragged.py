@@ -123,17 +123,21 @@ def hstack(*columns: Ragged) -> Ragged:
     return Ragged(out, offsets)
 
 
+def vconcat(columns: list[Ragged]) -> Ragged:
+    return Ragged(np.concatenate([c.data for c in columns]), offsets_of(np.concatenate([c.lengths for c in columns])))
+
+
 def read_varints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All varints of a buffer, and the byte position just past each."""
     if len(data) == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     ends = np.flatnonzero(data < 0x80) + 1
     if len(ends) == 0 or ends[-1] != len(data):
-        raise ValueError("Malformed vector tile: truncated field")
+        raise ValueError("broken tile: a number goes on past the end of its bytes")
     starts = np.concatenate([[0], ends[:-1]])
     lengths = ends - starts
     if lengths.max() > 10:
-        raise ValueError("Malformed vector tile: oversized varint")
+        raise ValueError("broken tile: a number of more than ten bytes")
     out = np.zeros(len(ends), np.uint64)
     for k in range(int(lengths.max())):
         live = lengths > k

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..functions import mvt
+from ..functions import mvt, tileread
 
 # The columns that come before the attributes.
 FIXED = T.StructType(
@@ -23,8 +23,9 @@ FIXED = T.StructType(
     ]
 )
 ARROW = {"double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
-# Features decoded before a batch is handed on.
+# Features handed on at once, and what is decoded at once: a single larger tile is decoded on its own.
 BATCH_FEATURES = 10_000
+BATCH_BYTES, BATCH_TILES = 1 << 20, 4096
 
 
 def output_schema(attributes: list[tuple[str, str]]) -> T.StructType:
@@ -84,32 +85,50 @@ def decode_rows(
         ]
     )
 
-    def flush(batch: mvt.FeatureBatch) -> pa.RecordBatch:
-        if any(i is not None and i > 0x7FFFFFFFFFFFFFFF for i in batch.fid):
+    def flush(at: list[tuple[int, int, int]], buffers: list[bytes]) -> Iterator[pa.RecordBatch]:
+        got = tileread.read_tiles(buffers, names, layer)
+        n = len(got.fid)
+        if not n:
+            return
+        if (got.fid > 0x7FFFFFFFFFFFFFFF).any():
             raise ValueError("feature id does not fit a LONG")
-        slots, geom = batch.columns()
-        zoom, x, y = (pa.array(c, pa.int32()) for c in np.array(batch.tile, np.int64).reshape(-1, 3).T)
-        cols = [geom, pa.array(batch.layer, pa.string()), zoom, x, y, pa.array(batch.fid, pa.int64())]
-        for number, (_, kind) in zip(slots, attributes):
-            distinct, at = np.unique(number, return_inverse=True)
-            cast = [None if n < 0 else cast_value(batch.values[n], kind, strict) for n in distinct.tolist()]
-            cols.append(pa.array(cast, ARROW[kind]).take(pa.array(at)))
+        zoom, x, y = np.array(at, np.int64).T[:, got.tile]
+        parts = tileread.read_parts(got.ints, got.bounds)
+        own = parts.owner
+        lonlat = tileread.degrees(parts.xy, x[own].astype(float), y[own].astype(float), np.exp2(zoom[own]), got.extent[own])
+        geom = tileread.wkb_column(got.gtype, parts, lonlat)
+        cols = [geom, got.layer, *(pa.array(c.astype(np.int32)) for c in (zoom, x, y)), pa.array(got.fid.astype(np.int64), mask=~got.has_fid)]
+        cols += [value_column(got.values, number, kind, strict) for number, (_, kind) in zip(got.slots, attributes)]
         out = pa.record_batch(cols, schema=schema)
-        return out.filter(out.column("geom").is_valid()) if out.column("geom").null_count else out
+        out = out.filter(geom.is_valid()) if geom.null_count else out
+        for low in range(0, out.num_rows, BATCH_FEATURES):
+            yield out.slice(low, BATCH_FEATURES)
 
-    batch = mvt.FeatureBatch(names)
+    at, buffers, size = [], [], 0
     for zoom, x, y, data in tiles:
-        buf = mvt.gunzip_tile(bytes(data))
-        for a, b in mvt.tile_layers(buf):
-            # SRC-9: decided on the name, before any feature is decoded; empty text is no filter
-            if layer and mvt.layer_name(buf, a, b).lower() != layer.lower():
-                continue
-            batch.add_layer(buf, a, b, (zoom, x, y))
-        if len(batch.tags) >= BATCH_FEATURES:
-            yield flush(batch)
-            batch = mvt.FeatureBatch(names)
-    if batch.tags:
-        yield flush(batch)
+        at.append((zoom, x, y))
+        buffers.append(mvt.gunzip_tile(bytes(data)))
+        size += len(buffers[-1])
+        if size >= BATCH_BYTES or len(at) >= BATCH_TILES:
+            yield from flush(at, buffers)
+            at, buffers, size = [], [], 0
+    if at:
+        yield from flush(at, buffers)
+
+
+def value_column(values: tileread.Values, number: np.ndarray, kind: str, strict: bool) -> pa.Array:
+    """The values of one attribute, as the type its column was promised; the usual kinds without a step per value."""
+    there = number >= 0
+    rows = number[there]
+    kinds = values.kind[rows]
+    place = pa.array(np.where(there, np.cumsum(there) - 1, 0), mask=~there)
+    if kind == "double" and not np.isin(kinds, (0, tileread.STRING)).any():
+        return pa.array(values.doubles(rows)).take(place)
+    if kind == "string" and (kinds == tileread.STRING).all():
+        return values.raw.take(pa.array(np.maximum(number, 0), mask=~there)) if len(rows) else pa.nulls(len(number), pa.string())
+    distinct, again = np.unique(rows, return_inverse=True)
+    cast = [cast_value(values.one(n), kind, strict) for n in distinct.tolist()]
+    return pa.array(cast, ARROW[kind]).take(pa.array(again)).take(place)
 
 
 def _decode(attributes: list[tuple[str, str]], layer: str | None, strict: bool) -> Callable:

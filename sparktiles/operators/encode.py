@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import mvt
 from ..functions.jsontext import render
-from ..functions.ragged import Ragged
+from ..functions.ragged import Ragged, vconcat
 from .features import property_fields
 from .tiling import TILE, fullest, tile_counts
 
@@ -124,7 +124,7 @@ def _geometries(b: pa.RecordBatch, gtype: np.ndarray) -> Ragged:
         return given
     place = np.arange(len(gtype))
     place[~ready] = len(gtype) + np.arange((~ready).sum())
-    return mvt.vconcat([given, made(b.filter(pa.array(~ready)), gtype[~ready])]).take(place)
+    return vconcat([given, made(b.filter(pa.array(~ready)), gtype[~ready])]).take(place)
 
 
 def _layers(b: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, Ragged, Ragged, np.ndarray]:

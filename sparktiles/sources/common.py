@@ -252,7 +252,7 @@ class TilesetSource(DataSource):
             return self.manifest["maxzoom"]
         known = [z for z in map(self.maxzoom_of, self.files) if z is not None]
         if not known:
-            raise OSError(f'Could not determine a zoom level to read from "{self.path}"')
+            raise OSError(f'no file of "{self.path}" says which zooms it has: give the zoom option')
         return max(known)
 
     def metadata_of(self, file: str) -> str:

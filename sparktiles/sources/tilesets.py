@@ -27,14 +27,16 @@ SINGLE_FILE_BYTES = 2 << 30
 
 
 def register(spark: SparkSession) -> SparkSession:
-    """Make the formats known to a session, ship this package to its workers and let filters reach the readers."""
-    for source in (MBTilesSource, PMTilesSource):
-        spark.dataSource.register(source)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    """Ship this package to a session's workers, make the formats known and let filters reach the readers.
+
+    In that order: a data source keeps the files that were shipped when it was registered."""
     context = spark.sparkContext
     if not getattr(context, "_sparktiles_shipped", False):
         context.addPyFile(_package_zip())
         context._sparktiles_shipped = True
+    for source in (MBTilesSource, PMTilesSource):
+        spark.dataSource.register(source)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark
 
 

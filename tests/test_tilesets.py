@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import os
 import sqlite3
 import struct
 
@@ -13,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import sparktiles as st
-from sparktiles.functions import mvt
+from sparktiles.functions import mvt, tileread
 from sparktiles.functions.projection import hilbert_ids, hilbert_tiles
 from sparktiles.functions.ragged import Ragged, read_varints
 from sparktiles.operators.decode import cast_value, decode_rows, output_schema
@@ -26,7 +27,7 @@ FIXED = ["geom", "layer", "zoom", "tile_x", "tile_y", "feature_id"]
 
 @pytest.fixture(scope="module")
 def places(spark, wkb):
-    rows = [(wkb.point(5.5, 6.25), "alpha", 10), (wkb.point(5.6, 6.35), "beta", 20)]
+    rows = [(wkb.point(-71.83, 44.324), "mill", 7), (wkb.point(-71.6, 44.4), "weir", 31)]
     return spark.createDataFrame(rows, "geom binary, label string, score int")
 
 
@@ -49,12 +50,12 @@ def test_round_trip(spark, paths, fmt, shards):
     assert df.columns == [*FIXED, "label", "score"]
     rows = df.collect()
     assert sorted((r.label, r.score, r.tile_x, r.tile_y) for r in rows) == [
-        ("alpha", 10.0, 8442, 7906),
-        ("alpha", 10.0, 8442, 7907),
-        ("beta", 20.0, 8446, 7902),
+        ("mill", 7.0, 4922, 5936),
+        ("mill", 7.0, 4922, 5937),
+        ("weir", 31.0, 4933, 5932),
     ]
     where = {(r.label, *(round(v, 3) for v in struct.unpack("<dd", bytes(r.geom)[5:]))) for r in rows}
-    assert where == {("alpha", 5.5, 6.25), ("beta", 5.6, 6.35)}
+    assert where == {("mill", -71.83, 44.324), ("weir", -71.6, 44.4)}
     assert {r.zoom for r in rows} == {14} and {r.layer for r in rows} == {"places"}
     low = st.read_tileset(spark, paths[fmt, shards], zoom=12)
     assert low.select("label").distinct().count() == 2 and low.filter("zoom <> 12").count() == 0
@@ -92,7 +93,7 @@ def test_keep_geojson_and_metadata(spark, places, tmp_path):
     made = st.write_tileset(
         places, f"{tmp_path}/k.mbtiles", shards=1, maxzoom=1, keep_geojson=kept, name="n", description="d", attribution="a"
     )
-    assert sorted(r.value.split('"label":')[1][:7] for r in spark.read.text(kept).collect()) == ['"alpha"', '"beta",']
+    assert sorted(r.value.split('"label":')[1][:7] for r in spark.read.text(kept).collect()) == ['"mill",', '"weir",']
     assert made.metadata["vector_layers"][0]["fields"] == {"label": "String", "score": "Number"}
     with sqlite3.connect(f"{tmp_path}/k.mbtiles") as db:
         meta = dict(db.execute("SELECT name, value FROM metadata"))
@@ -229,7 +230,7 @@ def test_varints():
     got, ends = read_varints(Ragged.varints(values).data)
     assert (got == values).all() and ends[-1] == len(Ragged.varints(values).data)
     for bad in (b"\x80", b"\xff" * 11 + b"\x01"):
-        with pytest.raises(ValueError, match="Malformed"):
+        with pytest.raises(ValueError, match="broken tile"):
             read_varints(np.frombuffer(bad, np.uint8))
 
 
@@ -273,10 +274,14 @@ def test_leaf_directories_and_runs(spark, tmp_path):
 def test_malformed_tiles():
     ok = b"\x1a\x02\x0a\x00"
     for bad, message in (
-        (ok[:-1], "truncated"),
-        (b"\x1b\x00", "unknown wire type"),
-        (b"\x1a\x08\x0a\x00\x12\x04\x12\x02\x00\x00", "attribute index out of range"),
-        (b"\x1a\x0a\x0a\x00\x12\x06\x18\x01\x22\x02\x0b\x00", "unknown geometry command"),
+        (ok[:-1], "ends inside"),
+        (b"\x1a\x03\x0a\x05\x00", "ends inside"),
+        (b"\x1a\x04\x12\x02\x08\x80", "ends inside"),
+        (b"\x1b\x00", "no field has wire type 3"),
+        (b"\x1a\x08\x0a\x00\x12\x04\x12\x02\x00\x00", "behind the end of its layer"),
+        (b"\x1a\x0a\x0a\x00\x12\x06\x18\x01\x22\x02\x0b\x00", "no geometry command"),
+        (b"\x1a\x08\x12\x06\x18\x01\x22\x02\x11\x00", "inside a command"),
+        (b"\x1a\x0d\x28" + b"\xff" * 11 + b"\x01", "more than ten bytes"),
     ):
         with pytest.raises(ValueError, match=message):
             list(decode_rows(iter([(0, 0, 0, bad)]), [], None))
@@ -311,11 +316,11 @@ def test_encode_decode_random_shapes():
         parts.append(rings)
         gtype.append(kind)
     nested = pa.array([[r.reshape(-1).tolist() for r in p] for p in parts], pa.list_(pa.list_(pa.int32())))
-    cmds = mvt.geometry_bytes(np.array(gtype), nested).tolist()
-    for rings, kind, raw in zip(parts, gtype, cmds):
-        ints, _ = read_varints(np.frombuffer(raw, np.uint8))
-        got = mvt.read_parts(ints)
-        assert len(got) == len(rings) and all((a == b).all() for a, b in zip(got, rings)), kind
+    ints, bounds = tileread.whole_varints(mvt.geometry_bytes(np.array(gtype), nested))
+    got = tileread.read_parts(ints, bounds)
+    flat = [(i, r) for i, rings in enumerate(parts) for r in rings]
+    assert got.feature.tolist() == [i for i, _ in flat] and got.sizes.tolist() == [len(r) for _, r in flat]
+    assert (got.xy == np.concatenate([r for _, r in flat])).all()
 
 
 def test_large_ids_raise():
@@ -324,3 +329,26 @@ def test_large_ids_raise():
     layer = b"\x0a\x01a\x12" + bytes([len(body)]) + body
     with pytest.raises(ValueError, match="does not fit"):
         list(decode_rows(iter([(0, 0, 0, b"\x1a" + bytes([len(layer)]) + layer)]), [], None))
+
+
+def test_one_registration_is_enough_where_workers_lack_the_package(paths, tmp_path):
+    """A session whose Python path does not name the repository: the formats must come with what was shipped."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(st.__file__)))
+    script = tmp_path / "read.py"
+    script.write_text(
+        f"""
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+sys.path.insert(0, {root!r})
+import sparktiles as st
+st.register(spark)
+print("rows", spark.read.format("mbtiles").load({paths["mbtiles", None]!r}).count())
+"""
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows" in done.stdout, done.stderr[-2000:]
