@@ -266,3 +266,37 @@ def test_runs_go_on_over_block_edges(spark):
     rows = spark.range(20).selectExpr("id AS tile_id", "CASE WHEN id BETWEEN 3 AND 17 THEN 'a' ELSE cast(id as string) END AS tile_data")
     whole = {(r.tile_id, r.run_length) for r in runs.collapse_runs(rows, bits=2).collect()}
     assert whole == {(i, 1) for i in (0, 1, 2, 18, 19)} | {(3, 15)}
+
+
+@pytest.mark.parametrize("bits", [1, 3])
+def test_runs_are_joined_over_ranges_of_the_curve(spark, bits):
+    """Edges dealt to several ranges, some of which one run covers whole; against one pass over sorted rows."""
+    import random
+
+    draw = random.Random(3)
+    rows, at = [], 0
+    for _ in range(120):
+        at += draw.choice([0, 0, 1, 5])
+        for _ in range(draw.choice([1, 2, 3, 40])):
+            rows.append((at, draw.choice("ab")) if len(rows) % 7 == 0 else (at, rows[-1][1] if rows else "a"))
+            at += 1
+    want = []
+    for i, p in sorted(rows):
+        if want and want[-1][0] + want[-1][1] == i and want[-1][2] == p:
+            want[-1] = (want[-1][0], want[-1][1] + 1, p)
+        else:
+            want.append((i, 1, p))
+    df = spark.createDataFrame(rows, "tile_id long, tile_data string")
+    made = runs.collapse_runs(df, bits=bits)
+    assert sorted((r.tile_id, r.run_length, r.tile_data) for r in made.collect()) == want
+    assert runs.expand_runs(made).exceptAll(df).count() == 0
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert not any("Window [" in line and "], [" not in line for line in plan.splitlines())  # every window has keys
+
+
+def test_long_runs_are_expanded_in_stretches(spark):
+    long = spark.createDataFrame([(5, 400_000_000), (1 << 40, 70_000), (3, 1), (4, 0)], "tile_id long, run_length long")
+    got = runs.expand_runs(long)
+    assert got.count() == 400_070_002
+    small = runs.expand_runs(long.filter("run_length < 100000")).agg(F.min("tile_id"), F.max("tile_id"), F.count_distinct("tile_id")).first()
+    assert tuple(small) == (3, (1 << 40) + 69_999, 70_002)
