@@ -15,6 +15,7 @@ from ..functions import mvt, wkb
 from ..functions import shapes as sh
 from ..functions.projection import BAD_LAT, BAD_LON, LAT_LIMIT, LON_LIMIT, WORLD
 from ..functions.ragged import offsets_of, spans
+from ..functions.wkbread import read_geometries, read_wkb
 
 Batches = Iterator[pa.RecordBatch]
 # Zoom after which pieces are dealt out again, so that the tiles of one large shape are cut by many tasks.
@@ -35,42 +36,23 @@ def project(lonlat: np.ndarray) -> np.ndarray:
     return np.where(both >= 0, np.floor(both + 0.5), -np.floor(0.5 - both))
 
 
-def _trees(b: pa.RecordBatch) -> Iterator[tuple[int, wkb.Geometry]]:
-    """FEA-5: rows with no or an empty geometry are passed over."""
-    name, read = ("geom", wkb.from_wkb) if "geom" in b.schema.names else ("geojson", wkb.from_geojson)
-    for row, value in enumerate(b.column(name).to_pylist()):
-        tree = None if value is None else read(value)
-        if tree is not None and not tree.empty:
-            yield row, tree
-
-
 def _load(b: pa.RecordBatch, skip: np.ndarray) -> tuple[sh.Shapes, np.ndarray, np.ndarray]:
     """Shapes of a batch in world units, their source rows, and which are single points; `skip` rows are left out."""
-    rows, single, verts, sizes, piece, kind, poly, hole = [], [], [], [], [], [], [], []
-    keep = np.ones(b.num_rows, bool)
-    keep[skip] = False
-    numbers = np.flatnonzero(keep)
-    for row, tree in _trees(b.filter(pa.array(keep)) if len(skip) else b):
-        for gtype, parts in wkb.simple_parts(tree):
-            rows.append(numbers[row])
-            single.append(gtype == sh.POINT and len(parts) == 1)
-            for v, i, h in parts:
-                if gtype == sh.POINT:
-                    v = v[np.isfinite(v).all(axis=1)]
-                    if not len(v):
-                        continue
-                if gtype == sh.POLYGON and len(v) > 1 and v[0, 0] == v[-1, 0] and v[0, 1] == v[-1, 1]:
-                    v = v[:-1]
-                verts.append(v)
-                sizes.append(len(v))
-                piece.append(len(rows) - 1)
-                kind.append(gtype)
-                poly.append(i)
-                hole.append(h)
-    xy = project(np.concatenate(verts)) if verts else np.zeros((0, 2))
-    ints = [np.array(a, np.int64) for a in (sizes, piece, kind, poly)]
-    s = sh.Shapes(xy, offsets_of(ints[0]), ints[1], ints[2], ints[3], np.array(hole, bool))
-    return s, np.array(rows, np.int64), np.array(single, bool)
+    r = read_geometries(b, skip)
+    first = np.ones(len(r), bool)
+    first[1:] = (r.row[1:] != r.row[:-1]) | (r.member[1:] != r.member[:-1])
+    piece = np.cumsum(first) - 1
+    single = (r.gtype[first] == sh.POINT) & (np.bincount(piece) == 1 if len(piece) else np.zeros(0, bool))
+    # Points that are nowhere go, and the vertex that closes a ring.
+    ring = np.repeat(np.arange(len(r)), r.size)
+    ends = np.cumsum(r.size)
+    keep = (r.gtype[ring] != sh.POINT) | np.isfinite(r.xy).all(axis=1)
+    closed = (r.gtype == sh.POLYGON) & (r.size > 1) & (r.xy[ends - r.size] == r.xy[ends - 1]).all(axis=1) if len(r) else np.zeros(0, bool)
+    keep[ends[closed] - 1] = False
+    size = np.bincount(ring[keep], minlength=len(r))
+    some = size > 0
+    s = sh.Shapes(project(r.xy[keep]), offsets_of(size[some]), piece[some], r.gtype[some], r.poly[some], r.hole[some])
+    return s, r.row[first], single
 
 
 def _wrapped(s: sh.Shapes) -> tuple[sh.Shapes, np.ndarray]:
@@ -299,6 +281,19 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def _new(*keys: np.ndarray) -> np.ndarray:
+    """Where a key differs from the row before."""
+    out = np.ones(len(keys[0]), bool)
+    out[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return out
+
+
+def _since(begins: np.ndarray) -> np.ndarray:
+    """How far each row is behind the last that begins."""
+    at = np.arange(len(begins))
+    return at - np.maximum.accumulate(np.where(begins, at, 0))
+
+
 # --- FEA-10 ------------------------------------------------------------------------------------------------------------
 
 
@@ -313,24 +308,18 @@ def vertices(df: DataFrame, key: str) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         for b in batches:
-            row, member, gtype, part, ring, size, verts = [], [], [], [], [], [], []
-            for i, tree in _trees(b):
-                for m, (kind, parts) in enumerate(wkb.simple_parts(tree)):
-                    seen: dict[int, int] = {}
-                    for n, (v, poly, _) in enumerate(parts):
-                        number = poly if kind == sh.POLYGON else n
-                        seen[number] = seen.get(number, -1) + 1
-                        for column, value in ((row, i), (member, m), (gtype, kind), (part, number), (ring, seen[number])):
-                            column.append(value)
-                        size.append(len(v))
-                        verts.append(v)
-            if not verts:
+            r = read_geometries(b)
+            if not len(r):
                 continue
-            n = np.array(size, np.int64)
-            xy = project(np.concatenate(verts)).astype(np.int64)
-            cols = [np.repeat(np.array(c), n) for c in (member, gtype, part, ring)]
-            cols.append(spans(np.zeros(len(n), np.int64), n))
-            keys = b.column(key).take(pa.array(np.repeat(np.array(row), n)))
+            # A polygon's rings are numbered within it; points and lines are parts of their own.
+            polygon = r.gtype == sh.POLYGON
+            shape = _new(r.row, r.member)
+            part = np.where(polygon, r.poly, _since(shape))
+            ring = np.where(polygon, _since(_new(r.row, r.member, part)), 0)
+            xy = project(r.xy).astype(np.int64)
+            cols = [np.repeat(c, r.size) for c in (r.member, r.gtype, part, ring)]
+            cols.append(spans(np.zeros(len(r), np.int64), r.size))
+            keys = b.column(key).take(pa.array(np.repeat(r.row, r.size)))
             arrays = [keys, *map(pa.array, cols), pa.array(xy[:, 0]), pa.array(xy[:, 1])]
             yield pa.record_batch([a.cast(f.type) for a, f in zip(arrays, arrow)], schema=arrow)
 
@@ -341,6 +330,14 @@ def vertices(df: DataFrame, key: str) -> DataFrame:
 # --- FEA-11 ------------------------------------------------------------------------------------------------------------
 
 
+def look(blob: bytes) -> tuple:
+    try:
+        g = wkb.from_wkb(blob)
+    except wkb.GeometryError as e:
+        return None, None, None, str(e)
+    return wkb.NAMES[g.code], g.has_z, g.empty, None
+
+
 def inspect_geometry(df: DataFrame, column: str = "geom") -> DataFrame:
     """`geom_type`, `has_z`, `is_empty`, `error` per row; a malformed blob is a row here, not a failed job."""
     schema = "geom_type string, has_z boolean, is_empty boolean, error string"
@@ -348,20 +345,21 @@ def inspect_geometry(df: DataFrame, column: str = "geom") -> DataFrame:
         [("geom_type", pa.string()), ("has_z", pa.bool_()), ("is_empty", pa.bool_()), ("error", pa.string())]
     )
 
-    def look(blob: bytes | None) -> tuple:
-        if blob is None:
-            return None, None, None, None
-        try:
-            g = wkb.from_wkb(blob)
-        except wkb.GeometryError as e:
-            return None, None, None, str(e)
-        return wkb.NAMES[g.code], g.has_z, g.empty, None
-
     def run(batches: Batches) -> Batches:
         for b in batches:
-            rows = [look(v) for v in b.column(0).to_pylist()]
-            cols = zip(*rows) if rows else ([], [], [], [])
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(map(list, cols), arrow)], schema=arrow)
+            blobs = b.column(0)
+            headers, _ = read_wkb(blobs)
+            known = headers.code > 0
+            kinds = pa.array([None, *wkb.NAMES.values()], pa.string()).take(pa.array(headers.code))
+            has_z, empty = (pa.array(c, mask=~known) for c in (headers.has_z, headers.empty))
+            cols = [kinds, has_z, empty, pa.nulls(len(blobs), pa.string())]
+            odd = np.flatnonzero(headers.odd)
+            if len(odd):  # collections and broken bytes
+                rows = [look(v) for v in blobs.take(pa.array(odd)).to_pylist()]
+                place = np.arange(len(blobs))
+                place[odd] = len(blobs) + np.arange(len(odd))
+                cols = [pa.concat_arrays([c, pa.array(list(o), c.type)]).take(pa.array(place)) for c, o in zip(cols, zip(*rows))]
+            yield pa.record_batch([c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)
 
     return df.select(column).mapInArrow(run, schema)
 
