@@ -316,6 +316,22 @@ def q_geojson_text(spark: SparkSession, sf: str) -> DataFrame:
 # --- Queries: encode, decode, containers -------------------------------------------------------------------------------
 
 
+def _sized_events(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _z2_z6(_events(spark, sf)).withColumn("props", F.struct("user_id", "event_type", "value"))
+    return rows.withColumn("_size", tiling.value_bytes(rows) + tiling.geometry_bytes(rows))
+
+
+def q_tile_caps_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """The features that stay when tiles are thinned to a budget of estimated bytes."""
+    return tiling.drop_densest(_sized_events(spark, sf), budgets=20_000).select(*TILE, "fid", F.col("_size").alias("bytes"))
+
+
+def q_tile_caps_bytes_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """The form for tiles too large for one task, and a count limit that cuts deeper in some tiles."""
+    made = tiling.drop_densest(_sized_events(spark, sf), 150, hot_rows=300, budgets=20_000)
+    return made.select(*TILE, "fid", F.col("_size").alias("bytes"))
+
+
 def _encodable(points: DataFrame, maxzoom: int, layer: Column, *props: str) -> DataFrame:
     spread = tiling.fan_out(project_world(points), 0, maxzoom)
     tiled = points_as_parts(tiling.quantize_points(tiling.buffered_tiles(spread, 5)))
@@ -643,6 +659,18 @@ def _ranked(limit: int) -> str:
         ORDER BY gap DESC NULLS FIRST, fid) <= {limit} AS kept FROM gaps)"""
 
 
+def _within(budget: int, limit: int) -> str:
+    return f"""
+    gaps AS (
+      SELECT *, morton - lag(morton) OVER (PARTITION BY zoom, tile_x, tile_y ORDER BY morton, fid) AS gap,
+        CAST(37 + CASE WHEN user_id IS NULL THEN 0 ELSE 20 END + CASE WHEN value IS NULL THEN 0 ELSE 20 END
+          + CASE WHEN event_type IS NULL THEN 0 ELSE 20 + strlen(event_type) END AS BIGINT) AS bytes FROM keyed),
+    placed AS (
+      SELECT *, sum(bytes) OVER line AS upto, row_number() OVER line AS place FROM gaps
+      WINDOW line AS (PARTITION BY zoom, tile_x, tile_y ORDER BY gap DESC NULLS FIRST, fid ROWS UNBOUNDED PRECEDING))
+    SELECT zoom, tile_x, tile_y, fid, bytes FROM placed WHERE upto <= {budget} AND place <= {limit}"""
+
+
 _TWO_ZOOMS = """
     spread AS (SELECT *, CAST(z AS INTEGER) AS zoom FROM world, (SELECT unnest([2, 6]) AS z))"""
 
@@ -855,6 +883,8 @@ def _tile_sql() -> dict[str, str]:
         "extend_zooms": _extend_sql(),
         "tile_caps": f"""{_with(_LINEITEM, _WORLD, _spread(0, 6), _BUFFERED)}
             SELECT zoom, tile_x, tile_y, count(*) AS n FROM tiled GROUP BY zoom, tile_x, tile_y HAVING count(*) > 300""",
+        "tile_caps_bytes": _with(_EVENTS, _WORLD, _TWO_ZOOMS, _ASSIGNED, _morton("tiled", "keyed"), _within(20_000, 200_000)),
+        "tile_caps_bytes_hot": _with(_EVENTS, _WORLD, _TWO_ZOOMS, _ASSIGNED, _morton("tiled", "keyed"), _within(20_000, 150)),
         "tms_flip": f"""{_with(_CUSTOMER, _WORLD, _spread(0, 14), _ASSIGNED)}
             SELECT fid, zoom, CAST((1 << zoom) - 1 - tile_y AS INTEGER) AS tile_row FROM tiled""",
         "inverse_project": f"""{_with(_EVENTS, _WORLD, _spread(14, 14), _ASSIGNED, _QUANTIZED)}

@@ -240,13 +240,14 @@ def encode_tiles(
     columns = [*TILE, "layer", "fid", "gtype", "props", "commands", "parts"]
     columns += ["px", "py"] if "parts" not in df.columns else []
     df = df.select(*(c for c in columns if c in df.columns), *([F.col(key)] if key not in columns else []))
-    order = [*TILE, "layer", "fid"]
+    order = list(dict.fromkeys([*TILE, "layer", "fid", key]))  # rows of one id, or of none, stand in the same order in every layout
     if largest is None or total is None:
         largest, total = fullest(tile_counts(df))
     tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
     if largest <= piece_rows:
         whole = df.withColumns({"piece": F.lit(0).cast("long"), "pieces": F.lit(1).cast("long")})
-        return whole.drop(*({key} - {"fid"})).repartition(tasks, *TILE).sortWithinPartitions(*order).mapInArrow(_encode(names, level), TILE_SCHEMA)
+        sorted_rows = whole.repartition(tasks, *TILE).sortWithinPartitions(*order).drop(*({key} - {"fid"}))
+        return sorted_rows.mapInArrow(_encode(names, level), TILE_SCHEMA)
     split = tile_counts(df).filter(F.col("n") > piece_rows).select(*TILE, F.ceil(F.col("n") / piece_rows).alias("pieces"))
     small = split.limit(BROADCAST_TILES + 1).count() <= BROADCAST_TILES
     cut = df.join(F.broadcast(split) if small else split, TILE, "left")
@@ -254,7 +255,7 @@ def encode_tiles(
     cut = cut.withColumn("piece", F.pmod(F.xxhash64(key), F.col("pieces")))
     pieces = (
         cut.repartition(tasks, *TILE, "piece")
-        .sortWithinPartitions(*TILE, "piece", "layer", "fid")
+        .sortWithinPartitions(*dict.fromkeys([*TILE, "piece", "layer", "fid", key]))
         .mapInArrow(_encode_pieces(names, level), PIECE_SCHEMA)
     )
     joined = pieces.repartition(tasks, *TILE).sortWithinPartitions(*TILE, "layer", "piece")

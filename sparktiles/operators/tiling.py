@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.projection import WORLD_BITS, quantize, shift_left, shift_right, tile_of, with_morton
 from ..options import ACCUMULATORS, MAX_BUILD_ZOOM, MAX_TILE_FEATURES, OptionError
@@ -153,24 +154,35 @@ def _last_before(rows: DataFrame, value: Column, out: str, sliced: bool, keys: l
 
 
 def _top_per_tile(df: DataFrame, limit: int, hot_rows: int, largest: int) -> DataFrame:
-    """Mark rows ranked within `limit` by (gap desc nulls first, fid).
+    """Mark rows ranked within `limit` by (gap desc nulls first, fid)."""
+    return keep_within(df.withColumn("_w", F.lit(1).cast("long")), limit, hot_rows, largest).drop("_w")
 
-    Where a tile is too large for one task to sort, the cut-off is found by counting: 16 bits of the order key at a time, rows per
-    value are added up before the shuffle, until the rows that share the cut-off's leading bits are few enough to be ranked.
-    Everything else is kept or not by comparing its leading bits; no task ever holds a tile's best.
+
+def keep_within(df: DataFrame, budgets: DataFrame | int, hot_rows: int, largest: int) -> DataFrame:
+    """Mark as `kept` the rows of each tile, in (gap desc nulls first, fid) order, up to which the sum of `_w` stays within its budget.
+
+    `budgets` is one number, or a table of `budget` by tile; a tile without one keeps all. Where a tile is too large for one task to
+    sort, the cut-off is found by adding up: 16 bits of the order key at a time, the weights of a value are summed before the
+    shuffle, until the rows that share the cut-off's leading bits are few enough to be put in line. Everything else is kept or
+    not by comparing its leading bits; no task ever holds a tile's best.
     """
     order = [F.col("gap").desc_nulls_first(), F.col("fid")]
-    w = Window.partitionBy(*TILE).orderBy(*order)
+    line = Window.partitionBy(*TILE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    fixed = isinstance(budgets, int)
     if largest <= hot_rows:
-        return df.withColumn("kept", F.row_number().over(w) <= limit)
+        allowed = df.withColumn("_need", F.lit(budgets).cast("long")) if fixed else df.join(budgets.withColumnRenamed("budget", "_need"), TILE, "left")
+        return allowed.withColumn("kept", F.col("_need").isNull() | (F.sum("_w").over(line) <= F.col("_need"))).drop("_need")
     rows = materialise(df.withColumn("_d", F.concat(_digits(F.coalesce(-F.col("gap"), F.lit(-(2**63)))), _digits(F.col("fid")))))
-    cut = tile_counts(rows).filter(F.col("n") > limit).select(*TILE, F.array().cast("array<int>").alias("_p"), F.lit(limit).cast("long").alias("_need"), "n")
-    done, line = None, Window.partitionBy(*TILE).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    totals = rows.groupBy(*TILE).agg(F.sum("_w").alias("_s"), F.count("*").alias("n"))
+    needed = totals.withColumn("_need", F.lit(budgets).cast("long")) if fixed else totals.join(budgets.withColumnRenamed("budget", "_need"), TILE)
+    cut = needed.filter("_s > _need").select(*TILE, F.array().cast("array<int>").alias("_p"), "_need", "n")
+    done, upto_value = None, Window.partitionBy(*TILE).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     for i in range(DIGITS):
-        inside = rows.select(*TILE, "_d").join(cut.drop("n"), TILE).filter(F.slice("_d", 1, i) == F.col("_p") if i else F.lit(True))
-        counts = inside.groupBy(*TILE, "_p", "_need", F.col("_d")[i].alias("_v")).agg(F.count("*").alias("n"))
-        upto = counts.withColumn("_to", F.sum("n").over(line)).filter((F.col("_to") >= F.col("_need")) & (F.col("_to") - F.col("n") < F.col("_need")))
-        found = materialise(upto.select(*TILE, F.concat("_p", F.array("_v")).alias("_p"), (F.col("_need") - F.col("_to") + F.col("n")).alias("_need"), "n"))
+        inside = rows.select(*TILE, "_d", "_w").join(cut.drop("n"), TILE).filter(F.slice("_d", 1, i) == F.col("_p") if i else F.lit(True))
+        sums = inside.groupBy(*TILE, "_p", "_need", F.col("_d")[i].alias("_v")).agg(F.sum("_w").alias("_s"), F.count("*").alias("n"))
+        # The value at which the budget is passed; what comes before it fits.
+        crossed = sums.withColumn("_to", F.sum("_s").over(upto_value)).filter("_to > _need AND _to - _s <= _need")
+        found = materialise(crossed.select(*TILE, F.concat("_p", F.array("_v")).alias("_p"), (F.col("_need") - F.col("_to") + F.col("_s")).alias("_need"), "n"))
         small = found if i == DIGITS - 1 else found.filter(F.col("n") <= hot_rows)
         done = small if done is None else done.unionByName(small)
         cut = found.filter(F.col("n") > hot_rows)
@@ -178,7 +190,7 @@ def _top_per_tile(df: DataFrame, limit: int, hot_rows: int, largest: int) -> Dat
             break
     marked = rows.join(done.drop("n"), TILE, "left").withColumn("_lead", F.slice("_d", 1, F.coalesce(F.size("_p"), F.lit(1))))
     clear = marked.filter("_p IS NULL OR _lead <> _p").withColumn("kept", F.col("_p").isNull() | (F.col("_lead") < F.col("_p")))
-    close = marked.filter("_lead = _p").withColumn("kept", F.row_number().over(w) <= F.col("_need"))
+    close = marked.filter("_lead = _p").withColumn("kept", F.sum("_w").over(line) <= F.col("_need"))
     return clear.unionByName(close).drop("_d", "_p", "_need", "_lead")
 
 
@@ -195,21 +207,32 @@ def _digits(c: Column) -> Column:
 # --- TIL-9, TIL-10 -----------------------------------------------------------------------------------------------------
 
 
-def _by_density(df: DataFrame, limit: int, hot_rows: int) -> tuple[DataFrame, bool]:
-    """Tile points with `kept`: the `limit` of each tile that lie farthest behind their predecessor on the curve."""
+def _by_density(df: DataFrame, limit: int, hot_rows: int, budgets: DataFrame | int | None = None) -> tuple[DataFrame, bool]:
+    """Tile points with `kept`: the `limit` of each tile that lie farthest behind their predecessor on the curve, and of those as
+    many as have room in its budget of bytes (`_size`)."""
     largest, total = fullest(tile_counts(df))
     hot = largest > hot_rows
     rows = _ordered(df, hot_rows, largest, total)
-    if largest <= limit:
+    if largest <= limit and budgets is None:
         return rows.withColumn("kept", F.lit(True)), hot
     gaps = _last_before(rows, F.col("morton"), "_prev", hot, TILE)
-    gaps = gaps.withColumn("gap", F.col("morton") - F.col("_prev")).drop("_prev")
-    return _top_per_tile(gaps, limit, hot_rows, largest).drop("gap"), hot
-
-
-def drop_densest(df: DataFrame, limit: int = MAX_TILE_FEATURES, hot_rows: int = HOT_TILE_ROWS) -> DataFrame:
-    """TIL-9. `fid` must be unique within a tile and not NULL."""
-    marked, _ = _by_density(df, limit, hot_rows)
+    marked = gaps.withColumn("gap", F.col("morton") - F.col("_prev")).drop("_prev").withColumn("kept", F.lit(True))
+    if largest > limit:
+        marked = _top_per_tile(marked.drop("kept"), limit, hot_rows, largest)
+    if budgets is not None:
+        # Both cuts run along the same order, so what passes both is what passes the narrower one.
+        weighed = marked.withColumnRenamed("kept", "_counted").withColumn("_w", F.col("_size").cast("long"))
+        weighed = keep_within(weighed, budgets, hot_rows, largest)
+        marked = weighed.withColumn("kept", F.col("kept") & F.col("_counted")).drop("_counted", "_w")
+    return marked.drop("gap"), hot
+
+
+def drop_densest(
+    df: DataFrame, limit: int = MAX_TILE_FEATURES, hot_rows: int = HOT_TILE_ROWS, budgets: DataFrame | int | None = None
+) -> DataFrame:
+    """TIL-9. `fid` must be unique within a tile and not NULL. With `budgets` (bytes, for all tiles or as `budget` by tile) also
+    TIL-12: the rows that stay have a `_size` of no more together."""
+    marked, _ = _by_density(df, limit, hot_rows, budgets)
     return marked.filter("kept").select(*df.columns)
 
 
@@ -219,13 +242,14 @@ def coalesce_densest(
     accumulate: dict[str, str] | None = None,
     hot_rows: int = HOT_TILE_ROWS,
     by: tuple[str, ...] = (),
+    budgets: DataFrame | int | None = None,
 ) -> DataFrame:
     """TIL-10: what TIL-9 drops joins the nearest earlier survivor (of the same `by` columns).
 
     Output: the survivor's columns, `point_count`, accumulated attributes, and the members' distinct `parts` as one geometry;
     for points that is at most one per grid cell, which bounds the group. Needs `parts`.
     """
-    marked, hot = _by_density(df, limit, hot_rows)
+    marked, hot = _by_density(df, limit, hot_rows, budgets)
     own = F.when(F.col("kept"), F.col("fid"))
     joined = _last_before(marked, own, "_s", hot, [*TILE, *by]).withColumn("_s", F.coalesce(own, "_s"))
     group = [*TILE, *by, "_s"]
@@ -353,6 +377,38 @@ def extend_zooms(points: DataFrame, maxzoom: int, limit: int, buffer: int = 5, c
     return zoom
 
 
+# What a feature takes in a tile at most, besides its geometry and texts: its own frame (id, type, lengths), a value with its tag numbers
+# and its place in the table of values, and the coordinates of a point.
+FEATURE_BYTES, VALUE_BYTES, POINT_BYTES = 30, 20, 7
+# A coordinate of a line or ring, and the commands of a part.
+COORDINATE_BYTES, PART_BYTES = 3, 12
+
+
+def value_bytes(df: DataFrame) -> Column:
+    """TIL-12: the most bytes that a row's id, type and properties (`props`) take when every value has to be listed for it alone."""
+    total = F.lit(FEATURE_BYTES).cast("long")
+    for f in df.schema["props"].dataType.fields:
+        c = F.col(f"props.`{f.name}`")
+        if isinstance(f.dataType, T.BinaryType):
+            continue
+        text = F.octet_length(c) if isinstance(f.dataType, T.StringType) else F.lit(0)
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            text = 2 * F.octet_length(F.to_json(c))
+        total = total + F.when(c.isNull(), F.lit(0)).otherwise(text + VALUE_BYTES)
+    return total
+
+
+def geometry_bytes(df: DataFrame) -> Column:
+    """TIL-12: the most bytes of a row's geometry, from `commands`, `parts` or a single point."""
+    size = F.lit(POINT_BYTES)
+    if "parts" in df.columns:
+        each = F.aggregate("parts", F.lit(0), lambda n, part: n + F.size(part) * COORDINATE_BYTES + PART_BYTES)
+        size = F.coalesce(each, size)
+    if "commands" in df.columns:
+        size = F.coalesce(F.octet_length("commands"), size)
+    return size.cast("long")
+
+
 def tile_caps(df: DataFrame, max_features: int = MAX_TILE_FEATURES) -> DataFrame:
     """TIL-12: tiles over the feature cap."""
     return tile_counts(df).filter(F.col("n") > max_features)

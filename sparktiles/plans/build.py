@@ -17,12 +17,16 @@ from ..operators.features import LONLAT, features, property_fields
 from ..operators.geojson import write_geojsonl
 from ..operators.shapes import tile_shapes, vertices
 from ..operators.tables import materialise
+from ..operators.tiling import TILE
 from ..options import MAX_BUILD_ZOOM, MAX_TILE_BYTES, MAX_TILE_FEATURES, Options, derive_layer_name, parse_options
 from ..sources.tilesets import container_format, register, write_container, write_tiles
 
 # Tiles named in an error about tiles over a cap, and the most layers a tileset may list in its metadata.
 SHOWN_TILES, MAX_LAYERS = 10, 10_000
 DEFAULT_DROP_RATE = 2.5
+# Estimated bytes, in caps, that a tile is first cut to: packed, most tiles are then over the cap or not far below it.
+PACKED = 6
+NOTHING = "no features: the input has no row with a geometry to tile"
 
 
 class TileBuildError(RuntimeError):
@@ -122,18 +126,56 @@ def clustered(points: DataFrame, opts: Options) -> DataFrame:
     return made.withColumn("fid", F.lit(None).cast("long")).drop("point_count", "cell_x", "cell_y", "_size", *attrs)
 
 
-def thinned_by_density(tiled: DataFrame, opts: Options, limit: int) -> DataFrame:
-    """TIL-9 or TIL-10. Ordered by row number, which is unique, where the feature id may not be."""
+def thinned_by_density(tiled: DataFrame, opts: Options, limit: int, budgets: DataFrame | None = None) -> DataFrame:
+    """TIL-9 or TIL-10, within `budgets` of bytes by tile. Ordered by row number, which is unique, where the feature id may not be."""
     keyed = tiled.withColumn("_id", F.col("fid")).withColumn("fid", F.col("rid"))
     if opts.coalesce_densest_as_needed:
         wide, attrs, replaced = _accumulated(keyed, opts)
-        joined = tiling.coalesce_densest(wide, limit, attrs, by=("layer", "gtype"))
+        joined = tiling.coalesce_densest(wide, limit, attrs, by=("layer", "gtype"), budgets=budgets)
         counted = with_point_count(joined, F.col("point_count"), replaced).drop("point_count", *attrs)
     else:
-        counted = tiling.drop_densest(keyed, limit)
+        counted = tiling.drop_densest(keyed, limit, budgets=budgets)
     return counted.withColumn("fid", F.col("_id")).drop("_id")
 
 
+def tiles_within(tiled: DataFrame, opts: Options, limit: int, max_bytes: int) -> DataFrame:
+    """TIL-12 with TIL-9 or TIL-10: tiles of no more than `max_bytes`, thinned like any others until they fit.
+
+    What a feature takes is estimated from above, as if it shared no value with another. Only tiles whose estimates are over the cap can
+    be too large; they are cut to PACKED times the cap, which bounds what a task has to encode, and those that are still over it
+    once more in proportion to what they came to, and at last to what fits for certain.
+    """
+    rows = tiled.withColumn("_geometry", tiling.geometry_bytes(tiled))
+    merging = opts.coalesce_densest_as_needed
+    # Joined features keep all positions, so there only ids and properties can be saved.
+    rows = materialise(rows.withColumn("_size", tiling.value_bytes(tiled) + (F.lit(0) if merging else F.col("_geometry"))))
+    frame = sum(len(n.encode()) + 5 for n in _own_properties(rows)) + 64
+    names = F.aggregate(F.collect_set("layer"), F.lit(0), lambda n, name: n + F.octet_length(name) + frame)
+    fixed = names + (F.sum("_geometry") if merging else F.lit(0))
+    totals = materialise(rows.groupBy(*TILE).agg(fixed.cast("long").alias("_fixed"), F.sum("_size").alias("_all")))
+    room = max_bytes - max_bytes // 1000 - 32  # what gzip may add to bytes that do not pack
+    budgets = totals.filter(F.col("_all") + F.col("_fixed") > room)
+    budgets = budgets.select(*TILE, F.greatest(F.lit(0), F.lit(PACKED * max_bytes) - F.col("_fixed")).alias("budget"))
+    made = None
+    for attempt in range(3):
+        fitting = rows
+        if not merging:  # a feature that is over the budget alone would keep all others out
+            fitting = rows.join(budgets, TILE, "left").filter("budget IS NULL OR _size <= budget").drop("budget")
+        kept = materialise(thinned_by_density(fitting, opts, limit, budgets))
+        tiles = materialise(encode_tiles(kept, *tiling.fullest(tiling.tile_counts(kept)), key="rid"))
+        size = F.octet_length("tile_data")
+        good = tiles if attempt == 2 else tiles.filter(size <= max_bytes)
+        made = good if made is None else made.unionByName(good)
+        over = tiles.filter(size > max_bytes).select(*TILE, size.alias("_made"))
+        if attempt == 2 or over.isEmpty():
+            break
+        over = materialise(over.join(kept.groupBy(*TILE).agg(F.sum("_size").alias("_kept")), TILE).join(totals, TILE))
+        share = (F.col("_kept") + F.col("_fixed")) * (0.95 * max_bytes) / F.col("_made") if attempt == 0 else F.lit(room)
+        budgets = over.select(*TILE, F.greatest(F.lit(0), F.floor(share) - F.col("_fixed")).alias("budget"))
+        rows = materialise(rows.join(budgets.select(*TILE), TILE, "left_semi"))
+    return capped(made, max_bytes)
+
+
 def vector_layers(feats: DataFrame, minzoom: int, maxzoom: int, extra: dict[str, str]) -> list[dict]:
     """SNK-7: per layer the kinds of the properties that have a value anywhere."""
     kinds = {}
@@ -218,13 +260,33 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
             made = tiled_points(point_features(source), opts, maxzoom)
         else:
             made = materialise(tiled_shapes(source, opts, maxzoom))
-        return thinned_by_density(made, opts, limit) if dense else made
+        return made
+
+    def described(tiles: DataFrame) -> TileBuild:
+        counted = opts.cluster_distance is not None or opts.coalesce_densest_as_needed
+        extra = {"point_count": "Number"} if counted else {}
+        metadata = {
+            "name": opts.name or opts.layer or layer,
+            "description": opts.description,
+            "attribution": opts.attribution,
+            "minzoom": opts.minzoom,
+            "maxzoom": maxzoom,
+            "vector_layers": vector_layers(feats, opts.minzoom, maxzoom, extra),
+        }
+        return TileBuild(tiles, {k: v for k, v in metadata.items() if v is not None}, opts.minzoom, maxzoom)
 
     rows = tiled(feats)
+    if dense and not opts.no_tile_size_limit:
+        tiles = tiles_within(rows, opts, min(limit, MAX_TILE_FEATURES) if not opts.no_feature_limit else limit, MAX_TILE_BYTES)
+        if not opts.allow_empty and tiles.isEmpty():
+            raise TileBuildError(NOTHING)
+        return described(tiles)
+    if dense:
+        rows = thinned_by_density(rows, opts, limit)
     counts = tiling.tile_counts(rows)
     largest, total = tiling.fullest(counts)
     if largest == 0 and not opts.allow_empty:
-        raise TileBuildError("no features: the input has no row with a geometry to tile")
+        raise TileBuildError(NOTHING)
     if not opts.no_feature_limit and largest > MAX_TILE_FEATURES:
         over = counts.filter(F.col("n") > MAX_TILE_FEATURES).orderBy("zoom", "tile_x", "tile_y").limit(SHOWN_TILES)
         shown = ", ".join(f"{r.zoom}/{r.tile_x}/{r.tile_y} ({r.n} features)" for r in over.collect())
@@ -234,17 +296,7 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
     tiles = encode_tiles(rows, largest, total, key="rid")
     if not opts.no_tile_size_limit:
         tiles = capped(tiles, MAX_TILE_BYTES)
-    counted = opts.cluster_distance is not None or opts.coalesce_densest_as_needed
-    extra = {"point_count": "Number"} if counted else {}
-    metadata = {
-        "name": opts.name or opts.layer or layer,
-        "description": opts.description,
-        "attribution": opts.attribution,
-        "minzoom": opts.minzoom,
-        "maxzoom": maxzoom,
-        "vector_layers": vector_layers(feats, opts.minzoom, maxzoom, extra),
-    }
-    return TileBuild(tiles, {k: v for k, v in metadata.items() if v is not None}, opts.minzoom, maxzoom)
+    return described(tiles)
 
 
 def capped(tiles: DataFrame, max_bytes: int) -> DataFrame:

@@ -300,3 +300,59 @@ def test_long_runs_are_expanded_in_stretches(spark):
     assert got.count() == 400_070_002
     small = runs.expand_runs(long.filter("run_length < 100000")).agg(F.min("tile_id"), F.max("tile_id"), F.count_distinct("tile_id")).first()
     assert tuple(small) == (3, (1 << 40) + 69_999, 70_002)
+
+
+def test_budgets_of_bytes_by_adding_up(spark):
+    """The cut-off found by sums of digits against running sums, with budgets of some tiles only."""
+    rows = spark.range(4000).selectExpr(
+        "1 AS zoom", "cast(id % 3 as int) AS tile_x", "0 AS tile_y", "id AS fid", "CASE WHEN id % 100 <> 7 THEN id % 13 END AS gap", "id % 17 + 1 AS _w"
+    )
+    budgets = spark.createDataFrame([(1, 0, 0, 3000), (1, 1, 0, 0)], "zoom int, tile_x int, tile_y int, budget long")
+    plain = tiling.keep_within(rows, budgets, 10_000, 2000).filter("kept").select("tile_x", "fid", "_w")
+    summed = tiling.keep_within(rows, budgets, 100, 2000).filter("kept").select("tile_x", "fid", "_w")
+    assert sorted(plain.collect()) == sorted(summed.collect())
+    sizes = {r.tile_x: (r.n, r.w) for r in plain.groupBy("tile_x").agg(F.count("*").alias("n"), F.sum("_w").alias("w")).collect()}
+    assert 1 not in sizes and 2950 < sizes[0][1] <= 3000 and sizes[2][0] == 1333
+
+
+@pytest.fixture()
+def small_cap(monkeypatch):
+    from sparktiles.plans import build
+
+    monkeypatch.setattr(build, "MAX_TILE_BYTES", 20_000)
+
+
+@pytest.mark.parametrize("how", ["drop_densest_as_needed", "coalesce_densest_as_needed"])
+def test_tiles_are_thinned_until_they_fit(spark, small_cap, how):
+    """Random texts do not pack, equal ones do: both kinds of tiles end up under the cap and not far below it."""
+    i = F.col("id")
+    points = spark.range(9000).select(
+        i.alias("fid"),
+        (((i * 7919) % 3600) / 10.0 - 180).alias("lon"),
+        (((i * 104729) % 1700) / 10.0 - 85).alias("lat"),
+        F.when(i * 7919 % 3600 < 1800, F.sha2(i.cast("string"), 256)).otherwise(F.lit("the same " * 20)).alias("note"),
+    )
+    options = {"id_column": "fid", "maxzoom": 2, "no_tile_size_limit": False, how: True}
+
+    def built(df):
+        tiles = st.build(df, **options).tiles
+        return sorted((r.zoom, r.tile_x, r.tile_y, bytes(r.tile_data)) for r in tiles.collect())
+
+    tiles = built(points.repartition(5))
+    assert max(len(t[3]) for t in tiles) <= 20_000
+    low = next(t for t in tiles if t[0] == 0)
+    assert len(low[3]) > 12_000  # one more pass brings it near the cap
+    assert tiles == built(points.orderBy(F.desc("lat")).coalesce(2))
+    without = st.build(points, **(options | {"no_tile_size_limit": True})).tiles
+    assert without.agg(F.max(F.octet_length("tile_data"))).first()[0] > 20_000
+
+
+def test_a_feature_larger_than_the_cap_is_left_out_alone(spark, small_cap):
+    rows = [(1, 10.0, 10.0, "x"), (2, 11.0, 11.0, "y")]
+    df = spark.createDataFrame(rows, "fid long, lon double, lat double, note string").unionByName(
+        spark.range(4000).selectExpr("id AS fid").withColumn("h", F.sha2(F.col("fid").cast("string"), 512)).agg(
+            F.lit(3).cast("long").alias("fid"), F.lit(50.0).alias("lon"), F.lit(50.0).alias("lat"), F.concat_ws("", F.collect_list("h")).alias("note")
+        )
+    )
+    made = st.build(df, id_column="fid", maxzoom=0, no_tile_size_limit=False, drop_densest_as_needed=True)
+    assert sorted(r.feature_id for r in st.decode_tiles(made.tiles, []).collect()) == [1, 2]
