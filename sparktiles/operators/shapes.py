@@ -16,6 +16,7 @@ from ..functions import shapes as sh
 from ..functions.projection import BAD_LAT, BAD_LON, LAT_LIMIT, LON_LIMIT, WORLD
 from ..functions.ragged import offsets_of, spans
 from ..functions.wkbread import read_geometries, read_wkb
+from ..options import MAX_BUILD_ZOOM
 
 Batches = Iterator[pa.RecordBatch]
 # Zoom after which pieces are dealt out again, so that the tiles of one large shape are cut by many tasks.
@@ -277,6 +278,21 @@ def tile_shapes(
     return dealt.mapInArrow(second.resume, kept)
 
 
+def cut_level(df: DataFrame, zoom: int, buffer: int, key: str = "rid") -> DataFrame:
+    """Shapes cut to the tiles of one zoom, in a form that can be cut further: pass it the shapes first, then its own rows.
+
+    Rows with `pending` are pieces as clipped; rows with a `zoom` but without `pending` are the features that a tile of
+    that zoom holds once the piece is on its grid; rows without a `zoom` are single points.
+    """
+    fixed = "zoom int, tile_x int, tile_y int, gtype int, wx long, wy long, pending array<array<double>>, pending_rings array<long>"
+    schema = T.StructType([df.schema[key], *T.StructType.fromDDL(fixed).fields])
+    cut = _Cutter([key], _arrow(schema), zoom, MAX_BUILD_ZOOM + 1, zoom, buffer, 0.0)
+    if "pending" in df.columns:
+        return df.filter(F.col("pending").isNotNull()).mapInArrow(cut.resume, schema)
+    source = "geom" if "geom" in df.columns else "geojson"
+    return df.select(key, source).mapInArrow(cut.start, schema)
+
+
 def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 

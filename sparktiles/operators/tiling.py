@@ -17,6 +17,12 @@ from ..options import ACCUMULATORS, MAX_BUILD_ZOOM, MAX_TILE_FEATURES, OptionErr
 from .tables import materialise
 
 TILE = ["zoom", "tile_x", "tile_y"]
+
+
+class TooManyFeatures(RuntimeError):
+    """A tile that no zoom brings under its limit."""
+
+
 # A window over one tile sorts at most this many rows in one task; larger ones are cut into slices.
 HOT_TILE_ROWS = 1_000_000
 # Fixed value: multiplier of the thinning hash.
@@ -366,15 +372,24 @@ def cluster_points(
 # --- TIL-11, TIL-12, TIL-13 --------------------------------------------------------------------------------------------
 
 
-def extend_zooms(points: DataFrame, maxzoom: int, limit: int, buffer: int = 5, ceiling: int = MAX_BUILD_ZOOM) -> int:
-    """TIL-11: the first zoom from `maxzoom` on at which no tile is over `limit`. One count job per added zoom."""
-    zoom = maxzoom
-    while zoom < ceiling:
-        tiles = buffered_tiles(points.withColumn("zoom", F.lit(zoom)), buffer)
-        if fullest(tile_counts(tiles))[0] <= limit:
+def extend_zooms(points: DataFrame, maxzoom: int, limit: int, buffer: int = 5, ceiling: int = MAX_BUILD_ZOOM, strict: bool = False) -> int:
+    """TIL-11 for points (`wx`, `wy`): the first zoom from `maxzoom` on at which no tile is over `limit`, or `ceiling`, where `strict` makes
+    a tile that is over even there an error.
+
+    All points are counted once; after that only those in tiles over the limit, whose children alone can be over it.
+    """
+    left = points.select("wx", "wy").groupBy("wx", "wy").agg(F.count("*").alias("_n"))
+    for zoom in range(maxzoom, ceiling + 1):
+        if zoom == ceiling and not strict:
             break
-        zoom += 1
-    return zoom
+        rows = buffered_tiles(left.withColumn("zoom", F.lit(zoom)), buffer)
+        over = materialise(rows.groupBy(*TILE).agg(F.sum("_n").alias("n")).filter(F.col("n") > limit).select(*TILE))
+        if over.isEmpty():
+            return zoom
+        left = materialise(rows.join(over, TILE, "left_semi").select("wx", "wy", "_n").distinct())
+    if strict:
+        raise TooManyFeatures(f"tiles have more than {limit} features even at zoom {ceiling}")
+    return max(maxzoom, ceiling)
 
 
 # What a feature takes in a tile at most, besides its geometry and texts: its own frame (id, type, lengths), a value with its tag numbers

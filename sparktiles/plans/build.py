@@ -15,7 +15,7 @@ from ..operators import tiling
 from ..operators.encode import PIECE_ROWS, encode_tiles, points_as_parts
 from ..operators.features import LONLAT, features, property_fields
 from ..operators.geojson import write_geojsonl
-from ..operators.shapes import tile_shapes, vertices
+from ..operators.shapes import cut_level, tile_shapes, vertices
 from ..operators.tables import materialise
 from ..operators.tiling import TILE
 from ..options import MAX_BUILD_ZOOM, MAX_TILE_BYTES, MAX_TILE_FEATURES, Options, derive_layer_name, parse_options
@@ -197,32 +197,54 @@ def vector_layers(feats: DataFrame, minzoom: int, maxzoom: int, extra: dict[str,
 
 
 def extended(feats: DataFrame, kind: str, opts: Options, maxzoom: int) -> int:
-    """TIL-11: the first zoom from `maxzoom` on whose tile rows need no thinning. Points are counted by their buffered tiles, shapes
-    by the tiles they are cut into. One count job per added zoom; an error when even the last zoom would be thinned."""
+    """TIL-11: the first zoom from `maxzoom` on whose tile rows need no thinning; an error when even the last zoom would be thinned.
+
+    Points are counted by their buffered tiles, shapes by the tiles they are cut into. A tile's grown box lies inside its parent's, so
+    only what lies in tiles over the limit is looked at again, one zoom on: all rows are tiled once, and then fewer and fewer.
+    """
     limit = opts.tile_feature_limit
-    points = point_features(feats).select(F.col("rid").alias("fid"), "wx", "wy") if kind == LONLAT else None
+    if kind == LONLAT:
+        return tiling.extend_zooms(point_features(feats).select("rid", "wx", "wy"), maxzoom, limit, opts.buffer, strict=True)
+    left, points = feats, None
     for zoom in range(maxzoom, MAX_BUILD_ZOOM + 1):
-        if points is not None:
-            rows = tiling.buffered_tiles(points.withColumn("zoom", F.lit(zoom)), opts.buffer)
-        else:
-            rows = tiled_shapes(feats, replace(opts, minzoom=zoom, drop_rate=None, base_zoom=None, cluster_distance=None), zoom)
-        if tiling.fullest(tiling.tile_counts(rows))[0] <= limit:
+        cut = materialise(cut_level(left, zoom, opts.buffer))
+        if points is None:
+            points = cut.filter("zoom IS NULL").select("rid", "wx", "wy")
+        dots = tiling.buffered_tiles(points.withColumn("zoom", F.lit(zoom)), opts.buffer)
+        pieces = cut.filter("zoom IS NOT NULL").select(*TILE, F.col("pending").isNotNull().cast("int").alias("_raw"))
+        # A dot counts as a feature and as a piece. Small shapes may vanish at one zoom and be there at the next: what goes on are pieces.
+        both = pieces.select(*TILE, (1 - F.col("_raw")).alias("_seen"), "_raw").unionByName(dots.select(*TILE, F.lit(1).alias("_seen"), F.lit(1).alias("_raw")))
+        counts = materialise(both.groupBy(*TILE).agg(F.sum("_seen").alias("_seen"), F.sum("_raw").alias("_raw")))
+        if counts.filter(F.col("_seen") > limit).isEmpty():
             return zoom
-    raise TileBuildError(f"tiles have more than {limit} features even at zoom {MAX_BUILD_ZOOM}")
+        over = counts.filter(F.greatest("_seen", "_raw") > limit).select(*TILE)
+        left = cut.filter("pending IS NOT NULL").join(over, TILE, "left_semi")
+        points = materialise(dots.join(over, TILE, "left_semi").select("rid", "wx", "wy").distinct())
+    raise tiling.TooManyFeatures(f"tiles have more than {limit} features even at zoom {MAX_BUILD_ZOOM}")
 
 
 def numbered_by_content(feats: DataFrame, has_ids: bool) -> DataFrame:
     """`rid` is the feature's id where it has one of its own, else a negative hash of what the row holds, so that ties of thinning
-    fall the same way in every layout of the input. Equal rows are told apart by a count; which is which makes no difference."""
+    fall the same way in every layout of the input. Equal rows are told apart by a count; which is which makes no difference.
+
+    The count runs on two levels: rows of one content are numbered within each partition of the written table, behind those of
+    the partitions before it, so that even a content that a third of all rows share is not one task's.
+    """
     geometry = [c for c in feats.columns if c not in ("layer", "fid", "props")]
-    hashed = feats.withColumn("_content", F.xxhash64("layer", "fid", F.to_json("props"), *geometry))
-    nth = F.row_number().over(Window.partitionBy("_content").orderBy("_content"))
-    hashed = hashed.withColumn("rid", F.xxhash64("_content", nth).bitwiseOR(F.lit(-(2**63)))).drop("_content")
+    hashed = materialise(feats.withColumns({"_content": F.xxhash64("layer", "fid", F.to_json("props"), *geometry), "_p": F.spark_partition_id()}))
+    before = Window.partitionBy("_content").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    each = hashed.groupBy("_content", "_p").agg(F.count("*").alias("_n"))
+    offsets = each.select("_content", "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_content", "_p").orderBy("_p"))
+    numbered = hashed.join(offsets, ["_content", "_p"]).withColumn("_nth", F.col("_before") + nth)
+    numbered = numbered.withColumn("rid", F.xxhash64("_content", "_nth").bitwiseOR(F.lit(-(2**63))))
     if not has_ids:
-        return hashed
-    shared = feats.filter(F.col("fid").isNotNull()).groupBy("fid").agg(F.count("*").alias("_n")).filter("_n > 1")
-    own = F.when(F.col("fid").isNotNull() & F.col("_n").isNull(), F.col("fid")).otherwise(F.col("rid"))
-    return hashed.join(shared, "fid", "left").withColumn("rid", own).select(*feats.columns, "rid")
+        return numbered.select(*feats.columns, "rid")
+    shared = hashed.filter(F.col("fid").isNotNull()).groupBy("fid").agg(F.count("*").alias("_shared")).filter("_shared > 1")
+    # Rows without an id match nothing; they are given keys of their own, or one task would get them all.
+    keyed = numbered.withColumn("_key", F.coalesce("fid", F.col("rid"))).join(shared.withColumnRenamed("fid", "_key"), "_key", "left")
+    own = F.when(F.col("fid").isNotNull() & F.col("_shared").isNull(), F.col("fid")).otherwise(F.col("rid"))
+    return keyed.withColumn("rid", own).select(*feats.columns, "rid")
 
 
 def dealt_out(feats: DataFrame) -> DataFrame:
@@ -253,7 +275,10 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
     if maxzoom is None:
         maxzoom = max(opts.minzoom, tiling.guess_maxzoom(representative_points(feats, binding.kind)).first()[0])
     if dense and opts.extend_zooms_if_still_dropping:
-        maxzoom = extended(feats, binding.kind, opts, maxzoom)
+        try:
+            maxzoom = extended(feats, binding.kind, opts, maxzoom)
+        except tiling.TooManyFeatures as e:
+            raise TileBuildError(str(e)) from None
 
     def tiled(source: DataFrame) -> DataFrame:
         if binding.kind == LONLAT:

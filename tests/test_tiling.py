@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -356,3 +358,47 @@ def test_a_feature_larger_than_the_cap_is_left_out_alone(spark, small_cap):
     )
     made = st.build(df, id_column="fid", maxzoom=0, no_tile_size_limit=False, drop_densest_as_needed=True)
     assert sorted(r.feature_id for r in st.decode_tiles(made.tiles, []).collect()) == [1, 2]
+
+
+def test_extension_of_shapes_against_one_cut_per_zoom(spark, wkb):
+    """Small shapes, large ones and points, crowded at one place; some vanish at low zooms."""
+    import random
+
+    from sparktiles.operators.features import features
+    from sparktiles.options import parse_options
+    from sparktiles.plans.build import extended, tiled_shapes
+
+    draw = random.Random(11)
+    near = lambda: (draw.gauss(20, 0.3), draw.gauss(40, 0.3))
+    rows = [(i, wkb.polygon(wkb.square(*near(), 0.4 if i < 8 else draw.choice([1e-5, 0.01])))) for i in range(120)]
+    rows += [(200 + i, wkb.line([near(), near(), near()])) for i in range(20)]
+    rows += [(300 + i, wkb.point(*near())) for i in range(120)]
+    df = spark.createDataFrame(rows, "fid int, geom binary")
+    opts = parse_options({"id_column": "fid", "maxzoom": 2, "tile_feature_limit": 60, "simplification": 0})
+    feats, binding = features(df, opts, "x")
+    feats = feats.withColumn("rid", F.col("fid"))
+    for limit in (150, 40):
+        opts.tile_feature_limit = limit
+        want = 2
+        while want < 12 and tiling.fullest(tiling.tile_counts(tiled_shapes(feats, replace(opts, minzoom=want), want)))[0] > limit:
+            want += 1
+        assert extended(feats, binding.kind, opts, 2) == want
+
+
+def test_equal_rows_are_numbered_in_parts(spark):
+    from sparktiles.operators.features import features
+    from sparktiles.options import parse_options
+    from sparktiles.plans.build import numbered_by_content
+
+    rows = spark.range(600).selectExpr("CASE WHEN id % 4 = 0 THEN cast(id % 40 as int) END AS fid", "CASE WHEN id % 3 = 0 THEN 1.0D ELSE cast(id as double) / 10 END AS lon", "2.0D AS lat")
+    opts = parse_options({"id_column": "fid"})
+
+    def numbers(df):
+        feats, _ = features(df, opts, "x")
+        made = numbered_by_content(feats, True)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "row_number()" in plan and all("_p#" in line for line in plan.splitlines() if "row_number()" in line and "Window" in line)
+        return sorted((r.rid, r.fid or -1, r.lon) for r in made.collect())
+
+    one, other = numbers(rows.repartition(7)), numbers(rows.orderBy(F.desc("id")).coalesce(1))
+    assert one == other and len({r[0] for r in one}) == 600
