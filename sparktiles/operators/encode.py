@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import mvt
 from ..functions.jsontext import render
 from ..functions.ragged import Ragged, vconcat
+from .dealing import by_range
 from .features import property_fields
 from .tiling import TILE, fullest, tile_counts
 
@@ -227,6 +228,7 @@ def encode_tiles(
     piece_rows: int = PIECE_ROWS,
     level: int = 6,
     key: str = "fid",
+    bounds: list[int] | None = None,
 ) -> DataFrame:
     """Tile table from `zoom, tile_x, tile_y, layer, fid, gtype, props` and a geometry.
 
@@ -234,7 +236,8 @@ def encode_tiles(
     column, where filled, is the geometry already in tile form and goes before either. `props` is a struct. One shuffle by tile,
     into tasks of about `TASK_ROWS` rows. `largest` and `total` are the row counts of the fullest tile and of all (counted
     here if not given): when the fullest is over `piece_rows`, such tiles are cut by a hash of `key` into pieces that separate
-    tasks encode, and a second shuffle, of encoded bytes only, brings the pieces together.
+    tasks encode, and a second shuffle, of encoded bytes only, brings the pieces together. With `bounds` (`dealing.curve_bounds`) tasks
+    get ranges of the Hilbert curve instead of hashed tiles, and tiles come out in curve order.
     """
     names = property_fields(df.schema["props"].dataType)
     columns = [*TILE, "layer", "fid", "gtype", "props", "commands", "parts"]
@@ -246,7 +249,10 @@ def encode_tiles(
     tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
     if largest <= piece_rows:
         whole = df.withColumns({"piece": F.lit(0).cast("long"), "pieces": F.lit(1).cast("long")})
-        sorted_rows = whole.repartition(tasks, *TILE).sortWithinPartitions(*order).drop(*({key} - {"fid"}))
+        if bounds is None:
+            sorted_rows = whole.repartition(tasks, *TILE).sortWithinPartitions(*order).drop(*({key} - {"fid"}))
+        else:
+            sorted_rows = by_range(whole, bounds, *order[3:]).drop(*({key} - {"fid"}))
         return sorted_rows.mapInArrow(_encode(names, level), TILE_SCHEMA)
     split = tile_counts(df).filter(F.col("n") > piece_rows).select(*TILE, F.ceil(F.col("n") / piece_rows).alias("pieces"))
     small = split.limit(BROADCAST_TILES + 1).count() <= BROADCAST_TILES
@@ -258,7 +264,8 @@ def encode_tiles(
         .sortWithinPartitions(*dict.fromkeys([*TILE, "piece", "layer", "fid", key]))
         .mapInArrow(_encode_pieces(names, level), PIECE_SCHEMA)
     )
-    joined = pieces.repartition(tasks, *TILE).sortWithinPartitions(*TILE, "layer", "piece")
+    together = ("layer", "piece")
+    joined = pieces.repartition(tasks, *TILE).sortWithinPartitions(*TILE, *together) if bounds is None else by_range(pieces, bounds, *together)
     return joined.mapInArrow(_join_pieces(names, level), TILE_SCHEMA)
 
 

@@ -12,12 +12,13 @@ from pyspark.sql import types as T
 from ..functions.mvt import POINT
 from ..functions.projection import clamp_y, world_x, world_y, wrap_x
 from ..operators import tiling
-from ..operators.encode import PIECE_ROWS, encode_tiles, points_as_parts
+from ..operators.dealing import by_range, curve_bounds
+from ..operators.encode import PIECE_ROWS, TASK_ROWS, encode_tiles, points_as_parts
 from ..operators.features import LONLAT, features, property_fields
 from ..operators.geojson import write_geojsonl
 from ..operators.shapes import cut_level, tile_shapes, vertices
 from ..operators.tables import materialise
-from ..operators.tiling import TILE
+from ..operators.tiling import FEATURE_BYTES, TILE
 from ..options import MAX_BUILD_ZOOM, MAX_TILE_BYTES, MAX_TILE_FEATURES, Options, derive_layer_name, parse_options
 from ..sources.tilesets import container_format, register, write_container, write_tiles
 
@@ -35,6 +36,8 @@ class TileBuildError(RuntimeError):
 
 @dataclass
 class TileBuild:
+    """`tiles` come in ranges of the Hilbert curve and in its order."""
+
     tiles: DataFrame
     metadata: dict[str, Any]
     minzoom: int
@@ -162,7 +165,7 @@ def tiles_within(tiled: DataFrame, opts: Options, limit: int, max_bytes: int) ->
         if not merging:  # a feature that is over the budget alone would keep all others out
             fitting = rows.join(budgets, TILE, "left").filter("budget IS NULL OR _size <= budget").drop("budget")
         kept = materialise(thinned_by_density(fitting, opts, limit, budgets))
-        tiles = materialise(encode_tiles(kept, *tiling.fullest(tiling.tile_counts(kept)), key="rid"))
+        tiles = materialise(encode_tiles(kept, *tiling.fullest(tiling.tile_counts(kept)), key="rid"))  # dealt out again by the caller
         size = F.octet_length("tile_data")
         good = tiles if attempt == 2 else tiles.filter(size <= max_bytes)
         made = good if made is None else made.unionByName(good)
@@ -305,10 +308,12 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
         tiles = tiles_within(rows, opts, min(limit, MAX_TILE_FEATURES) if not opts.no_feature_limit else limit, MAX_TILE_BYTES)
         if not opts.allow_empty and tiles.isEmpty():
             raise TileBuildError(NOTHING)
-        return described(tiles)
+        sizes = tiles.select(*TILE, F.octet_length("tile_data").cast("long").alias("n"))
+        total = sizes.agg(F.sum("n")).first()[0] or 0
+        return described(by_range(tiles, dealt_by_counts(sizes, total // FEATURE_BYTES, maxzoom)))
     if dense:
         rows = thinned_by_density(rows, opts, limit)
-    counts = tiling.tile_counts(rows)
+    counts = materialise(tiling.tile_counts(rows))
     largest, total = tiling.fullest(counts)
     if largest == 0 and not opts.allow_empty:
         raise TileBuildError(NOTHING)
@@ -318,12 +323,19 @@ def build(df: DataFrame, layer: str = "features", options: Options | None = None
         raise TileBuildError(f"could not make tile {shown}: more than {MAX_TILE_FEATURES} features")
     if largest > PIECE_ROWS and binding.kind == LONLAT and not dense:
         rows = tiled(materialise(feats))  # row numbers choose the piece, so they must not change under a retry
-    tiles = encode_tiles(rows, largest, total, key="rid")
+    tiles = encode_tiles(rows, largest, total, key="rid", bounds=dealt_by_counts(counts, total, maxzoom))
     if not opts.no_tile_size_limit:
         tiles = capped(tiles, MAX_TILE_BYTES)
     return described(tiles)
 
 
+def dealt_by_counts(counts: DataFrame, total: int, maxzoom: int) -> list[int]:
+    """Ranges of the curve with about equal rows, as many as the rows ask for."""
+    spark = counts.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
+    return curve_bounds(counts, tasks, maxzoom)
+
+
 def capped(tiles: DataFrame, max_bytes: int) -> DataFrame:
     """TIL-12, bytes: a tile over the cap fails the job that writes it."""
     size = F.octet_length("tile_data")
@@ -348,7 +360,7 @@ def write_tileset(df: DataFrame, path: str, **options: Any) -> TileBuild:
     try:
         fmt = container_format(path)
     except ValueError:
-        write_tiles(made.tiles, path, made.metadata, opts.force)
+        write_tiles(made.tiles, path, made.metadata, opts.force, dealt=True)
         return made
-    write_container(made.tiles, path, made.metadata, opts.force, single=opts.shards == 1, fmt=fmt)
+    write_container(made.tiles, path, made.metadata, opts.force, single=opts.shards == 1, fmt=fmt, dealt=True)
     return made

@@ -104,11 +104,18 @@ def by_block(tiles: DataFrame) -> DataFrame:
 
 
 def write_container(
-    tiles: DataFrame, path: str, metadata: dict | None = None, force: bool = True, single: bool = False, fmt: str | None = None
+    tiles: DataFrame,
+    path: str,
+    metadata: dict | None = None,
+    force: bool = True,
+    single: bool = False,
+    fmt: str | None = None,
+    dealt: bool = False,
 ) -> None:
     """SNK-4, SNK-5, SNK-6: tile table to a directory of shards, or with `single` to one file.
 
-    One file is written by one task, so it is refused above a fixed size.
+    One file is written by one task, so it is refused above a fixed size. `dealt` tiles are in ranges of the curve already, as a build
+    gives them, and are written as they come.
     """
     register(tiles.sparkSession)
     fmt = fmt or container_format(path)
@@ -118,13 +125,13 @@ def write_container(
         size = tiles.agg(F.sum(F.octet_length("tile_data"))).first()[0] or 0
         if size > SINGLE_FILE_BYTES:
             raise OptionError(f"{size} tile bytes are too many for one file; write shards instead")
-        dealt = tiles.repartition(1)  # the tiles are made by all tasks; only finished ones meet
+        ready = tiles.repartition(1)  # the tiles are made by all tasks; only finished ones meet
     else:
-        dealt = by_block(tiles)
-    dealt.write.format(fmt).mode("overwrite" if force else "append").options(**options).save(path)
+        ready = tiles if dealt else by_block(tiles)
+    ready.write.format(fmt).mode("overwrite" if force else "append").options(**options).save(path)
 
 
-def write_tiles(tiles: DataFrame, path: str, metadata: dict | None = None, force: bool = True) -> None:
+def write_tiles(tiles: DataFrame, path: str, metadata: dict | None = None, force: bool = True, dealt: bool = False) -> None:
     """SNK-3: the tile table as Parquet, one folder per zoom, with the metadata beside it.
 
     Every write has a folder of its own, which the manifest names; the manifest is switched when the data is complete, so a failed
@@ -134,8 +141,9 @@ def write_tiles(tiles: DataFrame, path: str, metadata: dict | None = None, force
     if not force and fs.get_file_info(root).type != pafs.FileType.NotFound:
         raise FileExistsError(f'"{path}" already exists')
     folder = f"data-{uuid.uuid4().hex}"
-    dealt = by_block(tiles.select("zoom", "tile_x", "tile_y", "tile_data"))
-    dealt.write.partitionBy("zoom").parquet(f"{path.rstrip('/')}/{folder}")
+    tiles = tiles.select("zoom", "tile_x", "tile_y", "tile_data")
+    ready = tiles if dealt else by_block(tiles)
+    ready.write.partitionBy("zoom").parquet(f"{path.rstrip('/')}/{folder}")
     old = [i for i in fs.get_file_info(pafs.FileSelector(root)) if i.base_name not in (folder, MANIFEST)]
     with fs.open_output_stream(f"{root}/.{folder}") as f:
         f.write(json.dumps({"format": "parquet", "metadata": metadata or {}, "folder": folder}).encode())

@@ -402,3 +402,34 @@ def test_equal_rows_are_numbered_in_parts(spark):
 
     one, other = numbers(rows.repartition(7)), numbers(rows.orderBy(F.desc("id")).coalesce(1))
     assert one == other and len({r[0] for r in one}) == 600
+
+
+def test_ranges_of_the_curve_have_equal_rows(spark):
+    """Most rows in one corner: bounds by counts, against the rows that each range gets."""
+    from sparktiles.functions.projection import with_tile_id
+    from sparktiles.operators.dealing import curve_bounds, range_of
+
+    i = F.col("id")
+    x = F.when(i % 10 < 8, i % 64).otherwise(i * 7919 % 4096).cast("int")
+    y = F.when(i % 10 < 8, F.floor(i / 64) % 64).otherwise(i * 104729 % 4096).cast("int")
+    tiles = spark.range(40_000).select(F.lit(12).alias("zoom"), x.alias("tile_x"), y.alias("tile_y"))
+    counts = tiling.tile_counts(tiles)
+    for parts in (2, 9, 40):
+        bounds = curve_bounds(counts, parts, 12)
+        assert bounds == sorted(set(bounds)) and len(bounds) <= parts - 1
+        dealt = with_tile_id(tiles).select("tile_id", range_of("tile_id", bounds).alias("r"))
+        sizes = dealt.groupBy("r").agg(F.count("*").alias("n"), F.min("tile_id").alias("a"), F.max("tile_id").alias("b")).orderBy("r").collect()
+        assert all(p.b < q.a for p, q in zip(sizes, sizes[1:])) and {r.r for r in sizes} <= set(range(parts))
+        assert max(r.n for r in sizes) < 1.6 * 40_000 / parts
+    assert curve_bounds(counts.limit(0), 4, 12) == []
+
+
+def test_files_of_a_tile_table_have_ranges_of_their_own(spark, tmp_path):
+    from sparktiles.functions.projection import with_tile_id
+
+    i = F.col("id")
+    points = spark.range(5000).select(i.alias("fid"), (i * 7919 % 3600 / 10 - 180).alias("lon"), (i * 104729 % 1700 / 10 - 85).alias("lat"))
+    st.write_tileset(points, f"{tmp_path}/tiles", id_column="fid", minzoom=5, maxzoom=5)
+    tiles = with_tile_id(st.read_tiles(spark, f"{tmp_path}/tiles")).withColumn("file", F.input_file_name())
+    files = tiles.groupBy("file").agg(F.min("tile_id").alias("a"), F.max("tile_id").alias("b")).orderBy("a").collect()
+    assert len(files) == 8 and all(p.b < q.a for p, q in zip(files, files[1:]))
