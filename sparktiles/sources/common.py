@@ -6,8 +6,10 @@ import json
 import os
 import uuid
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql.datasource import (
@@ -19,6 +21,7 @@ from pyspark.sql.datasource import (
     GreaterThan,
     GreaterThanOrEqual,
     In,
+    InputPartition,
     LessThan,
     LessThanOrEqual,
     WriterCommitMessage,
@@ -26,6 +29,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
 from ..functions.mvt import gunzip_tile
+from ..functions.projection import hilbert_ids
 from ..operators.decode import decode_rows, output_schema
 from ..options import READ_OPTIONS, OptionError, parse_read_zoom
 
@@ -59,7 +63,7 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def list_shards(path: str, suffix: str) -> tuple[list[str], dict | None]:
-    """Container files behind a path, which is a file, a directory of shards, or a glob; and the manifest if there is one."""
+    """Container files behind a path, which is a file, a directory of shards, or a glob; or the manifest if there is one."""
     fs, root = filesystem(path)
     if any(c in os.path.basename(root) for c in "*?["):
         import fnmatch
@@ -72,8 +76,7 @@ def list_shards(path: str, suffix: str) -> tuple[list[str], dict | None]:
         return [root], None
     if fs.get_file_info(f"{root}/{MANIFEST}").is_file:
         with fs.open_input_stream(f"{root}/{MANIFEST}") as f:
-            manifest = json.loads(f.read())
-        return [f"{root}/{s['file']}" for s in manifest["shards"]], manifest
+            return [], json.loads(f.read())
     infos = fs.get_file_info(pafs.FileSelector(root))
     return sorted(i.path for i in infos if i.is_file and i.base_name.lower().endswith(suffix)), None
 
@@ -140,6 +143,18 @@ class Bounds:
 # --- Reading -----------------------------------------------------------------------------------------------------------
 
 
+@dataclass
+class Zones(InputPartition):
+    """Tiles `first` up to `upto` of a shard, which are those with ids from `low` up to `high`."""
+
+    file: str
+    first: int
+    upto: int
+    low: int
+    high: int
+    bytes: int
+
+
 class TilesetReader(DataSourceReader):
     """Feature rows or raw tiles of a set of container files; subclasses list partitions and yield stored tiles."""
 
@@ -148,7 +163,7 @@ class TilesetReader(DataSourceReader):
         self.attributes = source.attributes() if self.features else []
         self.layer = source.options.get("layer") or None
         self.strict = (source.options.get("mode") or "FAILFAST").upper() == "FAILFAST"
-        self.files, self.manifest = source.files, source.manifest
+        self.files, self.manifest, self.base = source.files, source.manifest, source.path
         self.bounds = Bounds()
         if self.features:
             zoom = source.zoom()
@@ -159,12 +174,35 @@ class TilesetReader(DataSourceReader):
             self.bounds.narrow(f)
             yield f  # used to skip partitions and rows only; Spark still applies it
 
-    def live_files(self) -> list[str]:
-        """Files that may hold a wanted zoom, by the manifest."""
-        if self.manifest is None:
-            return self.files
-        shards = zip(self.files, self.manifest["shards"])
-        return [f for f, s in shards if self.bounds.allows("zoom", s["minzoom"], s["maxzoom"])]
+    def live_zones(self, split_bytes: int) -> list[Zones]:
+        """By the manifest alone: stretches of tiles that may be wanted, neighbours of one file together up to `split_bytes`."""
+        folder = f"{filesystem(self.base)[1]}/{self.manifest['folder']}"
+        parts = [p["part"] for p in self.manifest["parts"] if self.bounds.allows("zoom", p["minzoom"], p["maxzoom"])]
+        fs, _ = filesystem(self.base)
+
+        def read(part: str) -> pa.Table:
+            with fs.open_input_file(f"{folder}/{part}") as f:
+                return pa.ipc.open_file(f).read_all()
+
+        with ThreadPoolExecutor(8) as pool:
+            tables = list(pool.map(read, parts))
+        if not tables:
+            return []
+        zones = pa.concat_tables(tables).to_pydict()
+        z = {k: np.array(v, np.int64) for k, v in zones.items() if k != "file"}
+        live = np.ones(len(zones["file"]), bool)
+        for name, low, high in (("zoom", "zoom", "zoom"), ("tile_x", "x0", "x1"), ("tile_y", "y0", "y1")):
+            least, most = self.bounds.of(name, 0, 1 << 40)
+            live &= (z[high] >= least) & (z[low] <= most)
+        out: list[Zones] = []
+        for i in np.flatnonzero(live).tolist():
+            file, last = f"{folder}/{zones['file'][i]}", out[-1] if out else None
+            first, upto = int(z["first"][i]), int(z["first"][i] + z["tiles"][i])
+            if last and last.file == file and last.upto == first and last.bytes < split_bytes:
+                last.upto, last.high, last.bytes = upto, int(z["high"][i]) + 1, last.bytes + int(z["bytes"][i])
+            else:
+                out.append(Zones(file, first, upto, int(z["low"][i]), int(z["high"][i]) + 1, int(z["bytes"][i])))
+        return out
 
     def stored(self, partition) -> Iterator[tuple[int, int, int, bytes]]:
         raise NotImplementedError
@@ -222,7 +260,7 @@ class TilesetSource(DataSource):
     def _list(self) -> tuple[list[str], dict | None]:
         if self._found is None:
             self._found = list_shards(self.path, self.suffix)
-            if not self._found[0]:
+            if not self._found[0] and self._found[1] is None:
                 raise OSError(f'Failed to open "{self.path}": no {self.suffix} file found')
         return self._found
 
@@ -275,16 +313,34 @@ class TilesetSource(DataSource):
 # --- Writing (SNK-4, SNK-5, SNK-6, SNK-8) ------------------------------------------------------------------------------
 
 
+# Tiles that one entry of a shard's zone map stands for.
+ZONE_TILES = 4096
+ZONE_ARROW = pa.schema([("file", pa.string()), *((n, pa.int64()) for n in ("first", "tiles", "bytes", "low", "high", "zoom", "x0", "x1", "y0", "y1"))])
+
+
 @dataclass
 class ShardMessage(WriterCommitMessage):
-    shards: list[dict]
+    """What a task hands to the driver: its one row of the manifest, or a finished single file."""
 
+    part: dict | None = None
+    file: str | None = None
 
-class TilesetWriter(DataSourceArrowWriter):
-    """Each task writes shards under a hidden name; the driver's commit publishes them all with one manifest write, so a reader
-    sees the old set or the new one. `single=true` makes the path itself the one container file."""
 
-    def __init__(self, options, suffix: str, overwrite: bool):
+class TilesetWriter(DataSourceArrowWriter):
+    """Each write has a folder of its own. Tasks write shards there under their final names, and beside them the zone map of their
+    shards; the driver's commit switches one pointer to the new folder, so a reader sees the old set or the new one, and only then
+    does the old folder go. `single=true` makes the path itself the one container file.
+
+    A lost or repeated attempt leaves files that no part of the manifest names.
+    """
+
+    def __init__(self, options, suffix: str, overwrite: bool, schema: StructType):
+        missing = [n for n in TILE_STRUCT.names if n not in schema.names]
+        if missing:
+            raise OptionError(
+                f"a {suffix.lstrip('.')} sink takes finished tiles (zoom, tile_x, tile_y, tile_data), and {', '.join(missing)} "
+                "is missing; write_tileset builds tiles from a table of features"
+            )
         self.suffix = suffix
         self.single = str(options.get("single", "false")).lower() == "true"
         self.path = options["path"]
@@ -297,103 +353,119 @@ class TilesetWriter(DataSourceArrowWriter):
             raise FileExistsError(f'"{self.path}" already exists')
         if self.single and info.type == pafs.FileType.Directory:
             raise FileExistsError(f'"{self.path}" is a directory of shards')
-        # Where the old tileset is one file, shards wait in a folder beside it until the commit.
+        # Where the old tileset is one file, the new directory is made ready beside it.
         self.beside = not self.single and info.is_file
+        self.folder = f"data-{self.token}"
 
-    def _place(self, root: str) -> str:
+    def _root(self, root: str) -> str:
         parent, name = os.path.split(root)
-        if self.single:
-            return parent
         return f"{parent}/.{name}.{self.token}" if self.beside else root
 
     def encode_shard(self, rows: list[tuple[int, int, int, bytes]]) -> bytes:
         raise NotImplementedError
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> ShardMessage:
-        shards, rows, size = [], [], 0
+        from pyspark import TaskContext
+
+        context = TaskContext.get()
+        task = f"{context.partitionId() if context else 0:05d}-{uuid.uuid4().hex[:8]}"
+        zones, rows, size, shards = [], [], 0, 0
         for b in iterator:
-            cols = [b.column(b.schema.names.index(n)).to_pylist() for n in ("zoom", "tile_x", "tile_y", "tile_data")]
+            cols = [b.column(b.schema.names.index(n)).to_pylist() for n in TILE_STRUCT.names]
             for row in zip(*cols):
                 if not row[3]:
                     continue
                 rows.append(row)
                 size += len(row[3])
                 if size >= self.shard_bytes and not self.single:
-                    shards.append(self._close(rows, size, len(shards)))
-                    rows, size = [], 0
+                    zones += self._close(rows, f"part-{task}-{shards:03d}{self.suffix}")
+                    rows, size, shards = [], 0, shards + 1
+        if self.single:
+            return ShardMessage(file=self._single(rows)) if rows else ShardMessage()
         if rows:
-            shards.append(self._close(rows, size, len(shards)))
-        return ShardMessage(shards)
-
-    def _close(self, rows: list[tuple], size: int, number: int) -> dict:
-        from pyspark import TaskContext
+            zones += self._close(rows, f"part-{task}-{shards:03d}{self.suffix}")
+        if not zones:
+            return ShardMessage()
+        table = pa.Table.from_pylist(zones, ZONE_ARROW)
+        fs, root = filesystem(self.path)
+        name = f"zones-{task}.arrow"
+        with fs.open_output_stream(f"{self._root(root)}/{self.folder}/{name}") as f, pa.ipc.new_file(f, ZONE_ARROW) as out:
+            out.write_table(table)
+        zoom = [z["zoom"] for z in zones]
+        return ShardMessage({"part": name, "tiles": sum(z["tiles"] for z in zones), "minzoom": min(zoom), "maxzoom": max(zoom)})
 
-        context = TaskContext.get()
-        task = context.partitionId() if context else 0
+    def _single(self, rows: list[tuple]) -> str:
         fs, root = filesystem(self.path)
-        place = self._place(root)
-        fs.create_dir(place, recursive=True)
-        name = f"part-{task:05d}-{number:03d}-{self.token}{self.suffix}"
-        # One hidden file per attempt: a lost or duplicate attempt leaves nothing a reader would list.
-        hidden = f".{name}.{uuid.uuid4().hex[:8]}"
+        parent, name = os.path.split(root)
+        fs.create_dir(parent, recursive=True)
+        hidden = f"{parent}/.{name}.{self.token}.{uuid.uuid4().hex[:8]}"
+        with fs.open_output_stream(hidden) as f:
+            f.write(self.encode_shard(rows))
+        return hidden
+
+    def _close(self, rows: list[tuple], name: str) -> list[dict]:
+        """One shard, its tiles in curve order, and its zone map: an entry per stretch of tiles of one zoom."""
+        address = np.array([r[:3] for r in rows], np.int64).reshape(-1, 3)
+        ids = hilbert_ids(*address.T)
+        order = np.argsort(ids, kind="stable")
+        rows, address, ids = [rows[i] for i in order.tolist()], address[order], ids[order]
         data = self.encode_shard(rows)
-        with fs.open_output_stream(f"{place}/{hidden}") as f:
+        fs, root = filesystem(self.path)
+        folder = f"{self._root(root)}/{self.folder}"
+        fs.create_dir(folder, recursive=True)
+        with fs.open_output_stream(f"{folder}/{name}") as f:
             f.write(data)
-        zooms = [r[0] for r in rows]
-        return {
-            "file": name,
-            "hidden": hidden,
-            "tiles": len(rows),
-            "bytes": len(data),
-            "tile_bytes": size,
-            "minzoom": min(zooms),
-            "maxzoom": max(zooms),
-        }
+        size = np.array([len(r[3]) for r in rows], np.int64)
+        out = []
+        heads = np.flatnonzero(np.diff(address[:, 0], prepend=-1))
+        for a, b in zip(heads, np.append(heads[1:], len(rows)), strict=True):
+            for low in range(int(a), int(b), ZONE_TILES):
+                high = min(low + ZONE_TILES, int(b))
+                x, y = address[low:high, 1], address[low:high, 2]
+                place = {"file": name, "first": low, "tiles": high - low, "bytes": int(size[low:high].sum()), "low": int(ids[low]), "high": int(ids[high - 1])}
+                out.append(place | {"zoom": int(address[low, 0]), "x0": int(x.min()), "x1": int(x.max()), "y0": int(y.min()), "y1": int(y.max())})
+        return out
 
     def commit(self, messages: list[ShardMessage | None]) -> None:
-        shards = [s for m in messages if m is not None for s in m.shards]
         fs, root = filesystem(self.path)
-        place = self._place(root)
         if self.single:
-            if len(shards) != 1:
-                self._remove(fs, place, shards)
-                raise ValueError(f"a single-file tileset needs exactly one writing task with tiles, got {len(shards)}")
-            fs.move(f"{place}/{shards[0]['hidden']}", root)
+            files = [m.file for m in messages if m is not None and m.file]
+            if len(files) != 1:
+                self.abort(messages)
+                raise ValueError(f"a single-file tileset needs exactly one writing task with tiles, got {len(files)}")
+            fs.move(files[0], root)
             return
-        info = fs.get_file_info(root)
-        if info.is_file:
-            fs.delete_file(root)
-        fs.create_dir(root, recursive=True)
-        old = self._published(fs, root)
-        for s in shards:
-            fs.move(f"{place}/{s.pop('hidden')}", f"{root}/{s['file']}")
-        if self.beside and fs.get_file_info(place).type == pafs.FileType.Directory:
-            fs.delete_dir(place)
+        parts = sorted((m.part for m in messages if m is not None and m.part), key=lambda p: p["part"])
+        place = self._root(root)
+        fs.create_dir(f"{place}/{self.folder}", recursive=True)
+        old = [] if self.beside else [i for i in fs.get_file_info(pafs.FileSelector(root)) if i.base_name not in (self.folder, MANIFEST)]
         manifest = {
             "format": self.suffix.lstrip("."),
             "metadata": self.metadata,
-            "minzoom": min((s["minzoom"] for s in shards), default=0),
-            "maxzoom": max((s["maxzoom"] for s in shards), default=0),
-            "shards": sorted(shards, key=lambda s: s["file"]),
+            "minzoom": min((p["minzoom"] for p in parts), default=0),
+            "maxzoom": max((p["maxzoom"] for p in parts), default=0),
+            "folder": self.folder,
+            "parts": parts,
         }
-        hidden = f"{root}/.{MANIFEST}.{self.token}"
+        hidden = f"{place}/.{MANIFEST}.{self.token}"
         with fs.open_output_stream(hidden) as f:
             f.write(json.dumps(manifest).encode())
-        fs.move(hidden, f"{root}/{MANIFEST}")
-        for name in old:
-            fs.delete_file(f"{root}/{name}")
-
-    def _published(self, fs: pafs.FileSystem, root: str) -> list[str]:
-        """Shard files a reader of the directory would list today."""
-        infos = fs.get_file_info(pafs.FileSelector(root))
-        return [i.base_name for i in infos if i.is_file and i.base_name.startswith("part-") and i.base_name.endswith(self.suffix)]
-
-    def _remove(self, fs: pafs.FileSystem, place: str, shards: list[dict]) -> None:
-        for s in shards:
-            hidden = f"{place}/{s['hidden']}"
-            if fs.get_file_info(hidden).is_file:
-                fs.delete_file(hidden)
+        fs.move(hidden, f"{place}/{MANIFEST}")
+        if self.beside:  # a file gives way to a directory: the old one steps aside first and goes last
+            aside = f"{place}.old"
+            fs.move(root, aside)
+            fs.move(place, root)
+            fs.delete_file(aside)
+        for info in old:
+            (fs.delete_file if info.is_file else fs.delete_dir)(info.path)
 
     def abort(self, messages: list[ShardMessage | None]) -> None:
         fs, root = filesystem(self.path)
-        self._remove(fs, self._place(root), [s for m in messages if m is not None for s in m.shards])
+        if self.single:
+            for m in messages:
+                if m is not None and m.file and fs.get_file_info(m.file).is_file:
+                    fs.delete_file(m.file)
+            return
+        folder = self._root(root) if self.beside else f"{root}/{self.folder}"
+        if fs.get_file_info(folder).type == pafs.FileType.Directory:
+            fs.delete_dir(folder)

@@ -84,7 +84,8 @@ def test_containers_agree(spark, paths):
 
 def test_shards_by_glob_without_manifest(spark, paths):
     whole = st.read_mbtiles(spark, paths["mbtiles", None])
-    globbed = spark.read.format("mbtiles").load(paths["mbtiles", None] + "/part-*.mbtiles")
+    (folder,) = [f for f in os.listdir(paths["mbtiles", None]) if f.startswith("data-")]
+    globbed = spark.read.format("mbtiles").load(f"{paths['mbtiles', None]}/{folder}/part-*.mbtiles")
     assert st.tileset_diff(whole, globbed).count() == 0
 
 
@@ -137,9 +138,7 @@ def test_failed_write_leaves_the_old_set(spark, wkb, tmp_path):
     with pytest.raises(Exception, match="broken"):
         st.write_container(bad, path)
     assert [r.v for r in st.read_pmtiles(spark, path).collect()] == ["old"]
-    import os
-
-    assert not [f for f in os.listdir(path) if f.startswith(".part")]
+    assert len([f for f in os.listdir(path) if f.startswith("data-")]) == 1
 
 
 def test_read_errors(spark, paths, tmp_path):
@@ -352,3 +351,84 @@ print("rows", spark.read.format("mbtiles").load({paths["mbtiles", None]!r}).coun
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows" in done.stdout, done.stderr[-2000:]
+
+
+@pytest.fixture(scope="module")
+def wide_sets(spark, tmp_path_factory):
+    """Many tiles of several zooms in small shards and zones."""
+    root = tmp_path_factory.mktemp("wide")
+    i = F.col("id")
+    tiles = spark.range(64 * 64).select(
+        F.lit(6).alias("zoom"), (i % 64).cast("int").alias("tile_x"), F.floor(i / 64).cast("int").alias("tile_y"),
+        F.concat(F.lit("tile "), F.floor(i / 3)).cast("binary").alias("tile_data"),
+    )
+    tiles = tiles.unionByName(tiles.filter("tile_x < 8 AND tile_y < 8").withColumn("zoom", F.lit(3)))
+    out = {}
+    for fmt in ("mbtiles", "pmtiles"):
+        out[fmt] = f"{root}/wide.{fmt}"
+        st.write_container(tiles, out[fmt])
+    return tiles, out
+
+
+@pytest.mark.parametrize("fmt", ["mbtiles", "pmtiles"])
+def test_planning_reads_the_manifest_alone(spark, wide_sets, fmt, monkeypatch):
+    from sparktiles.sources import common, mbtiles, pmtiles
+
+    tiles, paths = wide_sets
+    read = st.read_mbtiles_tiles if fmt == "mbtiles" else st.read_pmtiles_tiles
+    assert read(spark, paths[fmt]).exceptAll(tiles).count() == 0 and read(spark, paths[fmt]).count() == tiles.count()
+    chosen = "zoom = 6 AND tile_x BETWEEN 3 AND 5 AND tile_y >= 60"
+    got, want = read(spark, paths[fmt]).filter(chosen), tiles.filter(chosen)
+    assert want.exceptAll(got).count() == 0 and got.count() == want.count() == 12
+    # What the driver does to plan, without opening a shard.
+    for module, name in ((mbtiles, "connect"), (pmtiles, "Archive")):
+        monkeypatch.setattr(module, name, lambda *a: pytest.fail("a shard was opened"))
+    source = (mbtiles.MBTilesSource if fmt == "mbtiles" else pmtiles.PMTilesSource)({"path": paths[fmt], "rows": "tiles"})
+    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual
+
+    def partitions(*filters):
+        reader = source.reader(source.schema())
+        list(reader.pushFilters(list(filters)))
+        return reader.partitions()
+
+    every = partitions()
+    assert len(partitions(EqualTo(("zoom",), 3))) < len(every)
+    few = partitions(EqualTo(("zoom",), 6), EqualTo(("tile_x",), 4), GreaterThanOrEqual(("tile_y",), 60))
+    assert 0 < len(few) < len(every) and partitions(EqualTo(("tile_x",), 64)) == []
+    assert common.MANIFEST in os.listdir(paths[fmt])
+
+
+def test_shards_have_zones_of_bounded_size(monkeypatch, tmp_path):
+    """One task's shard cut into zones: they cover its tiles once, in curve order, each within one zoom."""
+    from sparktiles.sources import common, mbtiles
+
+    monkeypatch.setattr(common, "ZONE_TILES", 10)
+    source = mbtiles.MBTilesSource({"path": f"{tmp_path}/a.mbtiles"})
+    writer = source.writer(common.TILE_STRUCT, True)
+    rows = [(z, x, y, b"t" * (x + 1)) for z in (2, 3) for x in range(4) for y in range(4)]
+    zones = writer._close(rows[::-1], "part-0.mbtiles")
+    assert [z["tiles"] for z in zones] == [10, 6, 10, 6] and [z["first"] for z in zones] == [0, 10, 16, 26]
+    assert all(a["high"] < b["low"] for a, b in zip(zones, zones[1:])) and [z["zoom"] for z in zones] == [2, 2, 3, 3]
+    assert sum(z["bytes"] for z in zones) == sum(len(r[3]) for r in rows)
+
+
+def test_a_driver_lost_before_the_pointer_leaves_the_old_set(spark, wkb, tmp_path):
+    """All shards written, the commit never run, as when the driver goes; then a whole write."""
+    from pyspark.sql.datasource import WriterCommitMessage
+
+    from sparktiles.sources import common, pmtiles
+
+    path = f"{tmp_path}/lost.pmtiles"
+    st.write_tileset(spark.createDataFrame([(wkb.point(1, 1), "old")], "geom binary, v string"), path, maxzoom=0)
+    writer = pmtiles.PMTilesSource({"path": path}).writer(common.TILE_STRUCT, True)
+    message = writer.write(iter([pa.record_batch([pa.array([0], pa.int32())] * 3 + [pa.array([b"x"])], ["zoom", "tile_x", "tile_y", "tile_data"])]))
+    assert isinstance(message, WriterCommitMessage) and len([f for f in os.listdir(path) if f.startswith("data-")]) == 2
+    assert [r.v for r in st.read_pmtiles(spark, path).collect()] == ["old"]
+    st.write_tileset(spark.createDataFrame([(wkb.point(1, 1), "new")], "geom binary, v string"), path, maxzoom=0)
+    assert [r.v for r in st.read_pmtiles(spark, path).collect()] == ["new"]
+    assert len([f for f in os.listdir(path) if f.startswith("data-")]) == 1
+
+
+def test_a_table_of_features_is_no_table_of_tiles(spark, places, tmp_path):
+    with pytest.raises(Exception, match="write_tileset builds tiles"):
+        places.write.format("mbtiles").mode("overwrite").save(f"{tmp_path}/x.mbtiles")
