@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -555,6 +555,132 @@ def q_closed_rings(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.closed_rings(st.decode_tiles(made.tiles, []))
 
 
+def q_closed_rings_open(spark: SparkSession, sf: str) -> DataFrame:
+    """Rings of which every fifth lacks its last vertex, in layers with and without such a one; lines do not count."""
+    s = _suppliers(spark, sf)
+    ring = _square(F.col("lon"), F.col("lat"), F.col("half"))
+    drawn = F.when(F.col("fid") % 5 == 0, F.slice(ring, 1, 8)).otherwise(ring)
+    layer = F.when(F.col("fid") % 5 == 0, "open").when(F.col("fid") % 5 < 3, "closed").otherwise("lines")
+    kind = F.when(F.col("fid") % 5 < 3, 3).otherwise(2)
+    return analytics.closed_rings(s.select(layer.alias("layer"), _wkb(kind, F.array(drawn)).alias("geom")))
+
+
+# --- Queries: rules and edges ------------------------------------------------------------------------------------------
+
+
+def _zigzags(spark: SparkSession, sf: str) -> DataFrame:
+    """A line per customer with a vertex per order, up and down by far more or far less than the tolerance."""
+    orders = _table(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").cast("int").alias("n")).filter("n > 1")
+    high = F.when(F.col("o_custkey") % 2 == 0, 0.2).otherwise(0.01)
+    steps = F.sequence(F.lit(0), F.col("n") - 1)
+    flat = F.flatten(F.transform(steps, lambda k: F.array(F.lit(1.0) + k * 0.1, F.lit(3.0) + (k % 2) * high)))
+    return orders.select(F.col("o_custkey").alias("fid"), _wkb(F.lit(2), F.array(flat)).alias("geom"))
+
+
+def q_simplify_zigzags(spark: SparkSession, sf: str) -> DataFrame:
+    """TIL-6: the places of the vertices that stay, with a tolerance of four grid steps below the highest zoom."""
+    cut = shapes.tile_shapes(_zigzags(spark, sf), 4, 5, buffer=0, simplification=4.0)
+    xs = F.filter(F.col("parts")[0], lambda _, i: i % 2 == 0)
+    return cut.select("fid", "zoom", F.size(xs).alias("vertices"), F.array_min(xs).alias("first"), F.array_max(xs).alias("last"))
+
+
+def _level_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """A line along a parallel for every customer, some degrees long."""
+    c = _customer(spark, sf)
+    west = F.col("lon") * 0.9
+    flat = F.array(west, F.col("lat"), west + 0.5 + F.col("fid") % 7, F.col("lat"))
+    return c.select("fid", _wkb(F.lit(2), F.array(flat)).alias("geom"))
+
+
+def q_line_tiles_by_address(spark: SparkSession, sf: str) -> DataFrame:
+    cut = shapes.tile_shapes(_level_lines(spark, sf), 0, 8, buffer=0, simplification=0.0)
+    return cut.select("fid", *TILE, F.array_min(F.col("parts")[0]).alias("least"), F.size(F.col("parts")[0]).alias("numbers"))
+
+
+def q_tile_size_report_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of real tiles as a container gives them back: unpacked, with nothing but ids and positions."""
+    path = _container(spark, _customer(spark, sf).select("fid", "lon", "lat"), "pmtiles", maxzoom=5)
+    return analytics.tile_size_report(st.read_pmtiles_tiles(spark, path))
+
+
+def q_project_edge_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Positions at and beyond the clamps, not finite ones and missing ones."""
+    kind = F.col("fid") % 9
+    c = _customer(spark, sf)
+    lon, lat = F.col("lon"), F.col("lat")
+    nan, inf = F.lit(float("nan")), F.lit(float("inf"))
+    x = F.when(kind == 0, 180.0).when(kind == 1, -180.0).when(kind == 2, lon + 200).when(kind == 3, nan).when(kind == 4, -inf).when(kind == 5, F.lit(None)).otherwise(lon)
+    y = F.when(kind == 0, 85.0).when(kind == 1, -85.0).when(kind == 6, 89.95).when(kind == 7, nan).when(kind == 8, -inf).otherwise(lat)
+    return project_world(c.withColumns({"lon": x, "lat": y})).select("fid", "wx", "wy")
+
+
+def q_geojson_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """FEA-4: tiles from GeoJSON text that runs over several lines."""
+    c = _table(spark, sf, "customer")
+    text = F.format_string('{"type":\n"Point","coordinates":\r\n[%d, %d]}', F.col("c_custkey") % 180, F.col("c_nationkey"))
+    tiles = st.build(c.select(F.col("c_custkey").alias("fid"), text.alias("geometry")), id_column="fid", minzoom=4, maxzoom=4).tiles
+    return _positions(st.decode_tiles(tiles, []))
+
+
+def q_explicit_pair_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """FEA-1, FEA-3: a stated pair of whole-number columns goes before a column that is named like a geometry."""
+    c = _table(spark, sf, "customer")
+    rows = c.select(F.col("c_custkey").alias("fid"), (F.col("c_custkey") % 170).alias("a"), F.col("c_nationkey").alias("b"), F.col("c_name").alias("lon"))
+    tiles = st.build(rows, id_column="fid", longitude="a", latitude="b", minzoom=4, maxzoom=4).tiles
+    return st.decode_tiles(tiles, [("lon", "string")]).select(F.col("feature_id").alias("fid"), *TILE, "lon")
+
+
+def q_failed_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-8: an overwrite of which a task fails, after which the old set is read."""
+    points = _customer(spark, sf).select("fid", "lon", "lat")
+    path = _container(spark, points, "mbtiles", maxzoom=4)
+    tiles = st.read_mbtiles_tiles(spark, path)
+    broken = tiles.withColumn("tile_data", F.when(F.col("tile_x") == 15, F.raise_error("no such tile").cast("binary")).otherwise(F.lit(b"x")))
+    try:
+        st.write_container(broken, path)
+    except Exception as e:  # noqa: BLE001
+        if "no such tile" not in str(e):
+            raise
+    return st.read_mbtiles(spark, path).select("feature_id", "tile_x", "tile_y")
+
+
+def q_write_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-9 and TIL-18: what is said to an empty input and to bad options, with the rows that were looked at."""
+    points = _customer(spark, sf)
+    cases = {
+        "empty": (points.filter("fid < 0"), {}),
+        "unknown": (points, {"nope": 1}),
+        "lon without lat": (points, {"lon": "lon"}),
+        "no such column": (points, {"id_column": "nothing"}),
+        "two values": (points, {"name": ["a", "b"]}),
+        "zooms": (points, {"minzoom": 5, "maxzoom": 3}),
+        "number": (points, {"maxzoom": "deep"}),
+    }
+    said = []
+    for case, (rows, options) in cases.items():
+        try:
+            st.build(rows, **options)
+            said.append((case, "none"))
+        except (st.OptionError, st.TileBuildError) as e:
+            said.append((case, type(e).__name__))
+    rows = points.agg(F.count("*").alias("rows"))
+    return spark.createDataFrame(said, "case string, error string").crossJoin(F.broadcast(rows))
+
+
+def q_geojson_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-10: lines in the order of a column, by part file and place in it."""
+    path = _scratch(spark, "ordered.geojsonl")
+    st.write_geojsonl(_customer(spark, sf).select("fid", "lon", "lat"), path, order_by="fid")
+    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
+    number = F.regexp_extract("value", r'"fid":(\d+)', 1).cast("long")
+    # In an ordered export every line of a file is above the one before it, and files do not overlap.
+    w = Window.partitionBy("file").orderBy("at")
+    risen = lines.select("file", number.alias("fid"), (number > F.lag(number).over(w)).alias("up"))
+    files = risen.groupBy("file").agg(F.min("fid").alias("low"), F.max("fid").alias("high"), F.count("*").alias("n"), F.coalesce(F.bool_and("up"), F.lit(True)).alias("up"))
+    overlap = files.alias("a").join(files.alias("b"), F.expr("a.file < b.file AND a.low <= b.high AND b.low <= a.high")).agg(F.count("*").alias("overlaps"))
+    return files.agg(F.sum("n").alias("lines"), F.bool_and("up").alias("ascending")).crossJoin(overlap)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def shipped(run: Callable) -> Callable:
         def wrapped(spark: SparkSession, sf: str) -> DataFrame:
@@ -740,6 +866,38 @@ def _geojson_nulls() -> str:
 _SUPPLIERS = _points("supplier", "s_suppkey", "s_nationkey")
 
 
+def _level_lines_sql() -> str:
+    """Pieces of lines along a parallel: one in every tile they cross, unless it is a single step of the grid."""
+    ends = """
+    ends AS (SELECT fid, lon * 0.9 AS lon, lat, lon * 0.9 + 0.5 + fid % 7 AS lon2, lat AS lat2 FROM located)"""
+    low = _grid("ends", "low")
+    high = _grid("low", "high", "lon2", "lat2").replace("SELECT *, CAST(4294967296", "SELECT * EXCLUDE (ux, uy, wx, wy), ux AS x0, uy AS y0, CAST(4294967296", 1)
+    return f"""{_with(_CUSTOMER, ends, low, high)},
+    spread AS (SELECT fid, x0, ux AS x1, uy AS y, CAST(z AS INTEGER) AS zoom FROM high, (SELECT unnest(range(0, 9)) AS z)),
+    tiled AS (SELECT *, unnest(range(x0 >> (32 - zoom), 1 + (x1 >> (32 - zoom)))) AS tx FROM spread),
+    cut AS (
+      SELECT fid, zoom, tx, y >> (32 - zoom) AS ty, (y >> (20 - zoom)) & 4095 AS py,
+        (greatest(x0, tx << (32 - zoom)) - (tx << (32 - zoom))) >> (20 - zoom) AS px,
+        (least(x1, (tx + 1) << (32 - zoom)) - (tx << (32 - zoom))) >> (20 - zoom) AS px2 FROM tiled)
+    SELECT fid, zoom, CAST(tx AS INTEGER) AS tile_x, CAST(ty AS INTEGER) AS tile_y, CAST(least(px, py) AS INTEGER) AS least,
+      CAST(4 AS INTEGER) AS numbers FROM cut WHERE px < px2"""
+
+
+def _varint(v: str) -> str:
+    return f"(CASE WHEN {v} < 128 THEN 1 WHEN {v} < 16384 THEN 2 WHEN {v} < 2097152 THEN 3 WHEN {v} < 268435456 THEN 4 ELSE 5 END)"
+
+
+def _real_sizes_sql() -> str:
+    """Bytes of a tile by the format: features of id, type and one point, in a layer of their name without keys."""
+    zigzag = "(CASE WHEN {0} >= 0 THEN 2 * {0} ELSE -2 * {0} - 1 END)"
+    x, y = _varint(zigzag.format("px")), _varint(zigzag.format("py"))
+    return f"""{_with(_CUSTOMER, _WORLD, _spread(0, 5), _BUFFERED, _QUANTIZED)},
+    bodies AS (SELECT zoom, tile_x, tile_y, (1 + {_varint("fid")}) + 2 + (2 + 1 + {x} + {y}) AS body FROM grid),
+    layers AS (SELECT zoom, sum(1 + {_varint("body")} + body) + 2 + length('points') + 5 AS layer FROM bodies GROUP BY zoom, tile_x, tile_y),
+    sized AS (SELECT zoom, CAST(1 + {_varint("layer")} + layer AS INTEGER) AS size FROM layers)
+    SELECT zoom, count(*) AS tiles, CAST(sum(size) AS BIGINT) AS bytes, max(size) AS largest, quantile_cont(size, 0.5) AS median FROM sized GROUP BY zoom"""
+
+
 def _geojson_squares() -> str:
     corners = ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))
     ring = " || ',' || ".join(_pair(f"(lon + half * {i})", f"(lat + half * {j})", 3) for i, j in corners)
@@ -975,5 +1133,39 @@ def _tile_sql() -> dict[str, str]:
         "overwrite_forms": f"""{_with(_CUSTOMER, _WORLD, _spread(4, 4), _BUFFERED)}
             SELECT fid AS feature_id, tile_x, tile_y FROM tiled WHERE fid % 2 = 0""",
         "extend_zooms_shapes": _extend_shapes_sql(),
+        "closed_rings_open": """SELECT CASE WHEN s_suppkey % 5 = 0 THEN 'open' WHEN s_suppkey % 5 < 3 THEN 'closed' ELSE 'lines' END AS layer,
+              CASE WHEN max(s_suppkey % 5) < 3 THEN min(s_suppkey % 5) > 0 END AS closed
+            FROM supplier GROUP BY ALL""",
+        "simplify_zigzags": """WITH lines AS (SELECT o_custkey AS fid, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 1),
+            zooms AS (SELECT *, CAST(z AS INTEGER) AS zoom, 360.0::DOUBLE / (1 << z) AS side FROM lines, (SELECT unnest([4, 5]) AS z))
+            SELECT fid, zoom, CAST(CASE WHEN zoom = 5 OR fid % 2 = 0 THEN n ELSE 2 END AS INTEGER) AS vertices,
+              CAST(floor(1.0::DOUBLE / side * 4096) AS INTEGER) AS first, CAST(floor((1.0::DOUBLE + (n - 1) * 0.1::DOUBLE) / side * 4096) AS INTEGER) AS last
+            FROM zooms""",
+        "line_tiles_by_address": _level_lines_sql(),
+        "tile_size_report_tiles": _real_sizes_sql(),
+        "project_edge_rows": f"""{_with(_CUSTOMER)},
+            edges AS (
+              SELECT fid, CASE fid % 9 WHEN 0 THEN 180 WHEN 1 THEN -180 WHEN 2 THEN lon + 200 WHEN 3 THEN 720 WHEN 4 THEN 720
+                  WHEN 5 THEN NULL ELSE lon END AS lon,
+                CASE fid % 9 WHEN 0 THEN 85 WHEN 1 THEN -85 WHEN 6 THEN 89.9 WHEN 7 THEN 89.9 WHEN 8 THEN 89.9 ELSE lat END AS lat
+              FROM located),
+            world_raw AS (
+              SELECT fid, CAST(4294967296 AS DOUBLE) * ((CASE WHEN lon = 720 THEN 720 ELSE greatest(-360, least(360, lon)) END + 180) / 360) AS vx, lon,
+                CAST(4294967296 AS DOUBLE) * (1 - ln(tan(lat * pi() / 180) + 1 / cos(lat * pi() / 180)) / pi()) / 2 AS vy FROM edges)
+            SELECT fid, CASE WHEN lon IS NOT NULL THEN CAST(CASE WHEN vx >= 0 THEN floor(vx + 0.5) ELSE -floor(0.5 - vx) END AS BIGINT) & 4294967295 END AS wx,
+              greatest(0, least(4294967295, CAST(CASE WHEN vy >= 0 THEN floor(vy + 0.5) ELSE -floor(0.5 - vy) END AS BIGINT))) AS wy FROM world_raw""",
+        "geojson_tiles": f"""WITH located AS (SELECT c_custkey AS fid, CAST(c_custkey % 180 AS DOUBLE) AS lon, CAST(c_nationkey AS DOUBLE) AS lat FROM customer),
+            {_with(_WORLD, _spread(4, 4), _BUFFERED, _QUANTIZED).removeprefix("WITH ")}
+            SELECT fid, zoom, tile_x, tile_y, tile_x * {_side()} + px * (CAST(1 AS BIGINT) << (20 - zoom)) AS x,
+              tile_y * {_side()} + py * (CAST(1 AS BIGINT) << (20 - zoom)) AS y FROM grid""",
+        "explicit_pair_tiles": f"""WITH located AS (SELECT c_custkey AS fid, CAST(c_custkey % 170 AS DOUBLE) AS lon, CAST(c_nationkey AS DOUBLE) AS lat, c_name FROM customer),
+            {_with(_WORLD, _spread(4, 4), _BUFFERED).removeprefix("WITH ")}
+            SELECT fid, zoom, tile_x, tile_y, c_name AS lon FROM tiled""",
+        "failed_overwrite": f"""{_with(_CUSTOMER, _WORLD, _spread(4, 4), _BUFFERED)}
+            SELECT fid AS feature_id, tile_x, tile_y FROM tiled""",
+        "write_errors": """SELECT "case", error, (SELECT count(*) FROM customer) AS rows FROM (VALUES ('empty', 'TileBuildError'),
+              ('unknown', 'OptionError'), ('lon without lat', 'OptionError'), ('no such column', 'OptionError'), ('two values', 'OptionError'),
+              ('zooms', 'OptionError'), ('number', 'OptionError')) AS t("case", error)""",
+        "geojson_ordered": "SELECT count(*) AS lines, true AS ascending, CAST(0 AS BIGINT) AS overlaps FROM customer",
         "closed_rings": "SELECT 'features' AS layer, count(*) > 0 AS closed FROM supplier",
     }

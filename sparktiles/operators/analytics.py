@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import wkb
+from ..functions.wkbread import read_wkb
 
 ADDRESS = ["zoom", "tile_x", "tile_y"]
 
@@ -64,16 +67,13 @@ def stray_addresses(features: DataFrame, tiles: DataFrame) -> DataFrame:
 
 @F.pandas_udf(T.BooleanType())
 def rings_closed(geom):
-    """Whether every ring of a WKB polygon ends where it starts; NULL for other types."""
-
-    def check(blob: bytes | None) -> bool | None:
-        g = None if blob is None else wkb.from_wkb(bytes(blob))
-        if g is None or g.code not in (3, 6):
-            return None
-        rings = g.coords if g.code == 3 else [r for p in g.coords for r in p]
-        return all(len(r) > 3 and (r[0] == r[-1]).all() for r in rings)
-
-    return geom.map(check)
+    """Whether every ring of a WKB polygon has four vertices or more and ends where it starts; NULL for other types."""
+    headers, r = read_wkb(pa.Array.from_pandas(geom, type=pa.binary()))
+    ends = np.cumsum(r.size)
+    sound = (r.size > 3) & (r.xy[ends - r.size] == r.xy[ends - 1]).all(axis=1) if len(r) else np.zeros(0, bool)
+    broken = np.bincount(r.row[~sound], minlength=len(geom)) > 0
+    polygon = np.isin(headers.code, (3, 6))
+    return pd.Series(np.where(polygon, ~broken, None), dtype=object)
 
 
 def closed_rings(features: DataFrame) -> DataFrame:
