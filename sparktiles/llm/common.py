@@ -152,6 +152,21 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return out
 
 
+def distinct_spans(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of one span of each kind, kind of every span). Spans are grouped by hashes and then compared byte by byte."""
+    _, first, group = np.unique(span_hashes(data, starts, lengths), return_index=True, return_inverse=True)
+    like = first[group]
+    same = lengths[like] == lengths
+    if same.all():
+        same = per_row(data[ranges(starts, lengths)] != data[ranges(starts[like], lengths)], np.concatenate([[0], np.cumsum(lengths)])) == 0
+    odd = np.flatnonzero(~same)  # another span of the same hash: kinds of their own
+    if len(odd):
+        group = group.copy()
+        group[odd] = len(first) + np.arange(len(odd))
+        first = np.concatenate([first, odd])
+    return first, group
+
+
 class Words:
     """Maximal runs of bytes other than space and \\t..\\r, which never cross rows: places, hashes and the rows' ranges."""
 

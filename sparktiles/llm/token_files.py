@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.common import filesystem
-from .common import arrow_map, shared_folder, slices, stored, table, text_bytes
+from .common import Words, arrow_map, distinct_spans, ranges, shared_folder, slices, stored, table, text_bytes
 
 MAGIC = b"PLN1"
 BLOCK_IDS = 1 << 16
@@ -39,6 +39,8 @@ CACHED_WORDS = 500_000
 MANIFEST = "part int, seq int, path string, n_docs long, n_ids long"
 _TAIL = b".,;:!?|*#$%&"
 _PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
 #: Where this stands in a text, ASCII letters are not lowered beforehand: marks that may join them, and special tokens.
 _MARK = re.compile(rb"[\xcc\xcd]|<\|")
 
@@ -166,25 +168,45 @@ class WordEncoder:
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
         self.words: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(counts, ids) with the end id behind each text."""
-        end = struct.pack("<I", end_id)
-        if self.by_word:
-            split = [(t if _MARK.search(t) else t.lower()).split() for t in texts]
-            self._learn(split)
-            known = self.words.__getitem__
-            each = [b"".join(map(known, ws)) + end for ws in split]
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(counts, ids) with the end id behind each text. Words are looked up once for all the places at which they stand."""
+        if not self.by_word:
+            raw = data.tobytes()
+            texts = [raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            counts = np.array([len(x.ids) for x in found], np.int64)
+            ids = np.array([t for x in found for t in x.ids], "<u4")
         else:
-            found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-            each = [np.array(x.ids, "<u4").tobytes() + end for x in found]
-        return np.array([len(x) // 4 for x in each], np.int64), np.frombuffer(b"".join(each), "<u4")
-
-    def _learn(self, split: list[list[bytes]]) -> None:
+            words = Words(self._lowered(data, offsets), offsets)
+            first, group = distinct_spans(words.data, words.starts, words.ends - words.starts)
+            raw = words.data.tobytes()
+            texts = [raw[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
+            self._learn(texts)
+            found = [self.words[w] for w in texts]
+            size = np.array([len(x) // 4 for x in found], np.int64)
+            each = size[group]
+            ids = np.frombuffer(b"".join(found), "<u4")[ranges((np.cumsum(size) - size)[group], each)]
+            upto = np.concatenate([[0], np.cumsum(each)])
+            counts = np.diff(upto[words.offsets])
+        out = np.full(len(ids) + len(counts), end_id, "<u4")
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+        return counts + 1, out
+
+    @staticmethod
+    def _lowered(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """ASCII letters in lower case, but for texts with a mark."""
+        low = _LOWER[data]
+        marked = {int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in _MARK.finditer(data.tobytes())}
+        for row in marked:
+            low[offsets[row] : offsets[row + 1]] = data[offsets[row] : offsets[row + 1]]
+        return low
+
+    def _learn(self, texts: list[bytes]) -> None:
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
         words = self.words
         missing, cut = set(), []
-        for w in set().union(*split).difference(words):
+        for w in set(texts).difference(words):
             if w[-1] in _PLAIN:
                 missing.add(w)
                 continue
@@ -260,9 +282,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
         for batch in batches:
             data, at = text_bytes(batch.column("text"))
-            raw = memoryview(data)
             for low, high in slices(at):
-                counts, ids = encoder.encode([bytes(raw[a:b]) for a, b in zip(at[low:high], at[low + 1 : high + 1], strict=True)], end_id)
+                counts, ids = encoder.encode(data[at[low] : at[high]], at[low : high + 1] - at[low], end_id)
                 out = out or TokenFile(f"{folder}/{uuid.uuid4().hex}.tok", bits, batch.column("doc_id").type)
                 out.add(batch.column("doc_id").slice(low, high - low), counts, ids)
                 if out.n_ids >= FILE_IDS:

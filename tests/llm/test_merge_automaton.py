@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from sparktiles.llm import common
 from sparktiles.llm import merge_automaton as ma
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -104,7 +105,7 @@ def test_random_vocabularies_equal_merging_pair_by_pair(seed):
 
 
 def test_spans_of_one_hash_are_told_apart(automaton, library, monkeypatch):
-    monkeypatch.setattr(ma, "span_hashes", lambda data, starts, lengths: lengths.astype(np.uint64))
+    monkeypatch.setattr(common, "span_hashes", lambda data, starts, lengths: lengths.astype(np.uint64))
     text = "some words and other words once more, some of one length"
     counts, ids = ma.TextEncoder(automaton).encode(*packed([text.encode()]))
     assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
