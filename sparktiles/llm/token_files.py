@@ -14,6 +14,7 @@ row per file. The manifest is a Spark table, so the files of lost or repeated ta
 
 from __future__ import annotations
 
+import functools
 import io
 import os
 import re
@@ -238,6 +239,12 @@ class WordEncoder:
             self.words.update(zip(group, [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])], strict=True))
 
 
+@functools.cache
+def encoder_of(path: str, by_word: bool) -> WordEncoder:
+    """One encoder for all tasks of a worker process, which share the words they have met."""
+    return WordEncoder(path, by_word)
+
+
 def drops_white_space(path: str) -> bool:
     """Whether a tokenizers file is of the kind WordEncoder may take word by word: lower case, words split by a pattern that
     leaves white space out, byte-level pairs with word ends."""
@@ -273,7 +280,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, out, part = WordEncoder(tokenizer, by_word), None, TaskContext.get().partitionId()
+        encoder, out, part = encoder_of(tokenizer, by_word), None, TaskContext.get().partitionId()
         made: list[tuple] = []
 
         def close() -> None:
