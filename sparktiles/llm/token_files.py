@@ -36,10 +36,17 @@ from .common import Words, arrow_map, distinct_spans, ranges, shared_folder, sli
 MAGIC = b"PLN1"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 25
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
+# Bytes of texts that are looked up together: the more, the fewer of their words are looked up twice.
+ENCODED_BYTES = 4 << 20
 MANIFEST = "part int, seq int, path string, n_docs long, n_ids long"
 _TAIL = b".,;:!?|*#$%&"
 _PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+_OTHER, _LETTER, _DIGIT, _GAP = range(4)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[list(b" \t\n\v\f\r")] = _GAP
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KIND[list(b"0123456789")] = _DIGIT
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 #: Where this stands in a text, ASCII letters are not lowered beforehand: marks that may join them, and special tokens.
@@ -154,6 +161,41 @@ def read_token_file(path: str) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarra
 # --- Encoding ----------------------------------------------------------------------------------------------------------
 
 
+def word_parts(words: Words, whole_rows: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the parts that the tokenizer's pattern cuts words into: runs of letters, single digits, runs of other signs,
+    and contractions. Words with other signs than ASCII and the letters of Latin-1, and those of `whole_rows`, are left whole. There
+    are far fewer parts than words."""
+    data, n = words.data, len(words.data)
+    kind = _KIND[data]
+    whole = np.zeros(len(words.starts) + 1, bool)
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]  # all but the signs for times and divided by
+    kind[lead] = kind[lead + 1] = _LETTER
+    foreign = data >= 0x80
+    foreign[lead] = foreign[lead + 1] = False
+    whole[np.searchsorted(words.starts, np.flatnonzero(foreign), "right") - 1] = True
+    for row in whole_rows:
+        whole[words.offsets[row] : words.offsets[row + 1]] = True
+    begins = np.zeros(n + 3, bool)
+    begins[words.starts] = True
+    start = begins.copy()
+    cut = np.flatnonzero(((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)) & (kind[1:] != _GAP) & (kind[:-1] != _GAP)) + 1
+    start[cut[~whole[np.searchsorted(words.starts, cut, "right") - 1]]] = True
+    quotes = np.flatnonzero((data == 0x27) & start[:n])
+    quotes = quotes[~whole[np.searchsorted(words.starts, quotes, "right") - 1]]
+    far = np.concatenate([data, np.zeros(3, np.uint8)])
+    one, two = far[quotes + 1], far[quotes + 2]
+    short = ~begins[quotes + 1] & np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = ~begins[quotes + 1] & ~begins[quotes + 2] & np.isin(one.astype(int) << 8 | two, [c[0] << 8 | c[1] for c in (b"re", b"ve", b"ll")])
+    start[quotes[short | long] + 1] = False
+    behind = np.concatenate([quotes[short] + 2, quotes[long] + 3])
+    behind = behind[behind < n]
+    start[behind[kind[behind] != _GAP]] = True
+    starts = np.flatnonzero(start[:n])
+    own = np.searchsorted(words.starts, starts, "right") - 1
+    return starts, np.minimum(np.append(starts[1:], n), words.ends[own])
+
+
 class WordEncoder:
     """Whole texts through a tokenizers file, each word encoded once while it is remembered.
 
@@ -178,29 +220,30 @@ class WordEncoder:
             counts = np.array([len(x.ids) for x in found], np.int64)
             ids = np.array([t for x in found for t in x.ids], "<u4")
         else:
-            words = Words(self._lowered(data, offsets), offsets)
-            first, group = distinct_spans(words.data, words.starts, words.ends - words.starts)
-            raw = words.data.tobytes()
-            texts = [raw[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
+            low, marked = self._lowered(data, offsets)
+            starts, ends = word_parts(Words(low, offsets), marked)
+            first, group = distinct_spans(low, starts, ends - starts)
+            raw = low.tobytes()
+            texts = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
             self._learn(texts)
             found = [self.words[w] for w in texts]
             size = np.array([len(x) // 4 for x in found], np.int64)
             each = size[group]
             ids = np.frombuffer(b"".join(found), "<u4")[ranges((np.cumsum(size) - size)[group], each)]
             upto = np.concatenate([[0], np.cumsum(each)])
-            counts = np.diff(upto[words.offsets])
+            counts = np.diff(upto[np.searchsorted(starts, offsets)])
         out = np.full(len(ids) + len(counts), end_id, "<u4")
         out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
         return counts + 1, out
 
     @staticmethod
-    def _lowered(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """ASCII letters in lower case, but for texts with a mark."""
+    def _lowered(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """ASCII letters in lower case, but for texts with a mark, and those texts."""
         low = _LOWER[data]
         marked = {int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in _MARK.finditer(data.tobytes())}
         for row in marked:
             low[offsets[row] : offsets[row + 1]] = data[offsets[row] : offsets[row + 1]]
-        return low
+        return low, sorted(marked)
 
     def _learn(self, texts: list[bytes]) -> None:
         if len(self.words) > CACHED_WORDS:
@@ -289,7 +332,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
         for batch in batches:
             data, at = text_bytes(batch.column("text"))
-            for low, high in slices(at):
+            for low, high in slices(at, ENCODED_BYTES):
                 counts, ids = encoder.encode(data[at[low] : at[high]], at[low : high + 1] - at[low], end_id)
                 out = out or TokenFile(f"{folder}/{uuid.uuid4().hex}.tok", bits, batch.column("doc_id").type)
                 out.add(batch.column("doc_id").slice(low, high - low), counts, ids)

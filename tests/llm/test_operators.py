@@ -599,6 +599,8 @@ def test_word_encoder_equals_the_tokenizer():
     whole, encoder = Tokenizer.from_file(path), token_files.WordEncoder(path)
     odd = ['"quoted"### it\'s. WE\'LL,, x|y', "J̌ T̈ İstanbul ΣΑΣ ﬁ", "a b　c d\x1ce\x85f", "<|endoftext|>, a<|startoftext|>b", "1,2.3!!", "é. é, ́."]
     texts = [t or "" for _, t, *_ in ROWS] + odd
+    texts += ["it's'll x'sy a''s 'twas 'S 12'3 a'reb '' ' -'s 're", "don'", "t '", "s", "'", "ll", "a1b22c-3", "Ab_cD'VEx", "\x1f\x00a b\x7f"]
+    texts += ["Été,été'S niño9 ÑU×2÷ Straße-ß ÿÿ", "é", "\u0301x é", "n\u0303o ÀÈ.Ì", "aİ,b é中文é Ǆé", "''é'ré 'é", "ñ'll"]
     raw = [t.encode() for t in texts]
     counts, ids = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]), 2)
     expected = [whole.encode(t, add_special_tokens=False).ids + [2] for t in texts]
