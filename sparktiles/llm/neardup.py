@@ -36,8 +36,9 @@ HASHES = ROWS * BANDS
 #: Equal samples, of HASHES, from which a pair is compared exactly: 4.5 standard deviations under SIMILARITY.
 LEAST_EQUAL = 26
 DF_BITS = 16
-#: Pivots of a bucket in the first rounds; texts on a side of a block after them; pairs a text then gives first with another class.
-PIVOTS, BLOCK_TEXTS, FIRST_PAIRS = (1, 4, 16), 512, 2
+#: Pivots of a bucket in the first rounds, and texts that are compared with them in one place; texts on a side of a block after them; pairs
+#: a text gives at first.
+PIVOTS, PART_TEXTS, BLOCK_TEXTS, FIRST_PAIRS = (1, 4, 16), 4096, 512, 2
 #: Links that are few enough to be joined to classes on the driver.
 FEW_LINKS = 50_000
 #: Shingles looked at together: bounds the memory of a long text.
@@ -229,21 +230,6 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.select("id", "band").join(sizes, "band").select("id", "band", "n")
 
 
-def _promising(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs that agree in LEAST_EQUAL samples."""
-    drawn = texts.select("id", "samples")
-    both = pairs.join(drawn, "id").join(drawn.select(F.col("id").alias("pivot"), F.col("samples").alias("other")), "pivot")
-
-    def make():
-        def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in ("samples", "other"))
-            yield batch.select(["id", "pivot"]).filter(pa.array((a == b).sum(axis=1) >= LEAST_EQUAL))
-
-        return step
-
-    return arrow_map(both.select("id", "pivot", "samples", "other"), make, "id binary, pivot binary")
-
-
 def _verified(pairs: DataFrame, vectors: DataFrame, similarity: float) -> DataFrame:
     """Pairs whose weighted Jaccard similarity is reached."""
     other = vectors.select(F.col("id").alias("pivot"), F.col("shingles").alias("shingles2"), F.col("weights").alias("weights2"))
@@ -273,6 +259,50 @@ def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(labelled.join(facts, "band").select("id", "band", "degree", "root", "main", "others", "mains"))
 
 
+def _pivot_pairs(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+    """id and pivot: the FIRST_PAIRS likeliest pairs of a text with a pivot of another class, over all its open buckets.
+
+    Buckets are dealt out in parts of about PART_TEXTS texts, each with all pivots in front, and samples are compared where they
+    stand: only pairs that agree in LEAST_EQUAL samples leave the task."""
+    order = Window.partitionBy("band").orderBy(F.desc("degree"), "id")
+    parts = F.ceil((F.col("others") + F.col("mains")) / PART_TEXTS).cast("int")
+    named = rows.select("band", "id", "root", "degree", parts.alias("__parts"))
+    pivots = named.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    members = named.withColumns({"rank": F.lit(most + 1), "part": F.expr("int(pmod(xxhash64(id), __parts))")})
+    columns = ("band", "part", "rank", "id", "root")
+    both = pivots.select(*columns).unionByName(members.select(*columns)).join(texts.select("id", "samples"), "id")
+    dealt = both.select(*columns, "samples").repartition("band", "part").sortWithinPartitions("band", "part", "rank", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None  # the pivots of the group that the last batch ended in
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            block = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            band, part, rank = (block.column(c).to_numpy() for c in ("band", "part", "rank"))
+            ids, roots = (np.array(block.column(c).to_pylist(), "S16") for c in ("id", "root"))
+            drawn = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint32).reshape(-1, HASHES)
+            begins = np.concatenate([[True], (band[1:] != band[:-1]) | (part[1:] != part[:-1])])
+            group = np.cumsum(begins) - 1
+            first = np.flatnonzero(begins)[group]
+            names = block.column("id").combine_chunks()
+            for k in range(most):
+                a = np.flatnonzero(rank > most)
+                b = np.minimum(first[a] + k, len(band) - 1)
+                fit = (group[a] == group[b]) & (rank[b] <= most) & (roots[a] != roots[b]) & (ids[a] != ids[b])
+                a, b = a[fit], b[fit]
+                equal = (drawn[a] == drawn[b]).sum(axis=1)
+                like = equal >= LEAST_EQUAL
+                if like.any():
+                    yield pa.RecordBatch.from_arrays([names.take(pa.array(a[like])), names.take(pa.array(b[like])), pa.array(equal[like].astype(np.int32))], ["id", "pivot", "equal"])
+            held = block.filter(pa.array((group == group[-1]) & (rank <= most)))
+
+    found = dealt.mapInArrow(run, "id binary, pivot binary, equal int")
+    best = found.groupBy("id").agg(F.slice(F.sort_array(F.collect_set(F.struct("equal", "pivot")), asc=False), 1, FIRST_PAIRS).alias("best"))
+    return best.select("id", F.explode("best").alias("best")).select("id", F.col("best.pivot").alias("pivot"))
+
+
 def _blocks(rows: DataFrame) -> DataFrame:
     """Rows of open buckets with the block (i, kind, j) they are compared in: some texts outside the main class with some inside it, or
     with some others outside. A block has about 2 * BLOCK_TEXTS texts; a bucket has so many blocks that every pair of different classes
@@ -290,7 +320,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 def _likely(ids: np.ndarray, drawn: np.ndarray, band: int, roots: np.ndarray, outside: np.ndarray, most: int) -> tuple[list, bool]:
     """(a, b) of texts of different classes in a block that agree in LEAST_EQUAL samples, and whether some were left for later: a text
-    gives its `most` best pairs with each other class. Pairs belong to the first band they share."""
+    gives its `most` best pairs. Pairs belong to the first band they share."""
     keys, out, cut = band_keys(drawn), [], False
     for a in np.flatnonzero(outside):
         b = np.flatnonzero((roots != roots[a]) & (~outside | (np.arange(len(ids)) > a)))
@@ -299,12 +329,9 @@ def _likely(ids: np.ndarray, drawn: np.ndarray, band: int, roots: np.ndarray, ou
         same = keys[b] == keys[a]
         first = keys[a, same.argmax(axis=1)] == band
         b, equal = b[first], equal[first]
-        order = np.lexsort((ids[b], -equal, roots[b]))
-        b = b[order]
-        starts = np.flatnonzero(np.concatenate([[True], roots[b][1:] != roots[b][:-1]])) if len(b) else np.zeros(0, int)
-        place = np.arange(len(b)) - np.repeat(starts, np.diff(np.append(starts, len(b))))
-        cut |= bool((place >= most).any())
-        out += [(a, x) for x in b[place < most]]
+        order = np.lexsort((ids[b], -equal))
+        cut |= len(b) > most
+        out += [(a, x) for x in b[order[:most]]]
     return out, cut
 
 
@@ -335,8 +362,8 @@ def _joined(roots: DataFrame, matched: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
-    """id and pivot of similar texts. Any two texts of a bucket have been compared or are of one class: a pivot leaves its bucket when
-    it has been compared with all texts of other classes there, others leave only with a bucket that is one class."""
+    """id and pivot of similar texts. Rounds with pivots join most texts of a bucket cheaply; then any two texts of a bucket that are
+    still of different classes are compared, so a text leaves only with a bucket that is one class."""
     members = stored(_shared(bands(texts)))
     if members.isEmpty():
         return members.select("id", F.col("id").alias("pivot"))
@@ -345,39 +372,30 @@ def links(docs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float
     # Texts that share most buckets come first: of a group of edited copies that is the text they are copies of.
     degree = stored(members.groupBy("id").agg(F.sum("n").alias("degree")))
     ranked = stored(members.select("id", "band").join(degree, "id"))
-    tested = found = None
-    roots = texts.sparkSession.createDataFrame([], "id binary, root binary")
-
-    def settle(pairs: DataFrame, likely: bool) -> None:
-        nonlocal tested, found, roots
-        if tested is not None:
-            pairs = pairs.join(tested, ["id", "pivot"], "left_anti")
-        pairs = stored(pairs)
-        matched = stored(_verified(pairs if likely else _promising(pairs, texts), known, similarity))
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = matched if found is None else found.unionByName(matched)
-        roots = _joined(roots, matched)
+    found = texts.sparkSession.createDataFrame([], "id binary, pivot binary")
+    tested, roots = found, texts.sparkSession.createDataFrame([], "id binary, root binary")
+
+    def settle(pairs: DataFrame) -> None:
+        nonlocal found, roots
+        matched = stored(_verified(pairs, known, similarity))
+        found, roots = found.unionByName(matched), _joined(roots, matched)
 
     for most in PIVOTS:
         rows = _open(ranked, roots)
         if rows.isEmpty():
-            break
-        order = Window.partitionBy("band").orderBy(F.desc("degree"), "id")
-        pivots = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
-        pivots = stored(pivots.select("band", F.col("id").alias("pivot"), F.col("root").alias("pivot_root")))
-        against = rows.select("band", "id", "root").join(pivots, "band").filter("root <> pivot_root")
-        settle(against.select(F.greatest("id", "pivot").alias("id"), F.least("id", "pivot").alias("pivot")).distinct(), False)
-        ranked = stored(rows.join(pivots.select("band", F.col("pivot").alias("id")), ["band", "id"], "left_anti").select("id", "band", "degree"))
+            return found.distinct()
+        settle(stored(_pivot_pairs(rows, texts, most)))
     most = FIRST_PAIRS
     while True:
         rows = _open(ranked, roots)
         if rows.isEmpty():
             return found.distinct()
         pairs = stored(_cross_pairs(rows, texts, most).distinct())
-        settle(pairs.filter("id IS NOT NULL"), True)
+        fresh = stored(pairs.filter("id IS NOT NULL").join(tested, ["id", "pivot"], "left_anti"))
+        settle(fresh)
         if pairs.filter("id IS NULL").isEmpty():
             return found.distinct()
-        ranked, most = rows, most * 8
+        tested, ranked, most = tested.unionByName(fresh), rows.select("id", "band", "degree"), most * 8
 
 
 # --- Spark: classes ----------------------------------------------------------------------------------------------------
