@@ -47,7 +47,7 @@ STAGES = [
     ("pieces", encode),
 ]
 
-#: No SQL expresses these stages; tests compare each with a brute-force version.
+#: No SQL expresses these stages. Their operators are compared with brute-force versions in the tests; the rows of run() are not yet.
 ORACLE_SQL = None
 
 
