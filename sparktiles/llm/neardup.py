@@ -9,9 +9,10 @@ HASHES samples are drawn per text such that two texts agree in one with the prob
 Bands of ROWS samples bucket the texts. In every bucket all are compared with a few pivots, the texts that share most buckets;
 then, in blocks, those outside the bucket's largest class with everyone of another class. Only texts that are of one class already
 are not compared, so no link between classes is lost, and a bucket costs its size times the texts outside its largest class.
-Compared means: an estimate from the samples that a similar pair passes but for one in 100,000, then the exact weighted Jaccard
-similarity of the texts; a text's best estimates are tried first. Linked texts are classes, found by alternating stars. Equal texts
-are one text throughout.
+Compared means: a bound that no similar pair fails, then the exact weighted Jaccard similarity of the texts; a text's best estimates
+from the samples are tried first. For the bound a text's weights are added up by BINS ranges of the shingles' hashes: what two texts
+have in common is at most the sum of the lesser weights of each range. Linked texts are classes, found by alternating stars. Equal
+texts are one text throughout.
 
 At a similarity of 0.8 a pair shares no bucket once in 100,000. Null texts are empty. Class ids are the smallest doc_id of the
 class, null only if no document of it has an id.
@@ -33,8 +34,12 @@ from .common import U64, Words, arrow_map, gram_places, grams, mix, multipliers,
 SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 3, 16
 HASHES = ROWS * BANDS
-#: Equal samples, of HASHES, from which a pair is compared exactly: 4.5 standard deviations under SIMILARITY.
-LEAST_EQUAL = 26
+#: Ranges of hashes, a power of two, by which a text's weights are added up for the bound; and the bytes that stand for a text where
+#: texts are compared: 16 bits of each sample, the total of the weights, one byte for each range.
+BINS = 256
+FACE = 2 * HASHES + 4 + BINS
+#: Shares of the total that a range's byte may stand for: none, then BINS * 32 parts in steps of equal ratio.
+LEVELS = np.concatenate([[0], np.exp(np.linspace(-np.log(BINS * 32), 0, 255))]).astype(np.float32)
 DF_BITS = 16
 #: Pivots of a bucket in the first rounds, and texts that are compared with them in one place; texts on a side of a block after them; pairs
 #: a text gives at first.
@@ -110,6 +115,33 @@ def weighted_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarra
     return float(least / (wa.sum(dtype=np.float64) + wb.sum(dtype=np.float64) - least))
 
 
+def face(drawn: np.ndarray, found: np.ndarray, weights: np.ndarray) -> bytes:
+    """What a text is compared by before its shingles are: FACE bytes. Weights of a range are rounded up."""
+    ranged = np.bincount((found >> U64(64 - BINS.bit_length() + 1)).astype(np.int64), weights, minlength=BINS)
+    total = np.array([ranged.sum()], np.float32)
+    level = np.searchsorted(LEVELS, (ranged / max(total[0], 1e-30)).astype(np.float32)).clip(0, 255)
+    return drawn.astype(np.uint16).tobytes() + total.tobytes() + level.astype(np.uint8).tobytes()
+
+
+class Faces:
+    """Faces of many texts: samples, weights by range, and totals."""
+
+    def __init__(self, joined: bytes) -> None:
+        raw = np.frombuffer(joined, np.uint8).reshape(-1, FACE)
+        self.samples = raw[:, : 2 * HASHES].copy().view(np.uint16)
+        total = raw[:, 2 * HASHES : 2 * HASHES + 4].copy().view(np.float32)
+        self.totals = total[:, 0]
+        self.ranged = LEVELS[raw[:, 2 * HASHES + 4 :]] * total
+
+    def may_reach(self, a: np.ndarray | int, b: np.ndarray, similarity: float) -> np.ndarray:
+        """Whether pairs can be as similar as that; never false for a pair that is."""
+        common = np.minimum(self.ranged[a], self.ranged[b]).sum(axis=1)
+        return common * (1 + similarity) >= similarity * (self.totals[a] + self.totals[b]) * (1 - 1e-4)
+
+    def equal(self, a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
+        return (self.samples[a] == self.samples[b]).sum(axis=1)
+
+
 # --- Spark: from documents to samples ----------------------------------------------------------------------------------
 
 
@@ -146,7 +178,7 @@ def _order_key() -> F.Column:
 
 
 def samples(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """doc_id, id, okey and samples of every row; a narrow table, written once."""
+    """doc_id, id, okey, samples and face of every row; a narrow table, written once."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -157,21 +189,25 @@ def samples(docs: DataFrame, idf: np.ndarray) -> DataFrame:
             for part, data, at in text_slices(batch):
                 words = Words(data, at)
                 found, weights, cuts = shingles(words, words.hashes(), shared.value)
-                drawn = [sampler.of(found[a:b], weights[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                rows = [(found[a:b], weights[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                drawn = [sampler.of(*row) for row in rows]
+                made = [pa.array([x.tobytes() for x in drawn], pa.binary()), pa.array([face(x, *row) for x, row in zip(drawn, rows, strict=True)], pa.binary())]
                 columns = [part.column(c) for c in ("doc_id", "id", "okey")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(drawn, pa.binary())], ["doc_id", "id", "okey", "samples"])
+                yield pa.RecordBatch.from_arrays([*columns, *made], ["doc_id", "id", "okey", "samples", "face"])
 
         return step
 
     rows = docs.select("doc_id", _text_id().alias("id"), _order_key().alias("okey"), "text")
-    return stored(arrow_map(rows, make, f"doc_id {kind}, id binary, okey long, samples binary"))
+    return stored(arrow_map(rows, make, f"doc_id {kind}, id binary, okey long, samples binary, face binary"))
 
 
 def _bucketed(rows: DataFrame, key: str) -> DataFrame:
     spark = rows.sparkSession
     n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"llm_{uuid.uuid4().hex}"
     rows.write.bucketBy(n, key).option("compression", "zstd").option("path", shared_folder(spark)).saveAsTable(name)
-    return spark.table(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files are in the shared folder
+    return found
 
 
 def _halved(found: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -259,11 +295,11 @@ def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(labelled.join(facts, "band").select("id", "band", "degree", "root", "main", "others", "mains"))
 
 
-def _pivot_pairs(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+def _pivot_pairs(rows: DataFrame, texts: DataFrame, most: int, similarity: float) -> DataFrame:
     """id and pivot: the FIRST_PAIRS likeliest pairs of a text with a pivot of another class, over all its open buckets.
 
-    Buckets are dealt out in parts of about PART_TEXTS texts, each with all pivots in front, and samples are compared where they
-    stand: only pairs that agree in LEAST_EQUAL samples leave the task."""
+    Buckets are dealt out in parts of about PART_TEXTS texts, each with all pivots in front, and faces are compared where they
+    stand: only pairs that may be similar leave the task."""
     order = Window.partitionBy("band").orderBy(F.desc("degree"), "id")
     parts = F.ceil((F.col("others") + F.col("mains")) / PART_TEXTS).cast("int")
     named = rows.select("band", "id", "root", "degree", parts.alias("__parts"))
@@ -271,8 +307,8 @@ def _pivot_pairs(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
     pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
     members = named.withColumns({"rank": F.lit(most + 1), "part": F.expr("int(pmod(xxhash64(id), __parts))")})
     columns = ("band", "part", "rank", "id", "root")
-    both = pivots.select(*columns).unionByName(members.select(*columns)).join(texts.select("id", "samples"), "id")
-    dealt = both.select(*columns, "samples").repartition("band", "part").sortWithinPartitions("band", "part", "rank", "id")
+    both = pivots.select(*columns).unionByName(members.select(*columns)).join(texts.select("id", "face"), "id")
+    dealt = both.select(*columns, "face").repartition("band", "part").sortWithinPartitions("band", "part", "rank", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None  # the pivots of the group that the last batch ended in
@@ -282,7 +318,7 @@ def _pivot_pairs(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
             block = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
             band, part, rank = (block.column(c).to_numpy() for c in ("band", "part", "rank"))
             ids, roots = (np.array(block.column(c).to_pylist(), "S16") for c in ("id", "root"))
-            drawn = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint32).reshape(-1, HASHES)
+            known = Faces(b"".join(block.column("face").to_pylist()))
             begins = np.concatenate([[True], (band[1:] != band[:-1]) | (part[1:] != part[:-1])])
             group = np.cumsum(begins) - 1
             first = np.flatnonzero(begins)[group]
@@ -292,10 +328,10 @@ def _pivot_pairs(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
                 b = np.minimum(first[a] + k, len(band) - 1)
                 fit = (group[a] == group[b]) & (rank[b] <= most) & (roots[a] != roots[b]) & (ids[a] != ids[b])
                 a, b = a[fit], b[fit]
-                equal = (drawn[a] == drawn[b]).sum(axis=1)
-                like = equal >= LEAST_EQUAL
-                if like.any():
-                    yield pa.RecordBatch.from_arrays([names.take(pa.array(a[like])), names.take(pa.array(b[like])), pa.array(equal[like].astype(np.int32))], ["id", "pivot", "equal"])
+                like = known.may_reach(a, b, similarity)
+                a, b = a[like], b[like]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([names.take(pa.array(a)), names.take(pa.array(b)), pa.array(known.equal(a, b).astype(np.int32))], ["id", "pivot", "equal"])
             held = block.filter(pa.array((group == group[-1]) & (rank <= most)))
 
     found = dealt.mapInArrow(run, "id binary, pivot binary, equal int")
@@ -318,31 +354,27 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return inside.select(*names).unionByName(with_main.select(*names)).unionByName(with_other.select(*names))
 
 
-def _likely(ids: np.ndarray, drawn: np.ndarray, band: int, roots: np.ndarray, outside: np.ndarray, most: int) -> tuple[list, bool]:
-    """(a, b) of texts of different classes in a block that agree in LEAST_EQUAL samples, and whether some were left for later: a text
-    gives its `most` best pairs. Pairs belong to the first band they share."""
-    keys, out, cut = band_keys(drawn), [], False
+def _likely(ids: np.ndarray, known: Faces, roots: np.ndarray, outside: np.ndarray, most: int, similarity: float) -> tuple[list, bool]:
+    """(a, b) of texts of different classes in a block that may be similar, and whether some were left for later: a text gives its
+    `most` best pairs."""
+    out, cut = [], False
     for a in np.flatnonzero(outside):
         b = np.flatnonzero((roots != roots[a]) & (~outside | (np.arange(len(ids)) > a)))
-        equal = (drawn[b] == drawn[a]).sum(axis=1)
-        b, equal = b[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
-        same = keys[b] == keys[a]
-        first = keys[a, same.argmax(axis=1)] == band
-        b, equal = b[first], equal[first]
-        order = np.lexsort((ids[b], -equal))
+        b = b[known.may_reach(a, b, similarity)]
+        order = np.lexsort((ids[b], -known.equal(a, b)))
         cut |= len(b) > most
         out += [(a, x) for x in b[order[:most]]]
     return out, cut
 
 
-def _cross_pairs(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+def _cross_pairs(rows: DataFrame, texts: DataFrame, most: int, similarity: float) -> DataFrame:
     """id and pivot of likely pairs between classes of open buckets; a row of nulls where some were left for later."""
-    both = _blocks(rows).join(texts.select("id", "samples"), "id")
+    both = _blocks(rows).join(texts.select("id", "face"), "id")
 
     def run(block: pa.Table) -> pa.Table:
         ids, roots, main = (np.array(block.column(c).to_pylist(), "S16") for c in ("id", "root", "main"))
-        drawn = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint32).reshape(-1, HASHES)
-        found, cut = _likely(ids, drawn, block.column("band")[0].as_py(), roots, roots != main, most)
+        known = Faces(b"".join(block.column("face").to_pylist()))
+        found, cut = _likely(ids, known, roots, roots != main, most, similarity)
         names = block.column("id").to_pylist()
         left, right = [max(names[a], names[b]) for a, b in found], [min(names[a], names[b]) for a, b in found]
         left, right = (x + [None] * cut for x in (left, right))
@@ -384,13 +416,13 @@ def links(docs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float
         rows = _open(ranked, roots)
         if rows.isEmpty():
             return found.distinct()
-        settle(stored(_pivot_pairs(rows, texts, most)))
+        settle(stored(_pivot_pairs(rows, texts, most, similarity)))
     most = FIRST_PAIRS
     while True:
         rows = _open(ranked, roots)
         if rows.isEmpty():
             return found.distinct()
-        pairs = stored(_cross_pairs(rows, texts, most).distinct())
+        pairs = stored(_cross_pairs(rows, texts, most, similarity).distinct())
         fresh = stored(pairs.filter("id IS NOT NULL").join(tested, ["id", "pivot"], "left_anti"))
         settle(fresh)
         if pairs.filter("id IS NULL").isEmpty():
@@ -450,7 +482,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, okey, id (of the text), class_id and kept of every row; kept is true for the rows of one document per class."""
     idf = word_frequencies(docs)
     rows = samples(docs, idf)
-    texts = stored(rows.groupBy("id").agg(F.min("okey").alias("okey"), F.first("samples").alias("samples")))
+    texts = _bucketed(rows.groupBy("id").agg(F.min("okey").alias("okey"), F.first("samples").alias("samples"), F.first("face").alias("face")), "id")
     rooted = stored(components(links(docs, texts, idf, similarity)))
     roots = rooted.unionByName(rooted.select(F.col("root").alias("id"), "root").distinct())
     of_text = texts.select("id", "okey").join(roots, "id", "left").select("id", "okey", F.coalesce("root", "id").alias("root"))

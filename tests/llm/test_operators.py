@@ -489,6 +489,25 @@ def test_weighted_samples_agree_as_often_as_the_similarity():
     assert abs(agree - expected) < 0.04
 
 
+@pytest.mark.parametrize("n", [1, 30, 150, 3000])
+@pytest.mark.parametrize("heavy", [1, 300])
+def test_bound_holds_for_every_pair_and_tells_short_texts_apart(n, heavy):
+    draw = np.random.default_rng(n + heavy)
+    for share in (0.1, 0.6, 0.8, 0.95, 1.0):
+        found = np.unique(draw.integers(0, 1 << 64, n, np.uint64))
+        weights = draw.gamma(4, 1.5, len(found)).astype(np.float32)
+        weights[0] *= heavy
+        other = np.unique(np.where(draw.random(len(found)) < share, found, draw.integers(0, 1 << 64, len(found), np.uint64)))
+        theirs = np.where(np.isin(other, found), weights[np.minimum(np.searchsorted(found, other), len(found) - 1)], 5).astype(np.float32)
+        # As in the exact comparison, shingles that share half a hash are one.
+        exact = neardup.weighted_jaccard(*neardup._halved(found, weights), *neardup._halved(other, theirs))
+        drawn = np.zeros(neardup.HASHES, np.uint32)
+        known = neardup.Faces(neardup.face(drawn, found, weights) + neardup.face(drawn, other, theirs))
+        assert known.may_reach(0, np.array([1]), exact).all()
+        if n <= 150 and heavy == 1 and 0.5 <= exact <= 0.85:
+            assert not known.may_reach(0, np.array([1]), exact + 0.1).any()
+
+
 def test_shingle_weights():
     idf = np.arange(1 << neardup.DF_BITS) / 1000.0
     value = lambda w: idf[int(span_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)]))[0] >> np.uint64(64 - neardup.DF_BITS))]
