@@ -414,6 +414,13 @@ def test_word_parts_put_a_space_in_front():
     assert b"".join(found[5:]) == b" " + b"k" * 150 and rows.tolist() == [0, 0, 1, 3, 3, 4, 4, 4]
 
 
+def test_rows_are_compared_one_by_one():
+    rows = [b"", b" ab", b" c", b" def"]
+    for other, expected in ((rows, [True] * 4), ([b"", b" ab", b" x", b" def"], [True, True, False, True]), ([b"", b" a", b" c", b" defg"], [True, False, True, False])):
+        (a, a_at), (b, b_at) = (text_bytes(pa.array(x, pa.binary())) for x in (other, rows))
+        assert pieces.equal_rows(a, a_at, b, b_at).tolist() == expected
+
+
 # --- 8 -----------------------------------------------------------------------------------------------------------------
 
 
