@@ -322,3 +322,19 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 def op9_graph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_report(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 12], ' ')) AS win FROM places),
+firsts AS (SELECT win, min(doc_id) AS least FROM windows GROUP BY win),
+repeated AS (SELECT doc_id, i FROM windows JOIN firsts USING (win) WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, i + k AS place, true AS cut FROM repeated, range(13) AS t(k)),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM d),
+kept AS (
+  SELECT doc_id, count(*) FILTER (cut) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (cut IS NULL) AS rest
+  FROM words LEFT JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

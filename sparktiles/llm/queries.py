@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import op1_fingerprints
-from .graph_dedup import op9_graph_dedup
+from .graph_dedup import OP9_SQL, op9_graph_dedup
 from .hard_negatives import OP13_SQL, op13_hard_negatives
 from .langid import op7_language_id
 from .lexical_search import OP11_SQL, op11_lexical_search
@@ -29,4 +29,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mix": OP6_SQL, "op11_lexical_search": OP11_SQL, "op13_hard_negatives": OP13_SQL}
+    return {"op6_source_mix": OP6_SQL, "op9_graph_dedup": OP9_SQL, "op11_lexical_search": OP11_SQL, "op13_hard_negatives": OP13_SQL}
