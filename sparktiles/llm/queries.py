@@ -17,7 +17,7 @@ from .mixing import OP6_SQL, op6_source_mix
 from .neardup import op8_near_duplicates
 from .pieces import op4_sampled_pieces
 from .quality import op5_quality_rules
-from .suffix_dedup import op2_suffix_dedup
+from .suffix_dedup import OP2_SQL, op2_suffix_dedup
 from .toxicity import op3_toxicity
 from .token_files import op10_token_files
 
@@ -29,4 +29,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mix": OP6_SQL, "op9_graph_dedup": OP9_SQL, "op11_lexical_search": OP11_SQL, "op13_hard_negatives": OP13_SQL}
+    return {"op2_suffix_dedup": OP2_SQL, "op6_source_mix": OP6_SQL, "op9_graph_dedup": OP9_SQL, "op11_lexical_search": OP11_SQL, "op13_hard_negatives": OP13_SQL}

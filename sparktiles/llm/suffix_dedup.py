@@ -305,3 +305,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_report(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200),
+strings AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS s FROM places),
+repeated AS (SELECT doc_id, i FROM strings QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+steps AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM repeated),
+runs AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM steps),
+spans AS (SELECT doc_id, run, min(i) AS low, max(i) + 100 AS high FROM runs GROUP BY doc_id, run),
+edges AS (
+  SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS from_byte FROM spans),
+cuts AS (
+  SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last,
+         string_agg(substr(h, 2 * from_byte + 1, 2 * (low - from_byte)), '' ORDER BY low) AS kept
+  FROM edges JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cuts USING (doc_id)
+"""
