@@ -36,7 +36,7 @@ def test_every_operator_is_registered():
     assert "pipeline" in names and set(queries.oracle_sql()) <= names
 
 
-@pytest.mark.parametrize("name", ["op6_source_mix", "op11_lexical_search", "op13_hard_negatives"])
+@pytest.mark.parametrize("name", ["op2_suffix_dedup", "op9_graph_dedup", "op6_source_mix", "op11_lexical_search", "op13_hard_negatives"])
 def test_queries_equal_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
