@@ -129,16 +129,22 @@ def fullest(counts: DataFrame) -> tuple[int, int]:
     return row[0] or 0, row[1] or 0
 
 
+def slice_count(total: int, hot_rows: int, tasks: int) -> int:
+    """Into how many slices rows are cut where a tile is over `hot_rows`."""
+    return min(-(-total // hot_rows), max(tasks, -(-total // HOT_TILE_ROWS)))
+
+
 def _ordered(df: DataFrame, hot_rows: int, largest: int, total: int) -> DataFrame:
     """Rows with their place in line: `_b` numbers slices of (tile, curve key, id) order that one task can sort.
 
     Where every tile is small enough, a tile is a slice. Otherwise the slices are ranges of about `hot_rows` rows, however
-    the rows are spread over tiles and positions, and are written down so that they cannot change later.
+    the rows are spread over tiles and positions, and are written down so that they cannot change later. A slice is a task and a
+    file, so there are no more of them than the shuffles have tasks, or than it takes to give each HOT_TILE_ROWS.
     """
     keyed = with_morton(df)
     if largest <= hot_rows:
         return keyed.withColumn("_b", F.lit(0))
-    slices = -(-total // hot_rows)
+    slices = slice_count(total, hot_rows, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = keyed.repartitionByRange(slices, *TILE, "morton", "fid")
     return materialise(ranged.withColumn("_b", F.spark_partition_id()))
 

@@ -66,6 +66,15 @@ def test_crowded_tiles_agree_with_plain(crowd, limit):
     assert a.agg(F.sum("v")).first()[0] == crowd.agg(F.sum("v")).first()[0]
 
 
+def test_slices_are_no_more_than_tasks_need(crowd):
+    """A slice is a task and a file: 3,000 rows in slices of 2 would be 1,500 of either."""
+    largest, total = tiling.fullest(tiling.tile_counts(crowd))
+    rows = tiling._ordered(crowd, 2, largest, total)
+    assert rows.select("_b").distinct().count() <= int(crowd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    assert tiling.slice_count(9_000_000, 50, 200) == 200 and tiling.slice_count(600, 200, 200) == 3
+    assert tiling.slice_count(10**9, 10**6, 200) == 1000
+
+
 def test_gap_order_by_brute_force(crowd):
     """TIL-9 spelled out in Python for one tile."""
     from sparktiles.functions.projection import with_morton
