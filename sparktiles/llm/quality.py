@@ -1,15 +1,16 @@
 """Quality rules: fixed rules on words and lines, then a log-likelihood ratio between trusted texts and the whole corpus.
 
 Words and pairs of neighbouring words are hashed to a fixed number of buckets. One pass counts the buckets over all documents
-(the raw multinomial) and over a bounded sample of documents labelled as good (the target); tasks add their counts up before
-the shuffle, and the model is two fixed-length arrays. A second pass scores every document with the mean over its n-grams of
-log p_target - log p_raw and keeps those at or above a threshold. The threshold comes from a fifth of the trusted sample that
-the target is not counted from: the score that all but 1 % of those reach, less a margin. So it follows how well the counts
-know a good text that they have not seen, and is the same in every run.
+(the raw multinomial) and over all documents labelled as good (the target); tasks add their counts up before the shuffle, and the
+model is two fixed-length arrays. A second pass scores every document with the mean over its n-grams of log p_target - log p_raw
+and keeps those at or above a threshold. The threshold comes from a fifth of the trusted documents that the target is not counted
+from: the score that all but 1 % of those reach, less a margin, found by counting. So it follows how well the counts know a good
+text that they have not seen, and is the same in every run.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,11 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Words, arrow_map, fold, grams, gram_places, hash_sample, mix, per_row, stored, table, text_slices
+from .common import U64, Words, arrow_map, fold, grams, gram_places, mix, per_row, stored, table, text_slices
 
 BUCKET_BITS = 16
-#: Labelled documents that the target is counted from, at most.
-TRUSTED_ROWS = 50_000
 #: The trusted documents that may fall short of the threshold before the margin is taken off it, and that margin.
 SHORT, MARGIN = 0.01, 0.08
 HELD_OUT = 5
@@ -41,34 +40,33 @@ def ngram_buckets(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate([hashes >> shift, pairs >> shift]).astype(np.int64), np.concatenate([rows, rows[places]])
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
-    """doc_id of at most `most` documents whose every label says quality 1, and whether it is held out; a null label says
-    nothing."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """doc_id of all documents whose every label says quality 1, and whether it is held out; a null label says nothing."""
     good = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1")
-    sample = hash_sample(good.select("doc_id"), "doc_id", most, "trusted")
-    return sample.withColumn("__held", fold("doc_id", HELD_OUT) == 0)
+    return good.select("doc_id", (fold("doc_id", HELD_OUT) == 0).alias("__held"))
 
 
-def count_buckets(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """bucket, n_raw, n_target: one row per bucket that occurs. `trusted` is broadcast: at most TRUSTED_ROWS ids."""
-    trusted = trusted.filter(~F.col("__held")).select("doc_id", F.lit(True).alias("__trusted"))
-    rows = docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left")
+def _buckets(texts: DataFrame, count: str) -> DataFrame:
+    """bucket and how often it occurs: one row per bucket that occurs in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(1 << BUCKET_BITS, np.int64), np.zeros(1 << BUCKET_BITS, np.int64)
+        counts = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            for part, data, at in text_slices(batch):
+            for _, data, at in text_slices(batch):
                 words = Words(data, at)
-                buckets, of = ngram_buckets(words, words.hashes())
-                good = part.column("__trusted").fill_null(False).to_numpy(zero_copy_only=False)
-                raw += np.bincount(buckets, minlength=len(raw))
-                target += np.bincount(buckets[good[of]], minlength=len(raw))
-        used = np.flatnonzero(raw)
+                counts += np.bincount(ngram_buckets(words, words.hashes())[0], minlength=len(counts))
+        used = np.flatnonzero(counts)
         if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "n_raw", "n_target"])
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["bucket", count])
+
+    return texts.select("text").mapInArrow(run, f"bucket long, {count} long")
 
-    counts = rows.mapInArrow(run, "bucket long, n_raw long, n_target long")
-    return counts.groupBy("bucket").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target"))
+
+def count_buckets(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """bucket, n_raw, n_target: one row per bucket that occurs in `docs`. `trusted` has the texts of the trusted documents."""
+    raw = _buckets(docs, "n_raw").withColumn("n_target", F.lit(0).cast("long"))
+    target = _buckets(trusted.filter(~F.col("__held")), "n_target").select("bucket", F.lit(0).cast("long").alias("n_raw"), "n_target")
+    return raw.unionByName(target).groupBy("bucket").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target"))
 
 
 def log_ratios(counts: DataFrame) -> np.ndarray:
@@ -130,22 +128,48 @@ def assess(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
 _NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score"]
 
 
-def threshold(docs: DataFrame, trusted: DataFrame, ratios: np.ndarray) -> float:
+#: Stretches that the range of scores is cut into for counting, and so few values are left that they are looked at.
+STRETCHES, LEFT = 4096, 10_000
+
+
+def ranked(scores: DataFrame, rank: int) -> float:
+    """The value of `score` at a rank from 0 in ascending order. Values are counted by stretches of their range, then those in the stretch
+    that holds the rank, until few or equal ones are left; the driver gets one row per stretch."""
+    rows, before = scores, 0
+    while True:
+        n, low, high = rows.agg(F.count("*"), F.min("score"), F.max("score")).first()
+        if low == high:
+            return low
+        if n <= LEFT:
+            return sorted(r.score for r in rows.collect())[rank - before]
+        part = F.least(F.floor((F.col("score") - low) / (high - low) * STRETCHES), F.lit(STRETCHES - 1))
+        for stretch, found in sorted(tuple(r) for r in rows.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()):
+            if before + found > rank:
+                break
+            before += found
+        rows = rows.filter(part == stretch)
+
+
+def threshold(trusted: DataFrame, ratios: np.ndarray) -> float:
     """The score to reach; minus infinity when no trusted document is held out."""
-    held = docs.select("doc_id", "text").join(F.broadcast(trusted.filter("__held")), "doc_id", "left_semi")
-    reached = assess(held, ratios).filter("n_words > 0").agg(F.percentile("score", SHORT)).first()[0]
-    return float("-inf") if reached is None else reached - MARGIN
+    reached = stored(assess(trusted.filter("__held"), ratios).filter("n_words > 0").select("score"))
+    place = SHORT * (reached.count() - 1)
+    if place < 0:
+        return float("-inf")
+    low, high = ranked(reached, math.floor(place)), ranked(reached, math.ceil(place))
+    # Between the two neighbours, as an exact percentile is.
+    return (low if low == high else (math.ceil(place) - place) * low + (place - math.floor(place)) * high) - MARGIN
 
 
-def quality(docs: DataFrame, labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document with its counts, `base_failed`, `score` and `kept`."""
-    trusted = stored(trusted_ids(labels, most))
+    trusted = stored(docs.select("doc_id", "text").join(trusted_ids(labels), "doc_id"))
     ratios = log_ratios(stored(count_buckets(docs, trusted)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
         assess(docs, ratios)
         .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold(docs, trusted, ratios)))
+        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold(trusted, ratios)))
     )
 
 

@@ -12,6 +12,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparktiles.llm import fingerprints, graph_dedup, langid, mixing, neardup, pieces, quality, suffix_dedup, token_files, toxicity
@@ -309,6 +310,25 @@ def test_quality_counts(docs, none, labels):
     assert not any(r.base_failed is None or r.kept is None for r in quality.quality(docs, labels.limit(0)).collect())
 
 
+def test_quality_learns_from_every_trusted_document(spark):
+    """More than the 50,000 that a sample once held: each document has a word of its own, and all are counted."""
+    n = 60_000
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    trusted = quality.trusted_ids(labels)
+    assert trusted.count() == n
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text")).join(trusted, "doc_id")
+    sums = quality.count_buckets(docs, docs).agg(F.sum("n_raw"), F.sum("n_target")).first()
+    assert tuple(sums) == (n, trusted.filter("NOT __held").count())
+
+
+def test_ranks_by_counting(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LEFT", 3)
+    monkeypatch.setattr(quality, "STRETCHES", 4)
+    values = [((i * 37) % 50) / 7 - 3 for i in range(150)] + [2.5] * 20
+    rows = spark.createDataFrame([(v,) for v in values], "score double")
+    assert [quality.ranked(rows, r) for r in (0, 1, 83, 169)] == [sorted(values)[r] for r in (0, 1, 83, 169)]
+
+
 def test_quality_ratio(spark):
     counts = spark.createDataFrame([(1, 90, 10), (2, 10, 0)], "bucket long, n_raw long, n_target long")
     ratios = quality.log_ratios(counts)
