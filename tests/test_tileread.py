@@ -260,3 +260,44 @@ def test_one_layer_of_many_features_takes_few_jumps(monkeypatch):
     monkeypatch.setattr(tileread, "walk", lambda *a: pytest.fail("walked"))
     got = tileread.layer_fields(data, np.array([0]), np.array([len(data)]))
     assert len(got.message) == 50_001 and (np.diff(got.start[1:]) == len(body)).all()
+
+
+def test_large_tiles_are_read_in_stretches(monkeypatch):
+    """A tile over the bound gives the same rows, a stretch at a time; what is held at once does not grow with it."""
+    from sparktiles.functions import mvt
+    from sparktiles.operators import decode
+
+    draw = random.Random(11)
+    tiles = [(5, i % 32, i // 32, random_tile(draw, odd=i % 2 == 1)) for i in range(40)]
+    packed = [(z, x, y, mvt.gzip_tile(t)) for z, x, y, t in tiles]
+    for wanted in (None, "roads"):
+        plain = [r for b in decode_rows(iter(tiles), [("Name", "string"), ("size", "string")], wanted, False) for r in b.to_pylist()]
+        monkeypatch.setattr(decode, "LARGE_BYTES", 0)
+        for stretch in (37, 1 << 20):
+            monkeypatch.setattr(tileread, "STRETCH_BYTES", stretch)
+            for given in (tiles, packed):
+                got = [r for b in decode_rows(iter(given), [("Name", "string"), ("size", "string")], wanted, False) for r in b.to_pylist()]
+                key = lambda r: (r["tile_y"], r["tile_x"])
+                assert sorted(got, key=key) == sorted(plain, key=key)
+        monkeypatch.undo()
+    body = sized(0x12, b"\x18\x01" + sized(0x22, b"\x09\x12\x12"))
+    long = sized(0x1A, sized(0x0A, b"a") + body * 200_000)
+    parts = [len(data) for _, data, _ in tileread.stretches(tileread.unpacked(memoryview(mvt.gzip_tile(long))))]
+    assert len(parts) > 1 and max(parts) <= 1 << 21
+    assert sum(b.num_rows for b in decode_rows(iter([(0, 0, 0, mvt.gzip_tile(long))]), [], None)) == 200_000
+    for bad in (long[:-1], sized(0x1A, sized(0x0A, b"a") + body * 200_000 + b"\x12\x7f")):
+        with pytest.raises(ValueError, match="ends inside"):
+            list(decode_rows(iter([(0, 0, 0, bad)]), [], None))
+    with pytest.raises(ValueError, match="truncated"):
+        list(decode_rows(iter([(0, 0, 0, mvt.gzip_tile(long)[:-9] + long[:9])]), [], None))
+
+
+def test_stretches_packed_on_their_own_are_one_file():
+    from sparktiles.functions import mvt
+
+    tile, whole = mvt.PackedTile(), b""
+    for size in (0, 5, 3_000_000, 17):
+        data = np.arange(size, dtype=np.uint32).tobytes()
+        tile.append(mvt.PackedBytes(6).add(data[: size // 2]).add(data[size // 2 :]))
+        whole += data
+    assert mvt.gunzip_tile(bytes(tile.done())) == whole
