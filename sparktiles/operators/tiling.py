@@ -184,7 +184,7 @@ def keep_within(df: DataFrame, budgets: DataFrame | int, hot_rows: int, largest:
     if largest <= hot_rows:
         allowed = df.withColumn("_need", F.lit(budgets).cast("long")) if fixed else df.join(budgets.withColumnRenamed("budget", "_need"), TILE, "left")
         return allowed.withColumn("kept", F.col("_need").isNull() | (F.sum("_w").over(line) <= F.col("_need"))).drop("_need")
-    rows = materialise(df.withColumn("_d", F.concat(_digits(F.coalesce(-F.col("gap"), F.lit(-(2**63)))), _digits(F.col("fid")))))
+    rows = materialise(df).withColumn("_d", F.concat(_digits(F.coalesce(-F.col("gap"), F.lit(-(2**63)))), _digits(F.col("fid"))))
     totals = rows.groupBy(*TILE).agg(F.sum("_w").alias("_s"), F.count("*").alias("n"))
     needed = totals.withColumn("_need", F.lit(budgets).cast("long")) if fixed else totals.join(budgets.withColumnRenamed("budget", "_need"), TILE)
     cut = needed.filter("_s > _need").select(*TILE, F.array().cast("array<int>").alias("_p"), "_need", "n")

@@ -136,8 +136,15 @@ def thinned_by_density(tiled: DataFrame, opts: Options, limit: int, budgets: Dat
         wide, attrs, replaced = _accumulated(keyed, opts)
         joined = tiling.coalesce_densest(wide, limit, attrs, by=("layer", "gtype"), budgets=budgets)
         counted = with_point_count(joined, F.col("point_count"), replaced).drop("point_count", *attrs)
-    else:
+    elif "commands" in tiled.columns:
         counted = tiling.drop_densest(keyed, limit, budgets=budgets)
+    else:
+        if budgets is None and tiling.fullest(tiling.tile_counts(tiled))[0] <= limit:
+            return tiled
+        # A point is in a tile once, so that row numbers say which rows stay; properties are not sorted and written with them.
+        places = keyed.select(*TILE, "fid", "wx", "wy", *(["_size"] if budgets is not None else []))
+        kept = materialise(tiling.drop_densest(places, limit, budgets=budgets).select(*TILE, "fid"))
+        counted = keyed.join(kept, [*TILE, "fid"], "left_semi")
     return counted.withColumn("fid", F.col("_id")).drop("_id")
 
 

@@ -75,6 +75,21 @@ def test_slices_are_no_more_than_tasks_need(crowd):
     assert tiling.slice_count(10**9, 10**6, 200) == 1000
 
 
+def test_properties_are_not_sorted_with_the_places(spark, monkeypatch):
+    """TIL-9 in a build ranks rows by number and position alone, and keeps what it kept with all columns."""
+    from sparktiles.operators import tiling as operators
+
+    seen = []
+    plain = operators.drop_densest
+    monkeypatch.setattr(operators, "drop_densest", lambda df, *a, **k: seen.append(df.columns) or plain(df, *a, **k))
+    df = spark.range(400).selectExpr("id % 390 as fid", "double(id * 7 % 90) as lon", "double(id * 11 % 60) as lat", "concat('p', id % 3) as p")
+    made = st.build(df, id_column="fid", maxzoom=2, drop_densest_as_needed=True, tile_feature_limit=40)
+    got = st.decode_tiles(made.tiles, [("p", "string")])
+    assert seen and all("props" not in columns for columns in seen)
+    assert got.groupBy("zoom", "tile_x", "tile_y").count().agg(F.max("count")).first()[0] == 40
+    assert got.filter("p IS NULL").count() == 0
+
+
 def test_gap_order_by_brute_force(crowd):
     """TIL-9 spelled out in Python for one tile."""
     from sparktiles.functions.projection import with_morton
