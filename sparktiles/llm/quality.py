@@ -24,6 +24,8 @@ BUCKET_BITS = 16
 #: The trusted documents that may fall short of the threshold before the margin is taken off it, and that margin.
 SHORT, MARGIN = 0.01, 0.08
 HELD_OUT = 5
+#: Ids of trusted documents are broadcast up to this many; beyond, the texts are moved to them once.
+BROADCAST_IDS = 200_000
 SMOOTHING = 0.5
 
 _SYMBOL = np.zeros(256, bool)
@@ -163,7 +165,9 @@ def threshold(trusted: DataFrame, ratios: np.ndarray) -> float:
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document with its counts, `base_failed`, `score` and `kept`."""
-    trusted = stored(docs.select("doc_id", "text").join(trusted_ids(labels), "doc_id"))
+    ids = stored(trusted_ids(labels))
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    trusted = stored(docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id"))
     ratios = log_ratios(stored(count_buckets(docs, trusted)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
