@@ -278,6 +278,42 @@ def test_sampled_segmentations_have_their_shares():
         assert abs(found[way] / n - p) < 5 * math.sqrt(p / n) + 1e-4
 
 
+def test_long_words_are_one_lattice(monkeypatch):
+    sampler = pieces.PieceSampler(default_model())
+    words = [(b"ordering/" * 300)[:n] for n in (63, 64, 65, 127, 128, 129, 900)] + ["Größenordnung".encode() * 40]
+    known = {b: i for i, b in enumerate(sampler.pieces.bytes) if 0 < len(b) <= 16}
+    data = np.frombuffer(b"".join(b" " + w for w in words), np.uint8)
+    sizes = np.array([len(w) + 1 for w in words])
+    starts = np.cumsum(sizes) - sizes
+    base, shares, size, piece = sampler.lattice(data, starts, sizes)
+    state = np.ceil(shares).astype(np.int64) - 1
+    shares = shares - np.maximum(state, np.concatenate([[0.0], shares[:-1]]))
+    for word, low in zip(words, base.tolist(), strict=False):
+        text = b" " + word
+        sums = [1.0]
+        for end in range(1, len(text) + 1):
+            ways = {s: p for s in range(1, min(16, end) + 1) if (p := known.get(text[end - s : end], sampler.pieces.byte_ids[text[end - 1]] if s == 1 else None)) is not None}
+            weights = {s: sums[end - s] * sampler.weights[p] * 16.0**s for s, p in ways.items()}
+            sums.append(sum(weights.values()))
+            mine = np.flatnonzero(state == low + end)
+            assert {s: int(ways[s]) for s in ways} == dict(zip(size[mine].tolist(), piece[mine].tolist(), strict=True))
+            assert np.allclose(shares[mine], [weights[s] / sums[-1] for s in size[mine].tolist()], atol=1e-9)
+    # Pieces lie across the places where long words used to be cut, every word decodes, and a chunk walked alone gets what many get at once.
+    n = 40
+    text, at = pieces.spaced(np.frombuffer(words[-1] * n, np.uint8), np.arange(n + 1) * len(words[-1]))
+    keys = np.arange(n, dtype=np.uint64)
+    counts, ids = sampler.encode(text, at, keys)
+    ends = np.cumsum(sampler.pieces.sizes[ids])
+    assert sampler.pieces.decode(ids).tobytes() == text.tobytes()
+    cuts = (at[:-1, None] + np.arange(64, len(words[-1]), 64)).reshape(-1)
+    assert not np.isin(cuts, ends).all()
+    for few, draws in ((0, 1), (n, 7), (n - 3, 4096)):
+        monkeypatch.setattr(pieces, "_FEW", few)
+        monkeypatch.setattr(pieces, "_DRAWS", draws)
+        monkeypatch.setattr(pieces, "_STRETCHES", draws)
+        assert [x.tolist() for x in sampler.encode(text, at, keys)] == [counts.tolist(), ids.tolist()]
+
+
 def test_piece_table_spans_every_byte():
     table = PieceTable(default_model())
     chars = np.frombuffer(b"\xf0\x9f\x98\x80ab", np.uint8)[None, :]
