@@ -355,7 +355,7 @@ def q_tile_roundtrip_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """Tiles cut into pieces by several tasks and strung together again; the attributes have to survive that."""
     rows = _encodable(_orders(spark, sf), 3, F.lit("orders"), "o_orderstatus", "o_totalprice", "o_custkey")
     kinds = [("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_custkey", "double")]
-    out = st.decode_tiles(encode_tiles(rows, piece_rows=500), kinds)
+    out = st.decode_tiles(encode_tiles(rows, piece_rows=500, stretches=True), kinds)
     return out.select(F.col("feature_id").alias("fid"), *TILE, "o_orderstatus", "o_totalprice", "o_custkey")
 
 
