@@ -347,7 +347,7 @@ def _positions(features: DataFrame) -> DataFrame:
 
 
 def q_tile_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    tiles = encode_tiles(_encodable(_orders(spark, sf), 5, F.lit("orders"), "o_orderstatus", "o_totalprice"))
+    tiles = encode_tiles(_encodable(_orders(spark, sf), 5, F.lit("orders"), "o_orderstatus", "o_totalprice"), stretches=True)
     return _positions(st.decode_tiles(tiles, []))
 
 
