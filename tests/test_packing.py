@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
@@ -9,10 +10,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import sparktiles as st
 from sparktiles.functions import mvt, tileread
 from sparktiles.operators import encode, packing
 from sparktiles.operators.decode import decode_rows, decode_tiles, joined_stretches
 from sparktiles.operators.encode import encode_tiles
+from sparktiles.plans import build as st_build
 
 TILE = ["zoom", "tile_x", "tile_y"]
 KINDS = [("name", "string"), ("v", "double")]
@@ -123,3 +126,24 @@ def test_values_of_large_layers_lie_in_files():
     assert isinstance(got.kind, np.memmap) and isinstance(got.number, np.memmap)
     assert list(zip(got.kind.tolist(), got.number.tolist(), got.raw.to_pylist(), strict=True)) == every
     assert len(tileread.ValueFiles().values().kind) == 0
+
+
+@pytest.mark.parametrize("fmt", ["mbtiles", "pmtiles"])
+def test_containers_take_large_tiles_in_stretches(spark, tmp_path, monkeypatch, fmt):
+    """A crowded tile of over a stretch reaches the container as rows of 1 MB and is stored whole; the table of the build has it as one value."""
+    n = 130_000
+    # Positions and values that do not pack, so that the tile of zoom 0 is of several stretches.
+    points = spark.range(n).selectExpr("id", "pmod(hash(id), 3600000) / 10000 - 180 as lon", "pmod(hash(id, 1), 1600000) / 10000 - 80 as lat", "cast(hash(id, 2) as double) as v")
+    seen = []
+    written = st_build.write_container
+    monkeypatch.setattr(st_build, "write_container", lambda tiles, *a, **k: (seen.append(tiles), written(tiles, *a, **k)))
+    path = f"{tmp_path}/many.{fmt}"
+    made = st.write_tileset(points, path, layer="p", id_column="id", minzoom=0, maxzoom=1, buffer=0)
+    rows = seen[0].select(*TILE, "_stretch", F.octet_length("tile_data").alias("n")).collect()
+    assert max(r.n for r in rows) <= 1 << 20 and max(r["_stretch"] for r in rows) > 0
+    sizes = {(*r[:3], hashlib.sha256(mvt.gunzip_tile(bytes(r.tile_data))).hexdigest()) for r in made.tiles.collect()}
+    assert len(sizes) == 5 and made.tiles.columns == [*TILE, "tile_data"]
+    read = st.read_mbtiles_tiles if fmt == "mbtiles" else st.read_pmtiles_tiles
+    assert {tuple(r) for r in read(spark, path).select(*TILE, F.sha2("tile_data", 256)).collect()} == sizes
+    low = st.read_tileset(spark, path, zoom=0)
+    assert low.agg(F.count("*"), F.count_distinct("feature_id"), F.sum("v")).first() == points.agg(F.count("*"), F.count_distinct("id"), F.sum("v")).first()
